@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cohortflow.catalog import etl
+from cohortflow.catalog import etl, statistics
 from cohortflow.catalog.base import Query
 
 REGISTRY: dict[str, Query] = {}
-for _module in (etl,):
+for _module in (etl, statistics):
     REGISTRY.update(_module.QUERIES)

@@ -180,9 +180,10 @@ def value_range(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, flo
 
 
 def bin_of(column: str, low: float, high: float, bins: int) -> Column:
-    """Equal-width bin 0..bins-1; the upper end belongs to the last bin."""
+    """Equal-width bin 0..bins-1, NULL for NULL; the upper end belongs to the last bin."""
     width = (high - low) / bins or 1.0
-    return F.least(F.floor((F.col(column).cast("double") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    bin_number = F.floor((F.col(column).cast("double") - F.lit(low)) / F.lit(width))
+    return F.when(F.col(column).isNotNull(), F.least(bin_number, F.lit(bins - 1))).cast("int")
 
 
 def histogram(df: DataFrame, columns: list[str], by: str, bins: int = 10) -> DataFrame:
@@ -207,13 +208,17 @@ def pair_histogram(df: DataFrame, x: str, y: str, by: str, bins: int = 10) -> Da
 def column_kinds(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """numeric, categorical or id per column: (column_name, kind).
 
-    A column without NULLs whose values are all different is an id; other numbers are
-    numeric and the rest categorical.
+    An integer or text column without NULLs whose values are all different is an id;
+    other numbers are numeric and the rest categorical.
     """
     columns = columns or df.columns
     numbers = [c for c in columns if is_numeric(df, c)]
-    is_number = F.col("column_name").isin(numbers) if numbers else F.lit(False)
+    fractional = [c for c in columns if isinstance(df.schema[c].dataType, (T.FractionalType, T.DecimalType))]
+
+    def among(names: list[str]) -> Column:
+        return F.col("column_name").isin(names) if names else F.lit(False)
+
     return (value_counts(df, columns).groupBy("column_name")
             .agg(F.sum("n").alias("rows"), F.count("value").alias("distinct"))
-            .select("column_name", F.when(F.col("rows") == F.col("distinct"), "id")
-                    .when(is_number, "numeric").otherwise("categorical").alias("kind")))
+            .select("column_name", F.when((F.col("rows") == F.col("distinct")) & ~among(fractional), "id")
+                    .when(among(numbers), "numeric").otherwise("categorical").alias("kind")))
