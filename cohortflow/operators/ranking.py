@@ -8,7 +8,7 @@ plus groups, gives the offset.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.session import settle
@@ -25,14 +25,6 @@ def _sorted_parts(df: DataFrame, keys: list) -> DataFrame:
             .drop("_mid"))
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Equality on all names, NULL equal to NULL."""
-    condition = left["_part"] == right["_part"]
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def _before(group: list[str]):
     """All earlier partitions of the same group."""
     window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
@@ -50,10 +42,14 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | None = None
     group = list(group_by or [])
     placed = _sorted_parts(df, group + list(order_by))
     heads = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    heads = heads.select("_part", *group, "_first",
-                         F.coalesce(F.sum("_n").over(_before(group)), F.lit(0)).alias("_offset"))
+    heads = heads.select(
+        F.col("_part").alias("_head_part"), *[F.col(g).alias(f"_head_{i}") for i, g in enumerate(group)], "_first",
+        F.coalesce(F.sum("_n").over(_before(group)), F.lit(0)).alias("_offset"))
+    same = F.col("_part") == F.col("_head_part")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_head_{i}"))
     number = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).alias(name)
-    return placed.join(heads, _same(placed, heads, group)).select(*[placed[c] for c in df.columns], number)
+    return placed.join(heads, same).select(*df.columns, number)
 
 
 def weighted_quantiles(table: DataFrame, group: str, value: str, weight: str, probs: list[float]) -> DataFrame:
