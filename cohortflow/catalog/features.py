@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cohortflow import config
 from cohortflow.catalog.base import Query, feature_input, profile, silver, table, union_all, with_ctes
 from cohortflow.functions import columns as C
-from cohortflow.operators import features, folds, metrics
+from cohortflow.operators import features, folds, knn, metrics
 from cohortflow.plans import medallion
 from cohortflow.session import scratch_path
 from cohortflow.sources.models import load_stages, save_model
@@ -323,3 +323,34 @@ QUERIES: dict[str, Query] = {
         "SELECT \"class\", round(x, 6) AS share_reference, round(y, 6) AS share_current, round(y - x, 6) AS shift, "
         "abs(y - x) > 0.05 AS drifted FROM s"),
 }
+
+
+# ---- nearest neighbours -----------------------------------------------------
+FLAG_NAMES = [f"profession_{p}" for p in PROFESSIONS] + [f"var_1_{v}" for v in [*CATEGORIES, "missing"]]
+KNN_COLUMNS = FLAG_NAMES + ["spending_score", "gender", "ever_married", "age", "graduated", "work_experience", "family_size"]
+KNN_TARGETS = ["gender", "age", "graduated", "work_experience", "family_size"]
+
+
+def knn_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = flags(spark, sf_dir)
+    columns = [c for c in df.columns if c != "id"]
+    return rounded(knn.knn_impute(df, "id", columns, k=5))
+
+
+def _knn_sql():
+    ctes = {"flags": _flags_select()}
+    for t in KNN_TARGETS:
+        others = [c for c in KNN_COLUMNS if c != t]
+        total = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0.0)" for c in others)
+        shared = " + ".join(f"CAST(r.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INT)" for c in others)
+        ctes[f"near_{t}"] = (
+            f"SELECT id, avg(v) AS value FROM (SELECT r.id, CAST(d.{t} AS DOUBLE) AS v, row_number() OVER "
+            f"(PARTITION BY r.id ORDER BY ({total}) * {len(KNN_COLUMNS)} / CAST({shared} AS DOUBLE), d.id) AS k "
+            f"FROM flags r JOIN flags d ON r.{t} IS NULL AND d.{t} IS NOT NULL) WHERE k <= 5 GROUP BY 1")
+    cells = ", ".join(f"round(coalesce(CAST(f.{c} AS DOUBLE), near_{c}.value), 6) AS {c}" if c in KNN_TARGETS
+                      else f"CAST(f.{c} AS DOUBLE) AS {c}" for c in KNN_COLUMNS)
+    joins = " ".join(f"LEFT JOIN near_{t} ON near_{t}.id = f.id" for t in KNN_TARGETS)
+    return with_ctes("encoded", f"SELECT f.id, {cells} FROM flags f {joins}", **ctes)
+
+
+QUERIES["h12_knn_imputation"] = Query(knn_filled, _knn_sql())
