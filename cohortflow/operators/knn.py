@@ -19,146 +19,157 @@ Equal distances are resolved by the smaller id.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.functions.columns import null_count
+from cohortflow.session import settle
 
 LEVELS = (12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0)  # 2^level bins per column
 EXACT = -1
-PAIR_SCHEMA = "_q_mask long, _q_cell long, _d_mask long, _d_cell long"
+PAIR_SCHEMA = "_target string, _q_mask long, _q_cell long, _d_mask long, _d_cell long"
 
 
-def _mask(columns: list[str]) -> Column:
+# Expressions over many columns are written as SQL text: one parsed string instead of hundreds of calls.
+def _mask(columns: list[str]) -> str:
     """Bit i is set where column i is NULL."""
-    return reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-                                       for i, c in enumerate(columns)])
+    return " + ".join(f"CASE WHEN `{c}` IS NULL THEN {1 << i}L ELSE 0L END" for i, c in enumerate(columns))
 
 
-def _bin(column: str, low: float | None, high: float | None, level: int) -> Column:
+def _bin(column: str, low: float | None, high: float | None, level: int) -> str:
     if level == EXACT or low is None or high == low:
-        return F.col(column)
+        return f"`{column}`"
     bins = 1 << level
-    scaled = F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * F.lit(bins))
-    return F.when(F.col(column).isNotNull(), F.least(scaled, F.lit(bins - 1)))
+    return (f"CASE WHEN `{column}` IS NOT NULL THEN "
+            f"least(floor((`{column}` - {low!r}D) / {high - low!r}D * {bins}), {bins - 1}L) END")
 
 
-def _cell(columns: list[str], ranges: dict, level: int) -> Column:
+def _cell(columns: list[str], ranges: dict, level: int) -> str:
     """Cell number. Should two cells ever share a number, their box simply covers both."""
-    return F.xxhash64(*[_bin(c, *ranges[c], level) for c in columns])
+    return f"xxhash64({', '.join(_bin(c, *ranges[c], level) for c in columns)})"
 
 
 def _choose_level(df: DataFrame, columns: list[str], ranges: dict, max_cells: int) -> int:
-    """The finest cells of which there are at most max_cells, from one aggregate."""
-    counts = df.agg(*[F.approx_count_distinct(F.struct(_mask(columns), _cell(columns, ranges, level)), 0.02)
-                      .alias(f"l{level}") for level in (EXACT, *LEVELS)]).first()
-    for level in (EXACT, *LEVELS):
-        if counts[f"l{level}"] <= max_cells:
-            return level
+    """The finest cells of which there are at most max_cells; grids are counted only if tuples are too many."""
+    for levels in ((EXACT,), LEVELS):
+        counts = df.selectExpr(*[
+            f"approx_count_distinct(struct({_mask(columns)}, {_cell(columns, ranges, level)}), 0.02) AS `{level}`"
+            for level in levels]).first()
+        for level in levels:
+            if counts[str(level)] <= max_cells:
+                return level
     raise ValueError("more NULL patterns than cells allowed; raise max_cells")
 
 
 def _boxes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Bounding box and row count per cell and NULL pattern."""
-    return df.groupBy("_mask", "_cell").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.array(*[F.coalesce(F.min(c), F.lit(0.0)) for c in columns]).alias("_low"),
-        F.array(*[F.coalesce(F.max(c), F.lit(0.0)) for c in columns]).alias("_high"))
+    """Bounding box and row count per column to fill, NULL pattern and cell."""
+    return df.groupBy("_target", "_mask", "_cell").agg(F.expr("count(1) AS _n"), *[
+        F.expr(f"array({', '.join(f'coalesce({f}(`{c}`), 0D)' for c in columns)}) AS {name}")
+        for f, name in (("min", "_low"), ("max", "_high"))])
 
 
 def _present(masks: np.ndarray, width: int) -> np.ndarray:
     return (masks[:, None] >> np.arange(width)) & 1 == 0
 
 
-def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, all_columns: int, k: int) -> DataFrame:
+def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) -> DataFrame:
     """Pairs of recipient and donor cells that may hold one of the k nearest."""
-    rows = donors.collect()  # at most about max_cells boxes, by the choice of the grid
-    shared_boxes = recipients.sparkSession.sparkContext.broadcast((
+    by_target: dict[str, list] = {}
+    for row in donors.collect():  # at most about max_cells boxes per target, by the choice of the grid
+        by_target.setdefault(row["_target"], []).append(row)
+    boxes = recipients.sparkSession.sparkContext.broadcast({target: (
         np.array([r["_mask"] for r in rows], dtype=np.int64), np.array([r["_cell"] for r in rows], dtype=np.int64),
         np.array([r["_n"] for r in rows], dtype=np.int64),
-        np.array([r["_low"] for r in rows], dtype=float).reshape(len(rows), width),
-        np.array([r["_high"] for r in rows], dtype=float).reshape(len(rows), width)))
+        np.array([r["_low"] for r in rows], dtype=float), np.array([r["_high"] for r in rows], dtype=float))
+        for target, rows in by_target.items()})
+
+    def near(box) -> pd.DataFrame | None:
+        if box[0] not in boxes.value:
+            return None
+        masks, cells, counts, low, high = boxes.value[box[0]]
+        q_low, q_high = np.asarray(box[4], dtype=float), np.asarray(box[5], dtype=float)
+        shared = _present(masks | box[1], width)
+        n_shared = shared.sum(axis=1)
+        comparable = n_shared > 0
+        scale = np.divide(width, n_shared, out=np.zeros(len(masks)), where=comparable)
+        gap = np.where(shared, np.maximum(0.0, np.maximum(q_low - high, low - q_high)), 0.0)
+        span = np.where(shared, np.maximum(np.abs(q_high - low), np.abs(high - q_low)), 0.0)
+        at_least = scale * (gap * gap).sum(axis=1)
+        at_most = np.where(comparable, scale * (span * span).sum(axis=1), np.inf)
+        order = np.argsort(at_most, kind="stable")
+        reached = np.searchsorted(np.cumsum(counts[order]), k)
+        limit = at_most[order[reached]] if reached < len(order) else np.inf
+        keep = comparable & (at_least <= limit * (1 + 1e-9))
+        return pd.DataFrame({"_target": box[0], "_q_mask": box[1], "_q_cell": box[2],
+                             "_d_mask": masks[keep], "_d_cell": cells[keep]})
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        masks, cells, counts, low, high = shared_boxes.value
-        here = _present(masks, width)
         for batch in batches:
-            found = []
-            for box in batch.itertuples(index=False):
-                q_low, q_high = np.asarray(box[3], dtype=float), np.asarray(box[4], dtype=float)
-                shared = here & _present(np.array([box[0]], dtype=np.int64), width)
-                n_shared = shared.sum(axis=1)
-                scale = np.divide(all_columns, n_shared, out=np.full(len(masks), np.inf), where=n_shared > 0)
-                gap = np.maximum(0.0, np.maximum(q_low - high, low - q_high))
-                span = np.maximum(np.abs(q_high - low), np.abs(high - q_low))
-                nearest = np.where(n_shared > 0, scale, 0.0) * np.where(shared, gap * gap, 0.0).sum(axis=1)
-                farthest = np.where(n_shared > 0, scale, 0.0) * np.where(shared, span * span, 0.0).sum(axis=1)
-                farthest = np.where(n_shared > 0, farthest, np.inf)
-                order = np.argsort(farthest, kind="stable")
-                reached = np.searchsorted(np.cumsum(counts[order]), k)
-                limit = farthest[order[reached]] if reached < len(order) else np.inf
-                keep = (n_shared > 0) & (nearest <= limit * (1 + 1e-9))
-                found.append(pd.DataFrame({"_q_mask": box[0], "_q_cell": box[1],
-                                           "_d_mask": masks[keep], "_d_cell": cells[keep]}))
+            found = [part for part in map(near, batch.itertuples(index=False, name=None)) if part is not None]
             if found:
                 yield pd.concat(found, ignore_index=True)
 
     return recipients.mapInPandas(pairs, PAIR_SCHEMA)
 
 
-def _fill_column(x: DataFrame, id_column: str, columns: list[str], target: str, k: int,
-                 ranges: dict, level: int) -> DataFrame:
-    """(id, value) for the rows in which the target is NULL and a neighbour exists."""
-    others = [c for c in columns if c != target]
-    placed = x.withColumn("_mask", _mask(others)).withColumn("_cell", _cell(others, ranges, level))
-    recipients = placed.filter(F.col(target).isNull())
-    tuples = recipients.select("_mask", "_cell", *others).distinct()
-    same_place = Window.partitionBy("_mask", "_cell", *others).orderBy(id_column)
-    donors = (placed.filter(F.col(target).isNotNull()).withColumn("_rank", F.row_number().over(same_place))
+def _fill(x: DataFrame, id_column: str, columns: list[str], targets: list[str], k: int,
+          ranges: dict, level: int) -> DataFrame:
+    """(id, column_name, value) for every NULL in a target column, value NULL if no row is comparable."""
+    blanked = [f"CASE WHEN _target = '{c}' THEN NULL ELSE `{c}` END AS `{c}`" if c in targets else f"`{c}`"
+               for c in columns]
+    own = "CASE _target " + " ".join(f"WHEN '{t}' THEN `{t}`" for t in targets) + " END AS _value"
+    per_target = x.withColumn("_target", F.explode(F.array(*[F.lit(t) for t in targets])))
+    placed = (per_target.selectExpr(f"`{id_column}`", "_target", own, *blanked)
+              .selectExpr("*", f"{_mask(columns)} AS _mask", f"{_cell(columns, ranges, level)} AS _cell"))
+    place = ["_target", "_mask", "_cell", *columns]
+
+    recipients = placed.filter("_value IS NULL")
+    tuples = recipients.select(*place).distinct()
+    donors = (placed.filter("_value IS NOT NULL")
+              .withColumn("_rank", F.row_number().over(Window.partitionBy(*place).orderBy(id_column)))
               .filter(F.col("_rank") <= k).drop("_rank"))
-    pairs = _near_cells(_boxes(tuples, others), _boxes(donors, others), len(others), len(columns), k)
-
-    left = tuples.select(F.col("_mask").alias("_q_mask"), F.col("_cell").alias("_q_cell"), F.struct(*others).alias("_q"))
-    right = donors.select(F.col("_mask").alias("_d_mask"), F.col("_cell").alias("_d_cell"),
-                          F.col(id_column).alias("_d_id"), F.col(target).alias("_value"), F.struct(*others).alias("_d"))
-    compared = left.join(pairs, ["_q_mask", "_q_cell"]).join(right, ["_d_mask", "_d_cell"])
-    total = reduce(lambda a, b: a + b, [
-        F.coalesce((F.col(f"_q.{c}") - F.col(f"_d.{c}")) * (F.col(f"_q.{c}") - F.col(f"_d.{c}")), F.lit(0.0))
-        for c in others])
-    n_shared = F.lit(len(others)) - F.bit_count(F.col("_q_mask").bitwiseOR(F.col("_d_mask")))
-    nearest_first = Window.partitionBy("_q").orderBy("_distance", "_d_id")
-    chosen = (compared.select("_q", "_d_id", "_value", (total * len(columns) / n_shared).alias("_distance"))
+    pairs = _near_cells(_boxes(tuples, columns), _boxes(donors, columns), len(columns), k)
+
+    left = tuples.select("_target", F.col("_mask").alias("_q_mask"), F.col("_cell").alias("_q_cell"),
+                         F.struct(*columns).alias("_q"))
+    right = donors.select("_target", F.col("_mask").alias("_d_mask"), F.col("_cell").alias("_d_cell"),
+                          F.col(id_column).alias("_d_id"), "_value", F.struct(*columns).alias("_d"))
+    compared = left.join(pairs, ["_target", "_q_mask", "_q_cell"]).join(right, ["_target", "_d_mask", "_d_cell"])
+    total = " + ".join(f"coalesce((_q.`{c}` - _d.`{c}`) * (_q.`{c}` - _d.`{c}`), 0D)" for c in columns)
+    distance = f"({total}) * {len(columns)} / ({len(columns)} - bit_count(_q_mask | _d_mask))"
+    nearest_first = Window.partitionBy("_target", "_q").orderBy("_distance", "_d_id")
+    chosen = (compared.selectExpr("_target", "_q", "_d_id", "_value", f"{distance} AS _distance")
               .withColumn("_rank", F.row_number().over(nearest_first)).filter(F.col("_rank") <= k)
-              .groupBy("_q").agg(F.avg("_value").alias("value")))
-    keyed = recipients.select(F.col(id_column), F.struct(*others).alias("_r"))
-    return (keyed.join(chosen, keyed["_r"] == chosen["_q"], "left")
-            .select(id_column, F.lit(target).alias("column_name"), "value"))
+              .groupBy("_target", "_q").agg(F.avg("_value").alias("value")))
+    keyed = recipients.select(F.col(id_column), F.col("_target").alias("column_name"), F.struct(*columns).alias("_r"))
+    return (keyed.join(chosen, (keyed["column_name"] == chosen["_target"]) & (keyed["_r"] == chosen["_q"]), "left")
+            .select(id_column, "column_name", "value"))
 
 
 def knn_values(df: DataFrame, id_column: str, columns: list[str], k: int = 5, max_cells: int = 20000) -> DataFrame:
-    """The filled cells: (id, column_name, value). Ids must be unique."""
-    x = df.select(id_column, *[F.col(c).cast("double").alias(c) for c in columns])
-    facts = x.agg(*[null_count(c).alias(f"{c}_nulls") for c in columns], *[F.min(c).alias(f"{c}_low") for c in columns],
-                  *[F.max(c).alias(f"{c}_high") for c in columns], *[F.avg(c).alias(f"{c}_mean") for c in columns]).first()
+    """The filled cells: (id, column_name, value). Ids must be unique. Where no row is comparable,
+    the column's mean is taken."""
+    # Read several times below, hence written once. NaN counts as missing.
+    x = settle(df.selectExpr(f"`{id_column}`", *[f"nullif(CAST(`{c}` AS DOUBLE), double('NaN')) AS `{c}`" for c in columns]))
+    facts = x.selectExpr(*[f"{f} AS `{c}_{name}`" for c in columns for f, name in (
+        (f"count_if(`{c}` IS NULL)", "nulls"), (f"min(`{c}`)", "low"), (f"max(`{c}`)", "high"),
+        (f"avg(`{c}`)", "mean"))]).first()
     ranges = {c: (facts[f"{c}_low"], facts[f"{c}_high"]) for c in columns}
     targets = [c for c in columns if facts[f"{c}_nulls"] and facts[f"{c}_mean"] is not None]
     if not targets:
-        return x.select(id_column, F.lit("").alias("column_name"), F.lit(0.0).alias("value")).filter(F.lit(False))
-    level = _choose_level(x, columns, ranges, max_cells)
-    parts = [_fill_column(x, id_column, columns, t, k, ranges, level)
-             .withColumn("value", F.coalesce("value", F.lit(facts[f"{t}_mean"]))) for t in targets]
-    return reduce(DataFrame.union, parts)
+        return x.selectExpr(f"`{id_column}`", "'' AS column_name", "0D AS value").filter("FALSE")
+    filled = _fill(x, id_column, columns, targets, k, ranges, _choose_level(x, columns, ranges, max_cells))
+    means = "CASE column_name " + " ".join(f"WHEN '{t}' THEN {facts[f'{t}_mean']!r}D" for t in targets) + " END"
+    return filled.selectExpr(f"`{id_column}`", "column_name", f"coalesce(value, {means}) AS value")
 
 
 def knn_impute(df: DataFrame, id_column: str, columns: list[str], k: int = 5, max_cells: int = 20000) -> DataFrame:
     """NULL -> mean of the k nearest rows that have the column; the columns become double."""
     filled = knn_values(df, id_column, columns, k, max_cells)
     wide = filled.groupBy(id_column).agg(*[
-        F.max(F.when(F.col("column_name") == c, F.col("value"))).alias(f"_knn_{c}") for c in columns])
-    return df.join(wide, id_column, "left").select(*[
-        F.coalesce(F.col(c).cast("double"), F.col(f"_knn_{c}")).alias(c) if c in columns else F.col(c)
+        F.expr(f"max(CASE WHEN column_name = '{c}' THEN value END) AS `_knn_{c}`") for c in columns])
+    return df.join(wide, id_column, "left").selectExpr(*[
+        f"coalesce(nullif(CAST(`{c}` AS DOUBLE), double('NaN')), `_knn_{c}`) AS `{c}`" if c in columns else f"`{c}`"
         for c in df.columns])
