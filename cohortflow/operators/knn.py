@@ -9,7 +9,7 @@ have, scaled up by (all columns / shared columns). For each column to fill:
 2. Tuples are put into cells (one per tuple if there are few, else a grid), and each
    cell is described by its bounding box and row count. The grid is chosen so that the
    number of boxes stays below a limit whatever the table size; that list is broadcast.
-3. Per recipient cell the boxes give an upper bound on the distance of the k-th
+3. Per recipient cell the boxes (as spheres) give an upper bound on the distance of the k-th
    neighbour. Donor cells that lie beyond it cannot contribute and are left out; all
    others are joined by cell. Nothing is sampled and nothing is capped.
 
@@ -47,7 +47,7 @@ def _bin(column: str, low: float | None, high: float | None, level: int) -> str:
 
 
 def _cell(columns: list[str], ranges: dict, level: int) -> str:
-    """Cell number. Should two cells ever share a number, their box simply covers both."""
+    """Cell number. Should two cells ever share a number, their box covers both."""
     return f"xxhash64({', '.join(_bin(c, *ranges[c], level) for c in columns)})"
 
 
@@ -70,8 +70,50 @@ def _boxes(df: DataFrame, columns: list[str]) -> DataFrame:
         for f, name in (("min", "_low"), ("max", "_high"))])
 
 
-def _present(masks: np.ndarray, width: int) -> np.ndarray:
-    return (masks[:, None] >> np.arange(width)) & 1 == 0
+class _Cells:
+    """Cells as spheres around their boxes: centre with 0 for NULL, presence flags, radius, row count."""
+
+    def __init__(self, masks, low, high, counts, width: int):
+        self.masks, self.counts = np.asarray(masks, dtype=np.int64), np.asarray(counts)
+        low, high = (np.asarray(list(side), dtype=float).reshape(len(self.masks), width) for side in (low, high))
+        self.present = ((self.masks[:, None] >> np.arange(width)) & 1 == 0).astype(float)
+        self.centre = (low + high) / 2 * self.present
+        self.radius = np.sqrt((((high - low) / 2 * self.present) ** 2).sum(axis=1))
+
+    def part(self, rows: slice) -> _Cells:
+        cut = object.__new__(_Cells)
+        for name, values in vars(self).items():
+            setattr(cut, name, values[rows])
+        return cut
+
+    def bounds(self, other: _Cells) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest possible distance (squared, scaled) between rows of every two cells;
+        infinite where no column is shared. Rounding errors widen the bounds."""
+        width = self.present.shape[1]
+        n_shared = self.present @ other.present.T
+        squares = (self.centre ** 2) @ other.present.T + self.present @ (other.centre ** 2).T
+        apart = squares - 2 * self.centre @ other.centre.T
+        slack = squares * (width * 1e-14)
+        reach = self.radius[:, None] + other.radius[None, :]
+        scale = np.divide(width, n_shared, out=np.full(n_shared.shape, np.inf), where=n_shared > 0)
+        least = np.maximum(0.0, np.sqrt(np.maximum(0.0, apart - slack)) - reach) ** 2
+        greatest = (np.sqrt(np.maximum(0.0, apart + slack)) + reach) ** 2
+        with np.errstate(invalid="ignore"):
+            return (np.where(n_shared > 0, least * scale * (1 - 1e-12), np.inf),
+                    np.where(n_shared > 0, greatest * scale * (1 + 1e-12), np.inf))
+
+
+def _candidates(recipients: _Cells, donors: _Cells, k: int) -> np.ndarray:
+    """Which donor cells may hold one of the k nearest: every cell has a row, so k cells settle the bound."""
+    least, greatest = recipients.bounds(donors)
+    n = min(k, greatest.shape[1])
+    close = np.argpartition(greatest, n - 1, axis=1)[:, :n]
+    close = np.take_along_axis(close, np.argsort(np.take_along_axis(greatest, close, axis=1), axis=1), axis=1)
+    reached = np.cumsum(donors.counts[close], axis=1) >= k
+    first = np.argmax(reached, axis=1)
+    limit = np.take_along_axis(greatest, np.take_along_axis(close, first[:, None], axis=1), axis=1)
+    limit = np.where(reached.any(axis=1)[:, None], limit, np.inf)
+    return np.isfinite(least) & (least <= limit)
 
 
 def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) -> DataFrame:
@@ -79,39 +121,33 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
     by_target: dict[str, list] = {}
     for row in donors.collect():  # at most about max_cells boxes per target, by the choice of the grid
         by_target.setdefault(row["_target"], []).append(row)
+
+    def column(rows, name):
+        return [r[name] for r in rows]
+
     boxes = recipients.sparkSession.sparkContext.broadcast({target: (
-        np.array([r["_mask"] for r in rows], dtype=np.int64), np.array([r["_cell"] for r in rows], dtype=np.int64),
-        np.array([r["_n"] for r in rows], dtype=np.int64),
-        np.array([r["_low"] for r in rows], dtype=float), np.array([r["_high"] for r in rows], dtype=float))
+        np.array(column(rows, "_cell"), dtype=np.int64),
+        _Cells(column(rows, "_mask"), column(rows, "_low"), column(rows, "_high"), column(rows, "_n"), width))
         for target, rows in by_target.items()})
 
-    def near(box) -> pd.DataFrame | None:
-        if box[0] not in boxes.value:
-            return None
-        masks, cells, counts, low, high = boxes.value[box[0]]
-        q_low, q_high = np.asarray(box[4], dtype=float), np.asarray(box[5], dtype=float)
-        shared = _present(masks | box[1], width)
-        n_shared = shared.sum(axis=1)
-        comparable = n_shared > 0
-        scale = np.divide(width, n_shared, out=np.zeros(len(masks)), where=comparable)
-        gap = np.where(shared, np.maximum(0.0, np.maximum(q_low - high, low - q_high)), 0.0)
-        span = np.where(shared, np.maximum(np.abs(q_high - low), np.abs(high - q_low)), 0.0)
-        at_least = scale * (gap * gap).sum(axis=1)
-        at_most = np.where(comparable, scale * (span * span).sum(axis=1), np.inf)
-        order = np.argsort(at_most, kind="stable")
-        reached = np.searchsorted(np.cumsum(counts[order]), k)
-        limit = at_most[order[reached]] if reached < len(order) else np.inf
-        keep = comparable & (at_least <= limit * (1 + 1e-9))
-        return pd.DataFrame({"_target": box[0], "_q_mask": box[1], "_q_cell": box[2],
-                             "_d_mask": masks[keep], "_d_cell": cells[keep]})
-
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [part for part in map(near, batch.itertuples(index=False, name=None)) if part is not None]
-            if found:
-                yield pd.concat(found, ignore_index=True)
-
-    return recipients.mapInPandas(pairs, PAIR_SCHEMA)
+            for target, rows in batch.groupby("_target"):
+                if target not in boxes.value:
+                    continue
+                donor_cells, there = boxes.value[target]
+                here = _Cells(rows["_mask"], rows["_low"], rows["_high"], rows["_n"], width)
+                q_cells = rows["_cell"].to_numpy()
+                step = max(1, 2_000_000 // len(donor_cells))
+                for start in range(0, len(rows), step):
+                    part = slice(start, start + step)
+                    q, d = np.nonzero(_candidates(here.part(part), there, k))
+                    yield pd.DataFrame({"_target": target, "_q_mask": here.masks[part][q], "_q_cell": q_cells[part][q],
+                                        "_d_mask": there.masks[d], "_d_cell": donor_cells[d]})
+
+    # Few, small rows with much work each: spread them over all cores instead of letting them be merged.
+    cores = recipients.sparkSession.sparkContext.defaultParallelism
+    return recipients.repartition(cores, "_target", "_mask", "_cell").mapInPandas(pairs, PAIR_SCHEMA)
 
 
 def _fill(x: DataFrame, id_column: str, columns: list[str], targets: list[str], k: int,
