@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cohortflow.catalog import etl, features, statistics
+from cohortflow.catalog import etl, features, statistics, synthetic
 from cohortflow.catalog.base import Query
 
 REGISTRY: dict[str, Query] = {}
-for _module in (etl, statistics, features):
+for _module in (etl, statistics, features, synthetic):
     REGISTRY.update(_module.QUERIES)

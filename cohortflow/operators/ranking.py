@@ -52,6 +52,22 @@ def number_rows(df: DataFrame, order_by: list, group_by: list[str] | None = None
     return placed.join(heads, same).select(*df.columns, number)
 
 
+def running_total(table: DataFrame, group_by: list[str], order_by: list[str], weight: str,
+                  name: str = "upto") -> DataFrame:
+    """Sum of the weights of a group up to and including each row, in a total order within the group."""
+    placed = _sorted_parts(table, [*group_by, *order_by])
+    parts = placed.groupBy("_part", *group_by).agg(F.sum(weight).alias("_n"))
+    parts = parts.select(
+        F.col("_part").alias("_head_part"), *[F.col(g).alias(f"_head_{i}") for i, g in enumerate(group_by)],
+        F.coalesce(F.sum("_n").over(_before(group_by)), F.lit(0)).alias("_offset"))
+    same = F.col("_part") == F.col("_head_part")
+    for i, g in enumerate(group_by):
+        same = same & F.col(g).eqNullSafe(F.col(f"_head_{i}"))
+    inside = Window.partitionBy("_part", *group_by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    return (placed.withColumn("_inside", F.sum(weight).over(inside)).join(parts, same)
+            .select(*table.columns, (F.col("_offset") + F.col("_inside")).alias(name)))
+
+
 def weighted_quantiles(table: DataFrame, group: str, value: str, weight: str, probs: list[float]) -> DataFrame:
     """Exact discrete quantiles per group of a (group, value, weight) table: (group, prob, value).
 
