@@ -168,7 +168,7 @@ def search_points(kind: str, df: DataFrame, points: list[dict], folds: int = FOL
 
         tasks = [(p, f) for p in range(len(points)) for f in range(folds)]
         with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(inheritable_thread_target(score), tasks))
+            scores = list(pool.map(inheritable_thread_target(df.sparkSession)(score), tasks))
         means = [sum(s["f1_score"] for s in scores if s["point"] == p) / folds for p in range(len(points))]
         best = max(range(len(points)), key=lambda i: means[i])
         model = classifier(kind, points[best], features, label, seed).fit(df)
