@@ -7,11 +7,14 @@ have, scaled up by (all columns / shared columns). For each column to fill:
    coordinates only the k smallest ids can ever be chosen, so only those are kept.
    Both steps work on partial groups before the shuffle.
 2. Tuples are put into cells (one per tuple if there are few, else a grid), and each
-   cell is described by its bounding box and row count. The grid is chosen so that the
-   number of boxes stays below a limit whatever the table size; that list is broadcast.
-3. Per recipient cell the boxes (as spheres) give an upper bound on the distance of the k-th
-   neighbour. Donor cells that lie beyond it cannot contribute and are left out; all
-   others are joined by cell. Nothing is sampled and nothing is capped.
+   cell is described by its bounding box and row count. The first grid is chosen so that
+   the number of boxes stays below a limit whatever the table size; that list is broadcast.
+3. Per recipient cell the boxes give an upper bound on the distance of the k-th
+   neighbour. Donor cells that lie beyond it cannot contribute and are left out.
+4. The remaining pairs of cells are split into finer cells and judged again, by joins
+   on the cell, until every cell is a single tuple. So no two rows are compared unless
+   they may be neighbours, also where a third of the table falls into one cell.
+   Nothing is sampled and nothing is capped.
 
 Equal distances are resolved by the smaller id.
 """
@@ -27,8 +30,9 @@ from pyspark.sql import functions as F
 
 from cohortflow.session import settle
 
-LEVELS = (12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0)  # 2^level bins per column
+LEVELS = range(13)  # 2^level bins per column
 EXACT = -1
+SPLIT = 8  # finer cells per cell, on average, from one step to the next
 PAIR_SCHEMA = "_target string, _q_mask long, _q_cell long, _d_mask long, _d_cell long"
 
 
@@ -51,21 +55,33 @@ def _cell(columns: list[str], ranges: dict, level: int) -> str:
     return f"xxhash64({', '.join(_bin(c, *ranges[c], level) for c in columns)})"
 
 
-def _choose_level(df: DataFrame, columns: list[str], ranges: dict, max_cells: int) -> int:
-    """The finest cells of which there are at most max_cells; grids are counted only if tuples are too many."""
-    for levels in ((EXACT,), LEVELS):
-        counts = df.selectExpr(*[
+def _choose_levels(df: DataFrame, columns: list[str], ranges: dict, max_cells: int) -> list[int]:
+    """Cells to use, coarse to fine: the finest of which there are at most max_cells, and from there
+    finer ones up to single tuples. Grids are counted only if there are too many tuples."""
+    def count(levels) -> dict[int, int]:
+        found = df.selectExpr(*[
             f"approx_count_distinct(struct({_mask(columns)}, {_cell(columns, ranges, level)}), 0.02) AS `{level}`"
             for level in levels]).first()
-        for level in levels:
-            if counts[str(level)] <= max_cells:
-                return level
-    raise ValueError("more NULL patterns than cells allowed; raise max_cells")
-
-
-def _boxes(df: DataFrame, columns: list[str]) -> DataFrame:
+        return {level: found[str(level)] for level in levels}
+
+    tuples = count([EXACT])[EXACT]
+    if tuples <= max_cells:
+        return [EXACT]
+    cells = count(LEVELS)
+    fitting = [level for level in LEVELS if cells[level] <= max_cells]
+    if not fitting:
+        raise ValueError("more NULL patterns than cells allowed; raise max_cells")
+    chosen = [fitting[-1]]
+    while cells[chosen[-1]] * SPLIT < tuples and chosen[-1] < LEVELS[-1]:
+        finer = [level for level in LEVELS if level > chosen[-1]]
+        near = [level for level in finer if cells[level] <= SPLIT * cells[chosen[-1]]]
+        chosen.append(near[-1] if near else finer[0])
+    return [*chosen, EXACT]
+
+
+def _boxes(df: DataFrame, columns: list[str], *cells: str) -> DataFrame:
     """Bounding box and row count per column to fill, NULL pattern and cell."""
-    return df.groupBy("_target", "_mask", "_cell").agg(F.expr("count(1) AS _n"), *[
+    return df.groupBy("_target", "_mask", *cells).agg(F.expr("count(1) AS _n"), *[
         F.expr(f"array({', '.join(f'coalesce({f}(`{c}`), 0D)' for c in columns)}) AS {name}")
         for f, name in (("min", "_low"), ("max", "_high"))])
 
@@ -126,7 +142,7 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
         return [r[name] for r in rows]
 
     boxes = recipients.sparkSession.sparkContext.broadcast({target: (
-        np.array(column(rows, "_cell"), dtype=np.int64),
+        np.array(column(rows, "_cell0"), dtype=np.int64),
         _Cells(column(rows, "_mask"), column(rows, "_low"), column(rows, "_high"), column(rows, "_n"), width))
         for target, rows in by_target.items()})
 
@@ -137,7 +153,7 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
                     continue
                 donor_cells, there = boxes.value[target]
                 here = _Cells(rows["_mask"], rows["_low"], rows["_high"], rows["_n"], width)
-                q_cells = rows["_cell"].to_numpy()
+                q_cells = rows["_cell0"].to_numpy()
                 step = max(1, 2_000_000 // len(donor_cells))
                 for start in range(0, len(rows), step):
                     part = slice(start, start + step)
@@ -147,30 +163,64 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
 
     # Few, small rows with much work each: spread them over all cores instead of letting them be merged.
     cores = recipients.sparkSession.sparkContext.defaultParallelism
-    return recipients.repartition(cores, "_target", "_mask", "_cell").mapInPandas(pairs, PAIR_SCHEMA)
+    return recipients.repartition(cores, "_target", "_mask", "_cell0").mapInPandas(pairs, PAIR_SCHEMA)
+
+
+def _refined(pairs: DataFrame, tuples: DataFrame, donors: DataFrame, columns: list[str], step: int, k: int) -> DataFrame:
+    """The pairs of cells of one step as pairs of the next, finer cells that may still hold a neighbour."""
+    old, new, width = f"_cell{step - 1}", f"_cell{step}", len(columns)
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return _boxes(df, columns, old, new).selectExpr(
+            "_target", f"_mask AS _{s}_mask", f"{old} AS _{s}_cell", f"{new} AS _{s}_next",
+            f"_n AS _{s}_n", f"_low AS _{s}_low", f"_high AS _{s}_high")
+
+    def total(term: str) -> str:
+        return " + ".join(f"CASE WHEN (_either & {1 << i}L) = 0 THEN power({term.replace('#', str(i))}, 2) ELSE 0D END"
+                          for i in range(width))
+
+    gap = total("greatest(0D, _q_low[#] - _d_high[#], _d_low[#] - _q_high[#])")
+    span = total("greatest(abs(_q_high[#] - _d_low[#]), abs(_d_high[#] - _q_low[#]))")
+    split = (pairs.join(side(tuples, "q"), ["_target", "_q_mask", "_q_cell"])
+             .join(side(donors, "d"), ["_target", "_d_mask", "_d_cell"])
+             .selectExpr("*", "_q_mask | _d_mask AS _either", f"{width} / ({width} - bit_count(_q_mask | _d_mask)) AS _scale")
+             .selectExpr("_target", "_q_mask", "_q_cell", "_q_next", "_d_mask", "_d_next", "_d_n",
+                         f"({gap}) * _scale AS _least", f"({span}) * _scale AS _most"))
+    cell = ["_target", "_q_mask", "_q_cell", "_q_next"]
+    reach = F.sum("_d_n").over(Window.partitionBy(*cell).orderBy("_most").rangeBetween(Window.unboundedPreceding, 0))
+    limit = F.min(F.when(F.col("_reach") >= k, F.col("_most"))).over(Window.partitionBy(*cell))
+    kept = (split.withColumn("_reach", reach).withColumn("_limit", limit)
+            .filter("_limit IS NULL OR _least <= _limit * (1 + 1e-9)"))
+    return settle(kept.selectExpr("_target", "_q_mask", "_q_next AS _q_cell", "_d_mask", "_d_next AS _d_cell").distinct())
 
 
 def _fill(x: DataFrame, id_column: str, columns: list[str], targets: list[str], k: int,
-          ranges: dict, level: int) -> DataFrame:
+          ranges: dict, levels: list[int]) -> DataFrame:
     """(id, column_name, value) for every NULL in a target column, value NULL if no row is comparable."""
     blanked = [f"CASE WHEN _target = '{c}' THEN NULL ELSE `{c}` END AS `{c}`" if c in targets else f"`{c}`"
                for c in columns]
     own = "CASE _target " + " ".join(f"WHEN '{t}' THEN `{t}`" for t in targets) + " END AS _value"
+    cells = [f"_cell{i}" for i in range(len(levels))]
     per_target = x.withColumn("_target", F.explode(F.array(*[F.lit(t) for t in targets])))
     placed = (per_target.selectExpr(f"`{id_column}`", "_target", own, *blanked)
-              .selectExpr("*", f"{_mask(columns)} AS _mask", f"{_cell(columns, ranges, level)} AS _cell"))
-    place = ["_target", "_mask", "_cell", *columns]
+              .selectExpr("*", f"{_mask(columns)} AS _mask",
+                          *[f"{_cell(columns, ranges, level)} AS {name}" for name, level in zip(cells, levels)]))
+    place = ["_target", "_mask", *cells, *columns]
 
     recipients = placed.filter("_value IS NULL")
     tuples = recipients.select(*place).distinct()
     donors = (placed.filter("_value IS NOT NULL")
               .withColumn("_rank", F.row_number().over(Window.partitionBy(*place).orderBy(id_column)))
               .filter(F.col("_rank") <= k).drop("_rank"))
-    pairs = _near_cells(_boxes(tuples, columns), _boxes(donors, columns), len(columns), k)
+    if len(levels) > 1:  # read once per step
+        tuples, donors = settle(tuples), settle(donors)
+    pairs = _near_cells(_boxes(tuples, columns, "_cell0"), _boxes(donors, columns, "_cell0"), len(columns), k)
+    for step in range(1, len(levels)):
+        pairs = _refined(pairs, tuples, donors, columns, step, k)
 
-    left = tuples.select("_target", F.col("_mask").alias("_q_mask"), F.col("_cell").alias("_q_cell"),
+    left = tuples.select("_target", F.col("_mask").alias("_q_mask"), F.col(cells[-1]).alias("_q_cell"),
                          F.struct(*columns).alias("_q"))
-    right = donors.select("_target", F.col("_mask").alias("_d_mask"), F.col("_cell").alias("_d_cell"),
+    right = donors.select("_target", F.col("_mask").alias("_d_mask"), F.col(cells[-1]).alias("_d_cell"),
                           F.col(id_column).alias("_d_id"), "_value", F.struct(*columns).alias("_d"))
     compared = left.join(pairs, ["_target", "_q_mask", "_q_cell"]).join(right, ["_target", "_d_mask", "_d_cell"])
     total = " + ".join(f"coalesce((_q.`{c}` - _d.`{c}`) * (_q.`{c}` - _d.`{c}`), 0D)" for c in columns)
@@ -196,7 +246,7 @@ def knn_values(df: DataFrame, id_column: str, columns: list[str], k: int = 5, ma
     targets = [c for c in columns if facts[f"{c}_nulls"] and facts[f"{c}_mean"] is not None]
     if not targets:
         return x.selectExpr(f"`{id_column}`", "'' AS column_name", "0D AS value").filter("FALSE")
-    filled = _fill(x, id_column, columns, targets, k, ranges, _choose_level(x, columns, ranges, max_cells))
+    filled = _fill(x, id_column, columns, targets, k, ranges, _choose_levels(x, columns, ranges, max_cells))
     means = "CASE column_name " + " ".join(f"WHEN '{t}' THEN {facts[f'{t}_mean']!r}D" for t in targets) + " END"
     return filled.selectExpr(f"`{id_column}`", "column_name", f"coalesce(value, {means}) AS value")
 

@@ -68,29 +68,38 @@ def running_total(table: DataFrame, group_by: list[str], order_by: list[str], we
             .select(*table.columns, (F.col("_offset") + F.col("_inside")).alias(name)))
 
 
-def weighted_quantiles(table: DataFrame, group: str, value: str, weight: str, probs: list[float]) -> DataFrame:
-    """Exact discrete quantiles per group of a (group, value, weight) table: (group, prob, value).
+def values_at_ranks(table: DataFrame, group: str, order_by: list[str], weight: str,
+                    ranks: dict[str, list[int]]) -> DataFrame:
+    """The rows in which the running weight of a group reaches the given ranks: the row's columns and rank.
 
-    The quantile of p is the smallest value whose cumulative weight reaches p of the total.
-    Only the partitions that hold a sought rank are read a second time.
+    Partition totals show where a rank lies, so only those partitions are summed up row by row.
     """
-    placed = _sorted_parts(table.select(group, value, weight), [group, value])
+    placed = _sorted_parts(table, [group, *order_by])
     parts = placed.groupBy("_part", group).agg(F.sum(weight).alias("_n"))
-    parts = parts.select(
-        F.col("_part"), F.col(group).alias("_group"), "_n",
-        F.coalesce(F.sum("_n").over(_before([group])), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(group)).alias("_total"))
-    sought = (
-        parts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_rank", F.greatest(F.ceil(F.col("prob") * F.col("_total")), F.lit(1)))
-        .filter((F.col("_rank") > F.col("_offset")) & (F.col("_rank") <= F.col("_offset") + F.col("_n")))
-        .select(F.col("_part").alias("_sought_part"), "_group", "prob",
-                (F.col("_rank") - F.col("_offset")).alias("_local_rank")))
-    # one row per group and probability, however large the table is
-    hits = placed.join(sought.select(F.col("_sought_part").alias("_part"), F.col("_group").alias(group)).distinct(),
-                       ["_part", group], "left_semi")
-    upto = F.sum(weight).over(Window.partitionBy("_part", group).orderBy(value))
-    hits = hits.withColumn("_upto", upto)
-    return (hits.join(sought, (hits["_part"] == sought["_sought_part"]) & (hits[group] == sought["_group"]))
-            .filter((F.col("_upto") >= F.col("_local_rank")) & (F.col("_upto") - F.col(weight) < F.col("_local_rank")))
-            .select(hits[group], "prob", hits[value]))
+    parts = parts.withColumn("_offset", F.coalesce(F.sum("_n").over(_before([group])), F.lit(0)))
+    return _pick(placed.join(_holding(parts, group, ranks), ["_part", group]), ["_part", group], ["_pos"], weight,
+                 table.columns)
+
+
+def values_at_ranks_small(table: DataFrame, group: str, order_by: list[str], weight: str,
+                          ranks: dict[str, list[int]]) -> DataFrame:
+    """The same for groups that are known to be small enough for one task each."""
+    parts = table.groupBy(group).agg(F.sum(weight).alias("_n")).withColumn("_offset", F.lit(0))
+    return _pick(table.join(_holding(parts, group, ranks), group), [group], order_by, weight, table.columns)
+
+
+def _holding(parts: DataFrame, group: str, ranks: dict[str, list[int]]) -> DataFrame:
+    """Parts that hold a sought rank, with the ranks they hold."""
+    wanted = F.create_map(*[F.lit(x) for g, found in ranks.items() for x in (g, sorted(set(found)))])
+    held = F.filter(F.try_element_at(wanted, F.col(group)),
+                    lambda rank: (rank > F.col("_offset")) & (rank <= F.col("_offset") + F.col("_n")))
+    return parts.withColumn("_ranks", held).filter(F.size("_ranks") > 0).drop("_n")
+
+
+def _pick(rows: DataFrame, within: list[str], order_by: list[str], weight: str, columns: list[str]) -> DataFrame:
+    inside = Window.partitionBy(*within).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_offset") + F.sum(weight).over(inside)
+    return (rows.withColumn("_upto", upto)
+            .withColumn("rank", F.explode(F.filter("_ranks", lambda rank: (rank <= F.col("_upto")) & (
+                rank > F.col("_upto") - F.col(weight)))))
+            .select(*columns, "rank"))

@@ -61,3 +61,8 @@ def null_flags(columns: list[str]) -> Column:
 def rows_with_nulls(df: DataFrame, columns: list[str] | None = None, more_than: int = 0) -> DataFrame:
     """Rows with more than the given number of NULLs in the columns."""
     return df.filter(null_flags(columns or df.columns) > more_than)
+
+
+def duplicated(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, with their number of rows. Such ids multiply rows in a join."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions.columns import null_count
-from cohortflow.operators.ranking import weighted_quantiles
+from cohortflow.operators.ranking import values_at_ranks, values_at_ranks_small
 
 QUARTILES = [0.25, 0.5, 0.75]
+BRACKET = 8  # width of a bracket in units of the sketch's rank error
+ONE_TASK_ROWS = 1_000_000  # values per column that one task may sort
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -52,7 +55,8 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact number of distinct non-NULL values per column."""
-    return (value_counts(df, columns).groupBy("column_name")
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+    return (value_counts(df, columns, "bigint" if whole else "string").groupBy("column_name")
             .agg(F.count("value").alias("n_distinct")))
 
 
@@ -89,10 +93,72 @@ def medians(df: DataFrame, columns: list[str], error: float = 0.01) -> dict[str,
     return {c: (q[0] if q else None) for c, q in zip(columns, found)}
 
 
-def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Exact discrete quantiles of several columns: (column_name, prob, value)."""
-    counts = value_counts(df, columns, "double").filter(F.col("value").isNotNull())
-    return weighted_quantiles(counts, "column_name", "value", "n", probs)
+def quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
+    """Exact discrete quantiles of several columns, (column_name, prob, value), from two scans.
+
+    The first scan sketches a narrow bracket around every quantile and counts the rows. The second
+    counts values inside the brackets one by one and all others in bulk, so little is shuffled or
+    sorted. Should a bracket miss its rank, the values of all rows are counted.
+    """
+    spark, n_of, sought = df.sparkSession, {}, {}
+    brackets = _brackets(df, columns, probs, accuracy)
+    for c, (n, _) in brackets.items():
+        if n:
+            n_of[c] = n
+            sought[c] = {float(p): max(math.ceil(p * n), 1) for p in probs}
+    empty = "column_name string, prob double, value double"
+    if not sought:
+        return spark.createDataFrame([], empty)
+
+    names = list(sought)
+    table = _marked(df, names, brackets).groupBy("column_name", "value", "bulk").agg(F.count(F.lit(1)).alias("n"))
+    ranks = {c: list(found.values()) for c, found in sought.items()}
+    inside = max(n_of.values()) * BRACKET * len(probs) / accuracy
+    pick = values_at_ranks_small if inside <= ONE_TASK_ROWS else values_at_ranks
+    order = [F.col("value").asc_nulls_first(), "bulk"]
+    hits = pick(table, "column_name", order, "n", ranks).collect()  # one row per column and probability
+    if any(h["bulk"] for h in hits):
+        counts = value_counts(df, names, "double").filter(F.col("value").isNotNull()).withColumn("bulk", F.lit(False))
+        hits = values_at_ranks(counts, "column_name", order, "n", ranks).collect()
+    found = {(h["column_name"], h["rank"]): h["value"] for h in hits}
+    return spark.createDataFrame([(c, p, found[(c, rank)]) for c in names for p, rank in sought[c].items()], empty)
+
+
+def _brackets(df: DataFrame, columns: list[str], probs: list[float], accuracy: int) -> dict[str, tuple]:
+    """Per column: number of values, and merged (low, high) brackets that hold the quantiles."""
+    edges = [min(max(p + side * BRACKET / 2 / accuracy, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    wanted = F.array(*[F.lit(e) for e in edges])
+    row = df.agg(*[F.count(c).alias(f"{c}_n") for c in columns], *[
+        F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(f"{c}_q") for c in columns]).first()
+    out = {}
+    for c in columns:
+        found, merged = row[f"{c}_q"] or [], []
+        for low, high in sorted(zip(found[::2], found[1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        out[c] = (row[f"{c}_n"], merged)
+    return out
+
+
+def _marked(df: DataFrame, columns: list[str], brackets: dict[str, tuple]) -> DataFrame:
+    """(column_name, value, bulk): values in a bracket as they are; values in a gap as the end of the bracket
+    below it (NULL below the first), marked as bulk."""
+    cells = []
+    for c in columns:
+        number = F.col(c).cast("double")
+        value, bulk, before = None, None, F.lit(None).cast("double")
+        for low, high in brackets[c][1]:
+            steps = ((number < low, before, True), (number <= high, number, False))
+            for test, v, flag in steps:
+                value = F.when(test, v) if value is None else value.when(test, v)
+                bulk = F.when(test, F.lit(flag)) if bulk is None else bulk.when(test, F.lit(flag))
+            before = F.lit(high)
+        cells.append(F.when(number.isNotNull(), F.struct(
+            value.otherwise(before).alias("value"), bulk.otherwise(F.lit(True)).alias("bulk"))).alias(c))
+    long = df.select(*cells).unpivot([], columns, "column_name", "cell").filter(F.col("cell").isNotNull())
+    return long.select("column_name", "cell.value", "cell.bulk")
 
 
 def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
@@ -205,20 +271,23 @@ def pair_histogram(df: DataFrame, x: str, y: str, by: str, bins: int = 10) -> Da
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def column_kinds(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """numeric, categorical or id per column: (column_name, kind).
+def detect_kinds(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
+    """numeric, categorical or id per column.
 
-    An integer or text column without NULLs whose values are all different is an id;
-    other numbers are numeric and the rest categorical.
+    An integer or text column without NULLs whose values are all different is an id; other
+    numbers are numeric and the rest categorical. A sketch rules out most id candidates; only
+    those it leaves are counted exactly.
     """
     columns = columns or df.columns
-    numbers = [c for c in columns if is_numeric(df, c)]
-    fractional = [c for c in columns if isinstance(df.schema[c].dataType, (T.FractionalType, T.DecimalType))]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"{c}_n") for c in columns], *[
+        F.approx_count_distinct(c, 0.02).alias(f"{c}_d") for c in columns]).first()
+    fractional = (T.FractionalType, T.DecimalType)
+    maybe = [c for c in columns if row["n"] and row[f"{c}_n"] == row["n"] and row[f"{c}_d"] >= 0.8 * row["n"]
+             and not isinstance(df.schema[c].dataType, fractional)]
+    ids = {r["column_name"] for r in distinct_counts(df, maybe).collect() if r["n_distinct"] == row["n"]} if maybe else set()
+    return {c: "id" if c in ids else "numeric" if is_numeric(df, c) else "categorical" for c in columns}
 
-    def among(names: list[str]) -> Column:
-        return F.col("column_name").isin(names) if names else F.lit(False)
 
-    return (value_counts(df, columns).groupBy("column_name")
-            .agg(F.sum("n").alias("rows"), F.count("value").alias("distinct"))
-            .select("column_name", F.when((F.col("rows") == F.col("distinct")) & ~among(fractional), "id")
-                    .when(among(numbers), "numeric").otherwise("categorical").alias("kind")))
+def column_kinds(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """detect_kinds as rows: (column_name, kind)."""
+    return df.sparkSession.createDataFrame(list(detect_kinds(df, columns).items()), "column_name string, kind string")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.operators.ranking import running_total
-from cohortflow.operators.stats import column_kinds, is_numeric
+from cohortflow.operators.stats import detect_kinds, is_numeric
 
 BROADCAST_VALUES = 1_000_000  # table entries, some tens of MB
 
@@ -77,7 +77,7 @@ def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, steps:
     """As many rows as asked for, with the columns of df. Id columns count up from id_start."""
     spark = df.sparkSession
     columns = [c for c in df.columns if c != label]
-    kinds = {r["column_name"]: r["kind"] for r in column_kinds(df, columns).collect()}
+    kinds = detect_kinds(df, columns)
     numeric = [c for c in columns if kinds[c] == "numeric"]
     text = [c for c in columns if kinds[c] == "categorical"]
     levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in [label, *text]]).first()

@@ -46,13 +46,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and go on from the written rows.
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write the frame to the shared folder and go on from the written table.
 
     Partition-dependent columns (partition number, position) must be read back
     rather than recomputed, because a lost executor may make Spark sort again.
+    The table is columnar, so later steps read only the columns they use.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
