@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,8 +87,8 @@ def null_percent(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def medians(df: DataFrame, columns: list[str], error: float = 0.01) -> dict[str, float | None]:
     """Median per column in one job, an existing value within the given rank error; error 0 is exact."""
     if error == 0:
-        rows = quantiles(df, columns, [0.5]).collect()  # one row per column
-        return {c: None for c in columns} | {r["column_name"]: r["value"] for r in rows}
+        found = _exact_quantiles(df, columns, [0.5])[0]
+        return {c: found.get((c, 0.5)) for c in columns}
     found = df.approxQuantile(list(columns), [0.5], error)
     return {c: (q[0] if q else None) for c, q in zip(columns, found)}
 
@@ -100,36 +100,39 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: i
     counts values inside the brackets one by one and all others in bulk, so little is shuffled or
     sorted. Should a bracket miss its rank, the values of all rows are counted.
     """
-    spark, n_of, sought = df.sparkSession, {}, {}
-    brackets = _brackets(df, columns, probs, accuracy)
-    for c, (n, _) in brackets.items():
-        if n:
-            n_of[c] = n
-            sought[c] = {float(p): max(math.ceil(p * n), 1) for p in probs}
-    empty = "column_name string, prob double, value double"
-    if not sought:
-        return spark.createDataFrame([], empty)
-
-    names = list(sought)
+    found, _ = _exact_quantiles(df, columns, probs, accuracy)
+    return df.sparkSession.createDataFrame([(c, p, value) for (c, p), value in found.items()],
+                                           "column_name string, prob double, value double")
+
+
+def _exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000,
+                     extra: list[Column] = ()) -> tuple[dict[tuple[str, float], float], Row]:
+    """{(column, prob): value} and the first scan's row, to which further aggregates may be added."""
+    brackets, row = _brackets(df, columns, probs, accuracy, extra)
+    rank = {(c, float(p)): max(math.ceil(p * row[f"{c}_n"]), 1) for c in columns for p in probs if row[f"{c}_n"]}
+    names = list(dict.fromkeys(c for c, _ in rank))
+    if not names:
+        return {}, row
+    ranks = {c: [r for (name, _), r in rank.items() if name == c] for c in names}
     table = _marked(df, names, brackets).groupBy("column_name", "value", "bulk").agg(F.count(F.lit(1)).alias("n"))
-    ranks = {c: list(found.values()) for c, found in sought.items()}
-    inside = max(n_of.values()) * BRACKET * len(probs) / accuracy
+    inside = max(row[f"{c}_n"] for c in names) * BRACKET * len(probs) / accuracy
     pick = values_at_ranks_small if inside <= ONE_TASK_ROWS else values_at_ranks
     order = [F.col("value").asc_nulls_first(), "bulk"]
     hits = pick(table, "column_name", order, "n", ranks).collect()  # one row per column and probability
     if any(h["bulk"] for h in hits):
         counts = value_counts(df, names, "double").filter(F.col("value").isNotNull()).withColumn("bulk", F.lit(False))
         hits = values_at_ranks(counts, "column_name", order, "n", ranks).collect()
-    found = {(h["column_name"], h["rank"]): h["value"] for h in hits}
-    return spark.createDataFrame([(c, p, found[(c, rank)]) for c in names for p, rank in sought[c].items()], empty)
+    value = {(h["column_name"], h["rank"]): h["value"] for h in hits}
+    return {key: value[(key[0], r)] for key, r in rank.items()}, row
 
 
-def _brackets(df: DataFrame, columns: list[str], probs: list[float], accuracy: int) -> dict[str, tuple]:
-    """Per column: number of values, and merged (low, high) brackets that hold the quantiles."""
+def _brackets(df: DataFrame, columns: list[str], probs: list[float], accuracy: int,
+              extra: list[Column]) -> tuple[dict[str, list], Row]:
+    """Per column the merged (low, high) brackets that should hold the quantiles, and the aggregate's row."""
     edges = [min(max(p + side * BRACKET / 2 / accuracy, 0.0), 1.0) for p in probs for side in (-1, 1)]
     wanted = F.array(*[F.lit(e) for e in edges])
     row = df.agg(*[F.count(c).alias(f"{c}_n") for c in columns], *[
-        F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(f"{c}_q") for c in columns]).first()
+        F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(f"{c}_q") for c in columns], *extra).first()
     out = {}
     for c in columns:
         found, merged = row[f"{c}_q"] or [], []
@@ -138,18 +141,18 @@ def _brackets(df: DataFrame, columns: list[str], probs: list[float], accuracy: i
                 merged[-1][1] = max(merged[-1][1], high)
             else:
                 merged.append([low, high])
-        out[c] = (row[f"{c}_n"], merged)
-    return out
+        out[c] = merged
+    return out, row
 
 
-def _marked(df: DataFrame, columns: list[str], brackets: dict[str, tuple]) -> DataFrame:
+def _marked(df: DataFrame, columns: list[str], brackets: dict[str, list]) -> DataFrame:
     """(column_name, value, bulk): values in a bracket as they are; values in a gap as the end of the bracket
     below it (NULL below the first), marked as bulk."""
     cells = []
     for c in columns:
         number = F.col(c).cast("double")
         value, bulk, before = None, None, F.lit(None).cast("double")
-        for low, high in brackets[c][1]:
+        for low, high in brackets[c]:
             steps = ((number < low, before, True), (number <= high, number, False))
             for test, v, flag in steps:
                 value = F.when(test, v) if value is None else value.when(test, v)
@@ -170,31 +173,39 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float], accu
     return found.select(F.inline(F.array(*pairs)))
 
 
+def _spread(df: DataFrame, column: str) -> dict[str, Column]:
+    """Aggregates of one column. Text columns have a text range only."""
+    numeric = is_numeric(df, column)
+    number = F.col(column).cast("double") if numeric else F.lit(None).cast("double")
+    text = F.lit(None).cast("string") if numeric else F.col(column).cast("string")
+    return {"n": F.count(column), "mean": F.avg(number), "stddev": F.stddev(number),
+            "min_value": F.min(number), "max_value": F.max(number), "min_text": F.min(text), "max_text": F.max(text)}
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, standard deviation and range per column. Text columns have a text range only."""
-    columns = columns or df.columns
-    aggregates, lines = [], []
-    for c in columns:
-        numeric = is_numeric(df, c)
-        number = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
-        parts = {"n": F.count(c), "mean": F.avg(number), "stddev": F.stddev(number),
-                 "min_value": F.min(number), "max_value": F.max(number),
-                 "min_text": F.min(text), "max_text": F.max(text)}
-        aggregates += [part.alias(f"{c}_{name}") for name, part in parts.items()]
-        lines.append(F.struct(F.lit(c).alias("column_name"),
-                              *[F.col(f"{c}_{name}").alias(name) for name in parts]))
-    return _lines(df, aggregates, lines)
+    """Count, mean, standard deviation and range per column."""
+    parts = {c: _spread(df, c) for c in columns or df.columns}
+    return _lines(df, [part.alias(f"{c}_{name}") for c in parts for name, part in parts[c].items()],
+                  [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}_{name}").alias(name) for name in parts[c]])
+                   for c in parts])
 
 
 def summary(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
-    """describe() of numeric columns plus quartiles: exact, or sketched if an accuracy is given."""
-    found = quantiles(df, columns, QUARTILES) if accuracy is None else \
-        approx_quantiles(df, columns, QUARTILES, accuracy)
-    wide = found.groupBy("column_name").agg(*[
-        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}") for p in QUARTILES])
-    return (describe(df, columns).drop("min_text", "max_text")
-            .join(wide, "column_name", "left"))
+    """describe() of numeric columns plus quartiles: exact in two scans, or sketched in one if an accuracy is given."""
+    names = ["n", "mean", "stddev", "min_value", "max_value"]
+    parts = [(c, name, part) for c in columns for name, part in _spread(df, c).items() if name in names]
+    if accuracy is not None:
+        wanted = F.array(*[F.lit(p) for p in QUARTILES])
+        sketches = [F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(f"{c}_q") for c in columns]
+        return _lines(df, [part.alias(f"{c}_{name}") for c, name, part in parts] + sketches, [F.struct(
+            F.lit(c).alias("column_name"), *[F.col(f"{c}_{name}").alias(name) for name in names],
+            *[F.col(f"{c}_q")[i].alias(f"q{int(p * 100)}") for i, p in enumerate(QUARTILES)]) for c in columns])
+    extra = [part.alias(f"{c}_{name}") for c, name, part in parts if name != "n"]  # the sketch counts already
+    found, row = _exact_quantiles(df, columns, QUARTILES, extra=extra)
+    rows = [(c, *[row[f"{c}_{name}"] for name in names], *[found.get((c, p)) for p in QUARTILES]) for c in columns]
+    schema = "column_name string, n bigint, " + ", ".join(
+        f"{name} double" for name in [*names[1:], *[f"q{int(p * 100)}" for p in QUARTILES]])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

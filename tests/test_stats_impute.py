@@ -72,3 +72,31 @@ def test_approximate_distinct_counts(spark):
     df = spark.range(5000).select((F.col("id") % 100).alias("k"))
     found = stats.approx_distinct_counts(df, ["k"]).first()["n_distinct"]
     assert abs(found - 100) <= 15
+
+
+def test_brackets_that_miss_fall_back_to_all_values(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    whole = stats._brackets
+
+    def off_target(*args):
+        found, row = whole(*args)
+        return {c: [[0.0, 1.0], [5.0, 6.0]] for c in found}, row
+
+    monkeypatch.setattr(stats, "_brackets", off_target)
+    assert stats.medians(df, ["x"], 0.0) == {"x": 499.0}
+
+
+def test_quantiles_agree_on_both_ways_of_picking_ranks(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("x"), F.lit(4.0).alias("y")).repartition(6)
+    small = {(r["column_name"], r["prob"]): r["value"] for r in stats.quantiles(df, ["x", "y"], [0.0, 0.3, 0.31, 1.0]).collect()}
+    monkeypatch.setattr(stats, "ONE_TASK_ROWS", 0)
+    large = {(r["column_name"], r["prob"]): r["value"] for r in stats.quantiles(df, ["x", "y"], [0.0, 0.3, 0.31, 1.0]).collect()}
+    values = sorted(i * 7919 % 3001 for i in range(3000))
+    assert small == large
+    assert small[("x", 0.3)] == values[899] and small[("x", 1.0)] == values[-1] and small[("y", 0.31)] == 4.0
+
+
+def test_sketched_summary_is_close_to_the_exact_one(spark, small_silver):
+    exact = {r["column_name"]: r for r in stats.summary(small_silver, ["age"]).collect()}["age"]
+    sketched = {r["column_name"]: r for r in stats.summary(small_silver, ["age"], accuracy=10000).collect()}["age"]
+    assert exact == sketched
