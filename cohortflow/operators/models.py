@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import random
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -97,6 +99,20 @@ def scores_of(model: Model, df: DataFrame, label: str = "label") -> dict[str, fl
     return {m: row[m] for m in METRICS}
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame held in memory (disk where it does not fit) for as long as it is read again and again.
+    A frame that the caller already keeps stays with the caller."""
+    if df.is_cached:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 @dataclass
 class Outcome:
     """One cross-validated model: every point's fold mean, the best point, and its refit."""
@@ -119,12 +135,6 @@ class Outcome:
                 *[float(self.resubstitution[m]) for m in METRICS])
 
 
-def _param_maps(base: Estimator, points: list[dict]) -> list[dict]:
-    """Parameter points bound to the estimator that owns them (the inner one for one-versus-rest)."""
-    owner = base.getClassifier() if isinstance(base, OneVsRest) else base
-    return [{owner.getParam(name): value for name, value in point.items()} for point in points]
-
-
 def cross_validate(kind: str, df: DataFrame, grid: dict, folds: int = FOLDS, seed: int = SEED,
                    label: str = "label", features: str = "features", parallelism: int = 4) -> Outcome:
     """Grid search with random folds; the best mean weighted F1 wins and is refit on all rows."""
@@ -138,15 +148,12 @@ def cross_validate(kind: str, df: DataFrame, grid: dict, folds: int = FOLDS, see
     maps = builder.build()
     search = CrossValidator(estimator=base, estimatorParamMaps=maps, numFolds=folds, seed=seed, parallelism=parallelism,
                             evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="f1"))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(df) as df:
         fitted = search.fit(df)
         points = [{param.name: value for param, value in m.items()} for m in maps]
         best = max(range(len(points)), key=lambda i: fitted.avgMetrics[i])
         return Outcome(kind, grid, points, list(fitted.avgMetrics), points[best], fitted.bestModel,
                        scores_of(fitted.bestModel, df, label))
-    finally:
-        df.unpersist()
 
 
 def search_points(kind: str, df: DataFrame, points: list[dict], folds: int = FOLDS, seed: int = SEED,
@@ -156,8 +163,7 @@ def search_points(kind: str, df: DataFrame, points: list[dict], folds: int = FOL
     if fold_column is None:
         fold_column = "_fold"
         df = df.withColumn(fold_column, F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(folds)).cast("int"))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(df) as df:
         splits = [fold_split(df, i, fold_column) for i in range(folds)]
 
         def score(task: tuple[int, int]) -> dict:
@@ -174,8 +180,6 @@ def search_points(kind: str, df: DataFrame, points: list[dict], folds: int = FOL
         model = classifier(kind, points[best], features, label, seed).fit(df)
         return Outcome(kind, searched if searched is not None else points, points, means, points[best], model,
                        scores_of(model, df, label), scores)
-    finally:
-        df.unpersist()
 
 
 def random_search(kind: str, df: DataFrame, space: dict, count: int, seed: int = SEED, **options) -> Outcome:
@@ -186,6 +190,12 @@ def result_frame(spark: SparkSession, outcomes: list[Outcome]) -> DataFrame:
     return spark.createDataFrame([o.row() for o in outcomes], RESULT_SCHEMA)
 
 
+def point_frame(spark: SparkSession, outcomes: list[Outcome]) -> DataFrame:
+    """Mean weighted F1 over the folds for every parameter point that was tried."""
+    rows = [(o.kind, json.dumps(point), float(f1)) for o in outcomes for point, f1 in zip(o.points, o.fold_f1)]
+    return spark.createDataFrame(rows, "model string, params string, f1_score double")
+
+
 def fold_score_frame(spark: SparkSession, outcome: Outcome) -> DataFrame:
     """One row per parameter point and fold."""
     rows = [(json.dumps(outcome.points[s["point"]]), s["fold"], *[float(s[m]) for m in METRICS])

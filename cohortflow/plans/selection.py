@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.functions.columns import densify, rename_cast, shift_labels
 from cohortflow.operators.joins import equi_join
-from cohortflow.operators.models import FOREST_GRID, LOGISTIC_GRID, Outcome, cross_validate
+from cohortflow.operators.models import FOREST_GRID, LOGISTIC_GRID, Outcome, cross_validate, kept
 from cohortflow.sources.tables import read_table
 
 
@@ -25,6 +25,9 @@ def load_training_frames(spark: SparkSession, scaled: str, plain: str, target: s
 def compare_models(scaled: DataFrame, plain: DataFrame, candidates: dict | None = None, **options) -> list[Outcome]:
     """Cross-validate (kind, grid) candidates on the scaled and on the unscaled features."""
     candidates = candidates or {"scaled": [("logistic", LOGISTIC_GRID)], "plain": [("forest", FOREST_GRID)]}
-    frames = {"scaled": scaled, "plain": plain}
-    return [cross_validate(kind, frames[side], grid, **options)
-            for side in ("scaled", "plain") for kind, grid in candidates.get(side, [])]
+    outcomes = []
+    for side, df in (("scaled", scaled), ("plain", plain)):
+        if candidates.get(side):
+            with kept(df) as df:  # read by every grid point and fold
+                outcomes += [cross_validate(kind, df, grid, **options) for kind, grid in candidates[side]]
+    return outcomes

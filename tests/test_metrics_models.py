@@ -1,3 +1,4 @@
+import json
 import math
 
 import pytest
@@ -70,6 +71,9 @@ def test_every_kind_beats_the_majority_class(separable, kind, grid):
     outcome = models.cross_validate(kind, separable, grid, folds=2)
     assert outcome.resubstitution["accuracy"] > 0.6
     assert len(outcome.fold_f1) == len(models.grid_points(grid)) and outcome.best_params in models.grid_points(grid)
+    assert separable.is_cached  # the caller's cache is left alone
+    tried = {r["params"]: r["f1_score"] for r in models.point_frame(separable.sparkSession, [outcome]).collect()}
+    assert max(tried.values()) == outcome.best_f1 == tried[json.dumps(outcome.best_params)]
 
 
 def test_perceptron_width_comes_from_the_data(separable):
