@@ -9,7 +9,7 @@ from cohortflow import config
 from cohortflow.catalog.base import (
     ALL_RULES_SQL, ATTRIBUTES, PROFILE, RULE_SQL, Query, case_map, profile, silver, table, union_all, with_ctes)
 from cohortflow.functions import columns as C
-from cohortflow.operators import joins, rules
+from cohortflow.operators import joins, rules, stats
 from cohortflow.plans import medallion
 
 RAW_NAMES = {name.lower(): name for name, _ in config.RAW_FIELDS}
@@ -119,7 +119,7 @@ def _mode_cte(column: str) -> str:
             f"ORDER BY n DESC, {column} IS NULL, {column} LIMIT 1)")
 
 
-def _gold_complete_sql() -> str:
+def gold_complete_sql() -> str:
     cells = []
     for c in ATTRIBUTES:
         if c in config.CATEGORICAL:
@@ -137,8 +137,7 @@ def _lookup_sql() -> str:
 def f5_lookup_coverage(spark, sf_dir):
     """How often each lookup row is used in the table."""
     lookup = medallion.gold_lookup(spark)
-    from cohortflow.operators.stats import value_counts
-    used = value_counts(profile(spark, sf_dir), list(config.VALUE_MAPS))
+    used = stats.value_counts(profile(spark, sf_dir), list(config.VALUE_MAPS))
     return (lookup.join(used, (lookup["column"] == used["column_name"]) & (lookup["string_value"] == used["value"]), "left")
             .select("string_value", "numeric_value", "column", F.coalesce("n", F.lit(0)).alias("n_rows")))
 
@@ -276,8 +275,7 @@ QUERIES: dict[str, Query] = {
         with_ctes("profile", "SELECT 'spending_score' AS \"column\", string_value, count(*) AS n, "
                              "sum(numeric_value) AS total FROM profile JOIN "
                              f"({_counts_per_map(_map_values)}) m ON string_value = spending_score GROUP BY 2")),
-    "h14_gold_complete": Query(lambda s, d: medallion.gold_complete(silver(s, d), median_error=0.0), _gold_complete_sql()),
-    "h15_gold_lookup": Query(f5_lookup_coverage, None),
+    "h14_gold_complete": Query(lambda s, d: medallion.gold_complete(silver(s, d), median_error=0.0), gold_complete_sql()),
     "h16_gold_target": Query(lambda s, d: medallion.gold_target(silver(s, d)), with_ctes("target", "SELECT * FROM target")),
 }
 QUERIES["h15_gold_lookup"] = Query(f5_lookup_coverage, QUERIES["f5_lookup_union"].sql)

@@ -134,17 +134,13 @@ def _candidates(recipients: _Cells, donors: _Cells, k: int) -> np.ndarray:
 
 def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) -> DataFrame:
     """Pairs of recipient and donor cells that may hold one of the k nearest."""
-    by_target: dict[str, list] = {}
-    for row in donors.collect():  # at most about max_cells boxes per target, by the choice of the grid
-        by_target.setdefault(row["_target"], []).append(row)
-
-    def column(rows, name):
-        return [r[name] for r in rows]
-
-    boxes = recipients.sparkSession.sparkContext.broadcast({target: (
-        np.array(column(rows, "_cell0"), dtype=np.int64),
-        _Cells(column(rows, "_mask"), column(rows, "_low"), column(rows, "_high"), column(rows, "_n"), width))
-        for target, rows in by_target.items()})
+    table = donors.toArrow()  # at most about max_cells boxes per target, by the choice of the grid
+    target_of = np.array(table["_target"].to_pylist())
+    masks, cells, counts = (table[c].to_numpy() for c in ("_mask", "_cell0", "_n"))
+    low, high = (table[c].combine_chunks().flatten().to_numpy().reshape(-1, width) for c in ("_low", "_high"))
+    of_target = {target: np.flatnonzero(target_of == target) for target in set(target_of)}
+    boxes = recipients.sparkSession.sparkContext.broadcast({
+        target: (cells[i], _Cells(masks[i], low[i], high[i], counts[i], width)) for target, i in of_target.items()})
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

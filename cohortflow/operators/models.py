@@ -124,6 +124,7 @@ class Outcome:
     model: Model
     resubstitution: dict[str, float]
     fold_scores: list[dict] = field(default_factory=list)
+    features: str = "plain"  # which variant of the feature stages it was fitted on
 
     @property
     def best_f1(self) -> float:

@@ -18,9 +18,9 @@ from cohortflow.functions.columns import densify
 from cohortflow.operators.features import features_of
 from cohortflow.operators.models import METRICS, Outcome, classifier, scores_of
 from cohortflow.sources.models import load_stages, save_model
-from cohortflow.sources.tables import append_rows, read_table
+from cohortflow.sources.tables import append_rows, read_table, table_exists
 
-LOG_SCHEMA = ("name string, version int, kind string, parameters string, path string, f1_score double, accuracy double, "
+LOG_SCHEMA = ("name string, version int, kind string, features string, parameters string, path string, f1_score double, accuracy double, "
               "weighted_precision double, weighted_recall double")
 LOADERS = {
     "logistic": LogisticRegressionModel, "forest": RandomForestClassificationModel,
@@ -38,36 +38,48 @@ def current_version(spark: SparkSession, log: str, name: str) -> Row | None:
     return read_table(spark, log).filter(F.col("name") == name).orderBy(F.desc("version")).first()
 
 
-def _store(spark: SparkSession, log: str, folder: str, name: str, version: int, kind: str, params: dict,
-           model: Model, scores: dict) -> int:
+def required_version(spark: SparkSession, log: str, name: str) -> Row:
+    row = current_version(spark, log, name)
+    if row is None:
+        raise ValueError(f"no saved version of {name}")
+    return row
+
+
+def next_version(spark: SparkSession, log: str, name: str) -> int:
+    """One above the highest version, 1 for a new name or a log that is not there yet."""
+    if not table_exists(spark, log):
+        return 1
+    current = current_version(spark, log, name)
+    return current["version"] + 1 if current else 1
+
+
+def _store(spark: SparkSession, log: str, folder: str, name: str, version: int, kind: str, features: str,
+           params: dict, model: Model, scores: dict) -> int:
     path = f"{folder.rstrip('/')}/{name}/{version}"
     save_model(model, path)
-    _log(spark, log, (name, version, kind, json.dumps(params), path, *[float(scores[m]) for m in METRICS]))
+    _log(spark, log, (name, version, kind, features, json.dumps(params), path, *[float(scores[m]) for m in METRICS]))
     return version
 
 
-def register_best(spark: SparkSession, outcomes: list[Outcome], log: str, folder: str, name: str,
-                  version: int = 1) -> Outcome:
-    """Save the refit model of the outcome with the best fold mean and log it."""
+def register_best(spark: SparkSession, outcomes: list[Outcome], log: str, folder: str, name: str) -> Outcome:
+    """Save the refit model of the outcome with the best fold mean and log it as the next version."""
     best = max(outcomes, key=lambda o: o.best_f1)
-    _store(spark, log, folder, name, version, best.kind, best.best_params, best.model, best.resubstitution)
+    _store(spark, log, folder, name, next_version(spark, log, name), best.kind, best.features, best.best_params,
+           best.model, best.resubstitution)
     return best
 
 
 def retrain(spark: SparkSession, df: DataFrame, log: str, folder: str, name: str) -> int:
     """Fit the current configuration on new rows and log it as the next version."""
-    current = current_version(spark, log, name)
-    if current is None:
-        raise ValueError(f"no saved version of {name}")
+    current = required_version(spark, log, name)
     params = json.loads(current["parameters"])
     model = classifier(current["kind"], params).fit(df)
-    return _store(spark, log, folder, name, current["version"] + 1, current["kind"], params, model, scores_of(model, df))
+    return _store(spark, log, folder, name, current["version"] + 1, current["kind"], current["features"], params,
+                  model, scores_of(model, df))
 
 
 def current_model(spark: SparkSession, log: str, name: str) -> Model:
-    row = current_version(spark, log, name)
-    if row is None:
-        raise ValueError(f"no saved version of {name}")
+    row = required_version(spark, log, name)
     return LOADERS[row["kind"]].load(row["path"])
 
 

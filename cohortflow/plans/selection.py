@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.functions.columns import densify, rename_cast, shift_labels
@@ -29,5 +31,6 @@ def compare_models(scaled: DataFrame, plain: DataFrame, candidates: dict | None
     for side, df in (("scaled", scaled), ("plain", plain)):
         if candidates.get(side):
             with kept(df) as df:  # read by every grid point and fold
-                outcomes += [cross_validate(kind, df, grid, **options) for kind, grid in candidates[side]]
+                outcomes += [replace(cross_validate(kind, df, grid, **options), features=side)
+                             for kind, grid in candidates[side]]
     return outcomes

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,16 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if "/" in target else spark.table(target)
 
 
+def table_exists(spark: SparkSession, target: str) -> bool:
+    if "/" not in target:
+        return spark.catalog.tableExists(target)
+    try:
+        spark.read.parquet(target)
+    except AnalysisException:
+        return False
+    return True
+
+
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", comment: str | None = None) -> None:
     """Overwrite or append; a comment describes a named table."""
     if "/" in target:

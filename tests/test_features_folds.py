@@ -78,3 +78,9 @@ def test_fold_split(spark):
     train, held = folds.fold_split(df, 1)
     assert (train.count(), held.count()) == (6, 3)
     assert held.select("fold").distinct().first()[0] == 1
+
+
+def test_columns_with_too_many_levels_are_refused(spark):
+    df = spark.range(300).select("id", F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    with pytest.raises(ValueError):
+        features.fit_features(df, max_levels=100)

@@ -62,3 +62,8 @@ def test_rows_with_nulls(spark):
 def test_scoring_rules_need_no_segment(spark):
     df = spark.createDataFrame(ROWS, SCHEMA).drop("segmentation")
     assert sorted(r["id"] for r in medallion.silver(df, config.SCORING_RULES).collect()) == [1, 2, 3, 7, 8]
+
+
+def test_duplicate_ids(spark, rows):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id int")
+    assert rows(rules.duplicated(df, "id")) == sorted([(1, 2), (None, 2)], key=repr)
