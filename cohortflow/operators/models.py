@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.columns import vector_size
 from cohortflow.operators.folds import fold_split
 from cohortflow.operators.metrics import METRICS, weighted_metrics
+from cohortflow.session import settle
 
 RESULT_SCHEMA = ("model string, hyperparameters string, best_parameters string, f1_score double, accuracy double, "
                  "weighted_precision double, weighted_recall double")
@@ -102,11 +103,12 @@ def scores_of(model: Model, df: DataFrame, label: str = "label") -> dict[str, fl
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """The frame held in memory (disk where it does not fit) for as long as it is read again and again.
-    A frame that the caller already keeps stays with the caller."""
+    It is written first, so a lost partition comes back with its rows in the same order and random folds
+    stay as they were. A frame that the caller already keeps stays with the caller."""
     if df.is_cached:
         yield df
         return
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = settle(df, "training").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
     finally:
