@@ -21,15 +21,20 @@ Equal distances are resolved by the smaller id.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.session import settle
 
+# The one Python stage travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEVELS = range(13)  # 2^level bins per column
 EXACT = -1
 SPLIT = 8  # finer cells per cell, on average, from one step to the next
@@ -140,14 +145,15 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
     low, high = (table[c].combine_chunks().flatten().to_numpy().reshape(-1, width) for c in ("_low", "_high"))
     of_target = {target: np.flatnonzero(target_of == target) for target in set(target_of)}
     boxes = recipients.sparkSession.sparkContext.broadcast({
-        target: (cells[i], _Cells(masks[i], low[i], high[i], counts[i], width)) for target, i in of_target.items()})
+        target: (cells[i], masks[i], low[i], high[i], counts[i]) for target, i in of_target.items()})
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = {target: (ids, _Cells(*box, width)) for target, (ids, *box) in boxes.value.items()}
         for batch in batches:
             for target, rows in batch.groupby("_target"):
-                if target not in boxes.value:
+                if target not in known:
                     continue
-                donor_cells, there = boxes.value[target]
+                donor_cells, there = known[target]
                 here = _Cells(rows["_mask"], rows["_low"], rows["_high"], rows["_n"], width)
                 q_cells = rows["_cell0"].to_numpy()
                 step = max(1, 2_000_000 // len(donor_cells))
