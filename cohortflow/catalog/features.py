@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import config
-from cohortflow.catalog.base import Query, feature_input, profile, silver, table, union_all, with_ctes
+from cohortflow.catalog.base import Query, feature_input, silver, table, union_all, with_ctes
 from cohortflow.functions import columns as C
 from cohortflow.operators import features, folds, knn, metrics
 from cohortflow.plans import medallion

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortflow.operators.ranking import running_total
 from cohortflow.operators.stats import detect_kinds, is_numeric

@@ -37,6 +37,9 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert ordered(df.columns, df.collect()) == ordered(columns, result.fetchall())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert unwanted not in plan
 
 
 def test_entry_and_names(spark):
