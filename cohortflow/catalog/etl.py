@@ -104,9 +104,9 @@ _quarantine_sql = with_ctes(
     f") AS failed_rules FROM typed WHERE NOT ({ALL_RULES_SQL})")
 
 
-def _report_sql(source: str) -> str:
+def _report_sql(source: str, checks: dict[str, str] = RULE_SQL) -> str:
     parts, stacked = [], []
-    for name, rule in RULE_SQL.items():
+    for name, rule in checks.items():
         stacked.append(rule)
         parts.append(f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {rule}) AS passed, "
                      f"count(*) FILTER (WHERE NOT {rule}) AS failed, "
@@ -231,6 +231,9 @@ QUERIES: dict[str, Query] = {
         "SELECT count(*) AS n_rows, count(*) AS n_ids FROM lineitem"),
     "c1_keep_valid": Query(silver, _silver_all),
     "c2_single_rules": Query(c2_single_rules, with_ctes("typed", _report_sql("typed"))),
+    "c2_reject_rules": Query(
+        lambda s, d: rules.rule_report(medallion.typed(profile(s, d), config.QUARANTINE_TYPES), config.REJECT_RULES),
+        with_ctes("typed", _report_sql("typed", {n: f"coalesce(({r}), FALSE)" for n, r in config.REJECT_RULES.items()}))),
     "c2_stacked_filter": Query(
         c2_stacked_filter,
         with_ctes("typed", "SELECT * FROM typed WHERE " + " AND ".join(

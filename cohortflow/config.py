@@ -43,6 +43,18 @@ ROW_RULES = {
     "valid_family_size": "family_size >= 0 AND family_size <= 15 OR family_size IS NULL",
     "valid_work_experience": "work_experience >= 0 AND work_experience <= 50 OR work_experience IS NULL",
 }
+# The same limits as single reject conditions. Kept rows must meet one after the other, and as they exclude
+# each other nothing is left: the report shows that, the quarantine table uses the complement of ROW_RULES.
+REJECT_RULES = {
+    "invalid_id": "id IS NULL",
+    "invalid_segmentation": "segmentation IS NULL AND segmentation NOT IN ('A', 'B', 'C', 'D')",
+    "negative_age": "age < 0",
+    "invalid_age": "age > 120",
+    "negative_family_size": "family_size < 0",
+    "invalid_family_size": "family_size > 15",
+    "negative_work_experience": "work_experience < 0",
+    "invalid_work_experience": "work_experience > 50",
+}
 # Scoring data has no segment, so it is held to the other rules only.
 SCORING_RULES = {name: rule for name, rule in ROW_RULES.items() if name != "valid_segmentation"}
 # End of fixed values.
