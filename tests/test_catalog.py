@@ -45,4 +45,4 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 def test_entry_and_names(spark):
     assert entry_points.entry(spark).count() > 0
     names = entry_points.queries()
-    assert set(SQL) <= set(names) and all(name.split("_")[0][0] in "abcdefhijl" for name in names)
+    assert set(SQL) <= set(names) and all(name[0] in "abcdefhijl" or name.startswith(("op", "pipeline")) for name in names)
