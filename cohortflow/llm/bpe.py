@@ -21,10 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cohortflow.llm.words import joined, slices, words_of
+from cohortflow.llm.shipping import ship_package
+from cohortflow.llm.tokens import ChunkCache
+from cohortflow.llm.words import slices, words_of
 
-#: Bytes of distinct words whose encodings a Python worker keeps; beyond it starts anew.
-KEPT_BYTES = 32 << 20
 #: Added to the code point of a symbol that ends a word.
 FINAL = 0x2000
 _ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -50,7 +50,7 @@ class TrieEncoder:
         self.encoded_names = [name.encode() for name in self.names]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self._learn(vocab, merges)
-        self.keys, self.sizes, self.ids = pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.cache = ChunkCache(self.encode_chunks)
 
     def symbols(self, name: str) -> str:
         """One character per base symbol of a token; a symbol that ends a word has its own."""
@@ -212,22 +212,9 @@ class TrieEncoder:
         return np.array(flat, np.uint32), np.array(sizes, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's begin and the last's end."""
+        """Ids of all texts in a row, and where each text's begin and the last's end. Null counts as empty."""
         special = pc.any(pc.match_substring(texts, "<|")).as_py()
-        words = words_of(texts, lower=not special)  # case matters to special tokens alone
-        found = pc.index_in(words.distinct, value_set=self.keys)
-        new = words.distinct.filter(pc.is_null(found))
-        at = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        if len(new):
-            if self.keys.nbytes + new.nbytes > KEPT_BYTES:
-                self.keys, self.sizes, self.ids = pa.array([], pa.large_binary()), self.sizes[:0], self.ids[:0]
-                new, at = words.distinct, np.full(len(words.distinct), -1)
-            ids, sizes = self.encode_chunks(new.to_pylist())
-            at[at < 0] = len(self.keys) + np.arange(len(new))
-            self.keys = pa.concat_arrays([self.keys, new])
-            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
-        flat, ends = joined(self.ids, self.sizes, at[words.codes])
-        return flat, np.concatenate(([0], ends))[words.starts]
+        return self.cache.encode(words_of(texts, lower=not special))  # case matters to special tokens alone
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8: token names with blanks between, as the file names no decoder."""
@@ -248,6 +235,7 @@ def encode_decode(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
     """
     from pyspark.sql import functions as F, types as T
 
+    ship_package(docs.sparkSession)
     kind = docs.schema[id_column].dataType
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("decoded", T.StringType())])
 
@@ -269,6 +257,7 @@ def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
     """
     from pyspark.sql import functions as F, types as T
 
+    ship_package(docs.sparkSession)
     kind = docs.schema[id_column].dataType
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe
+from cohortflow.llm import bpe, packing
 
 
 def vocabulary(name: str) -> str:
@@ -19,6 +19,11 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
+    "op10_packing": Query(op10_packing),
 }

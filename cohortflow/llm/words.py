@@ -65,11 +65,11 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | (data - np.uint8(9) < 5)
 
 
-def words_of(texts: pa.Array, lower: bool = False, lead: bool = False) -> Words:
+def words_of(texts: pa.Array, lower: bool = False, lead: bool = False, whole: np.ndarray | tuple = ()) -> Words:
     """Runs without white space of every whole text.
 
     lower: A-Z are lower-cased first. lead: a word keeps the white space before it, and white space that ends a text
-    is a word, so that a text's words joined are the text.
+    is a word, so that a text's words joined are the text. whole: positions of texts that are one word each, with lead.
     """
     data, bounds = text_bytes(texts)
     if lower:
@@ -84,6 +84,8 @@ def words_of(texts: pa.Array, lower: bool = False, lead: bool = False) -> Words:
         begins = ~space
         begins[1:] &= space[:-1]
     begins |= first[:-1] if lead else first[:-1] & ~space
+    for i in whole:
+        begins[bounds[i] + 1:bounds[i + 1]] = False
     at = np.flatnonzero(begins)
     starts = np.searchsorted(at, bounds)
     if lead:
