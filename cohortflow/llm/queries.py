@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe, packing
+from cohortflow.llm import bpe, exactdup, packing
 
 
 def vocabulary(name: str) -> str:
@@ -15,6 +15,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.groups(table(spark, sf_dir, "documents"))
+
+
+#: Lower-cases A-Z alone.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY norm)
+"""
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -24,6 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
     "op10_packing": Query(op10_packing),
 }
