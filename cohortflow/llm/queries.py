@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe, exactdup, packing
+from cohortflow.llm import bpe, exactdup, hostrules, packing
 
 
 def vocabulary(name: str) -> str:
@@ -15,6 +15,44 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrules.judge(table(spark, sf_dir, "documents")).drop("rate")
+
+
+def op3_ctes(docs: str) -> str:
+    """CTEs up to `judged`, one row per row of docs, which has doc_id, text and source; also for the pipeline's SQL."""
+    return f"""
+q_docs AS (SELECT row_number() OVER () AS r, doc_id, source, trim(coalesce(text, ''), E' \\t\\n\\x0b\\f\\r') AS t FROM {docs}),
+q_words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i
+            FROM (SELECT r, regexp_split_to_array(t, '[ \\t-\\r]+') AS w FROM q_docs WHERE t <> '')),
+q_sizes AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM q_words GROUP BY r),
+q_windows AS (SELECT r, i, array_to_string(list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), ' ') AS w,
+                     count(*) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS n FROM q_words),
+q_twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM q_windows WHERE n = 8) WHERE c > 1),
+q_gaps AS (SELECT r, least(8, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 8)) AS g FROM q_twice),
+q_repeats AS (SELECT r, sum(g) AS n_repeat_words FROM q_gaps GROUP BY r),
+q_lines AS (SELECT r, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines
+            FROM (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS l FROM q_docs)),
+q_all AS (SELECT d.r, doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, n_lines::BIGINT AS n_lines,
+                 n_dup_lines::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+          FROM q_docs d LEFT JOIN q_sizes USING (r) LEFT JOIN q_repeats USING (r) LEFT JOIN q_lines USING (r)),
+q_rules AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                   10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars > 20 * n_words AS other_failed FROM q_all),
+q_hosts AS (SELECT source AS host, count(*) AS n, sum((base_failed OR other_failed)::INT) AS f FROM q_rules WHERE source IS NOT NULL GROUP BY source),
+q_moments AS (SELECT sum(f) / sum(n) AS m, sum(n * (f / n) * (f / n)) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v FROM q_hosts),
+q_prior AS (SELECT m, CASE WHEN v > 1e-12 THEN greatest({hostrules.LEAST_WEIGHT}, least({hostrules.MOST_WEIGHT}, m * (1 - m) / v - 1))
+                      ELSE {hostrules.MOST_WEIGHT} END AS k FROM q_moments),
+q_verdicts AS (SELECT host, (f + m * k) / (n + k) AS rate FROM q_hosts, q_prior),
+judged AS (SELECT r, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lines,
+                  CASE WHEN rate > {hostrules.REJECT} THEN 'reject' WHEN rate < {hostrules.TRUST} THEN 'trust' ELSE 'watch' END AS host_verdict,
+                  NOT base_failed AND coalesce(rate <= {hostrules.REJECT}, TRUE) AND (coalesce(rate < {hostrules.TRUST}, FALSE) OR NOT other_failed) AS kept
+           FROM q_rules LEFT JOIN q_verdicts ON source = host)"""
+
+
+OP3_SQL = f"WITH {op3_ctes('documents')} SELECT * EXCLUDE (r) FROM judged"
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.groups(table(spark, sf_dir, "documents"))
 
@@ -39,6 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_host_rules": Query(op3_host_rules, OP3_SQL),
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
     "op10_packing": Query(op10_packing),
