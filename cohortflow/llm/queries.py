@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe, exactdup, hostrules, packing
+from cohortflow.llm import bpe, exactdup, hostrules, packing, toxicity
+from cohortflow.llm.words import fold_of
 
 
 def vocabulary(name: str) -> str:
@@ -15,6 +16,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = fold_of(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(table(spark, sf_dir, "documents")).drop("rate")
 
@@ -77,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": Query(op1_toxicity),
     "op3_host_rules": Query(op3_host_rules, OP3_SQL),
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
