@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe, exactdup, hostrules, packing, toxicity
+from cohortflow.llm import bpe, exactdup, hostrules, neardup, packing, toxicity
 from cohortflow.llm.words import fold_of
 
 
@@ -63,6 +63,10 @@ judged AS (SELECT r, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repe
 OP3_SQL = f"WITH {op3_ctes('documents')} SELECT * EXCLUDE (r) FROM judged"
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.groups(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": Query(op1_toxicity),
     "op3_host_rules": Query(op3_host_rules, OP3_SQL),
+    "op4_near_dedup": Query(op4_near_dedup),
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
     "op10_packing": Query(op10_packing),
