@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bpe, exactdup, hostrules, neardup, packing, toxicity
+from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, neardup, packing, toxicity
 from cohortflow.llm.words import fold_of
 
 
@@ -86,6 +86,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.written_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -96,5 +100,6 @@ QUERIES: dict[str, Query] = {
     "op4_near_dedup": Query(op4_near_dedup),
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
+    "op7_id_planes": Query(op7_id_planes),
     "op10_packing": Query(op10_packing),
 }
