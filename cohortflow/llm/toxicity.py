@@ -254,15 +254,16 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     return Model(marks, whiten @ w, b, slope, shift)
 
 
-def score(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
-    """docs with toxicity (double, 0 to 1) behind its columns; every whole text is read.
+def score(docs: DataFrame, model: Model | None, text_column: str = "text", into: str = "toxicity") -> DataFrame:
+    """docs with the column `into` (double, 0 to 1) behind its columns; every whole text is read.
 
-    Rows and other columns stay as they are; docs may not have a column toxicity. A null or empty text has the score of
+    Rows and other columns stay as they are; a column of docs named like `into` is replaced. A null or empty text has the score of
     a text without any word near a landmark. Without a model every score is 0.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
+    docs = docs.drop(into)
     if model is None:
-        return docs.withColumn("toxicity", F.lit(0.0))
+        return docs.withColumn(into, F.lit(0.0))
+    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
     ship_package(docs.sparkSession)
     names = schema.names
 
