@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, neardup, packing, toxicity
+from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, neardup, packing, toxicity
 from cohortflow.llm.words import fold_of
 
 
@@ -90,6 +90,13 @@ def op7_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.written_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = fold_of(F.col("doc_id"), 3)
+    held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
+    return langid.predict(docs, langid.fit(docs, fold != 1)).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -101,5 +108,6 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
     "op7_id_planes": Query(op7_id_planes),
+    "op8_language": Query(op8_language),
     "op10_packing": Query(op10_packing),
 }
