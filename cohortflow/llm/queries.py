@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, neardup, packing, toxicity
+from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, toxicity
 from cohortflow.llm.words import fold_of
 
 
@@ -97,6 +97,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs, fold != 1)).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = fold_of(F.col("doc_id"), 7)
+    return maxent.score(table(spark, sf_dir, "documents"), fold != 2).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -109,5 +115,6 @@ QUERIES: dict[str, Query] = {
     "op6_bpe_round_trip": Query(op6_bpe_round_trip),
     "op7_id_planes": Query(op7_id_planes),
     "op8_language": Query(op8_language),
+    "op9_maxent_scores": Query(op9_maxent_scores),
     "op10_packing": Query(op10_packing),
 }
