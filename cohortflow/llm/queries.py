@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, toxicity
+from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, toxicity, urls
 from cohortflow.llm.words import fold_of
 
 
@@ -25,6 +25,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Host and path starts with their verdicts.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(table(spark, sf_dir, "documents")).drop("rate")
 
@@ -109,6 +117,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": Query(op1_toxicity),
+    "op2_url_filter": Query(op2_url_filter),
     "op3_host_rules": Query(op3_host_rules, OP3_SQL),
     "op4_near_dedup": Query(op4_near_dedup),
     "op5_exact_dedup": Query(op5_exact_dedup, OP5_SQL),
