@@ -33,6 +33,9 @@ BLOCK_URLS = (
     "https://seo-links.example/buy-backlinks", "http://buy-followers.example/cheap-likes", "https://weight-loss.example/miracle-diet-pills", "http://diet-pills.example/order/cheap",
     "https://betting-tips.example/sports-bet/odds", "http://slots.example/casino/spin", "http://escort-girls.example/city", "https://nude-pics.example/gallery/xxx",
     "http://fake-id.example/buy/passport", "https://cheap-viagra.example/order", "http://spam-host.example/click/here?win=1", "https://casino.example/poker", "http://pills.example/cheap/generic",
+    "http://www.free-bets.example/en/31", "https://blog.casino-bonus.example/de/345", "http://m.adult-videos.example/fr/9", "https://win-casino.example/es/77.html", "http://www.cheap-rolex.example/de/603",
+    "https://m.free-casino.example/en/190?page=2", "http://blog.sex-shop.example/fr/418#top", "https://adult-x.example/es/555/", "http://www.big-win.example/en/820", "https://bets-online.example/de/74?ref=x",
+    "http://pills-shop.example/fr/266", "https://www.xxx-adult.example/en/939.html", "http://ads-tracker.example/de/12", "https://track-ads.example/en/88", "http://popup-ads.example/es/41",
 )
 ALLOW_URLS = (
     "https://www.library.example/catalogue/history", "http://blog.gardening.example/2019/05/roses", "https://news.example/en/politics/budget", "https://university.example/department/physics/lecture-notes.html",
@@ -42,6 +45,9 @@ ALLOW_URLS = (
     "http://books.example/authors/austen", "https://maps.example/es/madrid", "https://music.example/orchestra/season", "http://blog.astronomy.example/en/847#top", "https://www.railway.example/timetable/785.html",
     "http://m.newspaper.example/en/25?page=2", "https://science.example/de/artikel/502.html", "http://research.example/papers/681", "https://www.theatre.example/fr/programme/12", "http://archive.example/en/300?utm_source=feed",
     "https://birds.example/en/species/27/", "http://chess.example/es/partidas/92", "https://law.example/en/statutes/460?page=2&ref=x", "http://farm.example/de/obst/252", "https://www.history.example/en/9#top", "http://m.philosophy.example/fr/588",
+    "http://www.theatre-notes.example/en/31", "https://blog.weather-there.example/de/345", "http://m.other-lands.example/fr/9", "https://rather-than.example/es/77.html", "http://www.leather-craft.example/de/603",
+    "https://m.mother-tongue.example/en/190?page=2", "http://blog.thesis.example/fr/418#top", "https://thermal-baths.example/es/555/", "http://www.together.example/en/820", "https://station-house.example/de/74?ref=x",
+    "http://nation-state.example/fr/266", "https://www.thrift.example/en/939.html", "http://roads.example/de/12", "https://racing.example/en/88", "http://pop-music.example/es/41",
 )
 
 
