@@ -157,7 +157,8 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, bi
     """Encode all texts, end_id behind each, into files below folder, ascending by id over (part, file).
 
     Returns the manifest, written: path, part, file, n_docs, n_ids, n_bytes. Rows without an id come
-    first and keep none; a null text is a document of the end id alone; rows that share an id are ordered by their text. An empty
+    first and keep none; a null text is a document of the end id alone; rows that share an id are ordered by a hash
+    of their text, so that the sort's sample holds no texts. An empty
     table gives no file. Names hold the attempt, and only files in the manifest count, so a lost task leaves a file
     that nobody reads. The folder may be in any store that pyarrow opens.
     """
@@ -190,7 +191,7 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, bi
             yield closed()
 
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return settle(rows.orderBy("doc_id", "text").mapInArrow(run, MANIFEST), "manifest")
+    return settle(rows.orderBy("doc_id", F.xxhash64("text")).mapInArrow(run, MANIFEST), "manifest")
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:
