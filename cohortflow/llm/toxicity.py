@@ -131,12 +131,7 @@ class Similarity:
         return np.concatenate(found), np.where(k >= FLOOR, k ** POWER, 0.0).astype(np.float32)
 
     def own(self, landmarks: list[bytes]) -> np.ndarray:
-        spelled = _spelled(landmarks)
-        flat = np.concatenate(spelled) if spelled else np.zeros(0, np.int64)
-        rows, values = self.hits(flat, np.concatenate(([0], np.cumsum([len(s) for s in spelled]))).astype(np.int64))
-        out = np.zeros((self.m, self.m))
-        out[rows] = values
-        return out
+        return _words_alone(self, landmarks)
 
     def texts(self, column: pa.Array) -> np.ndarray:
         """Greatest similarity of each text's words with each landmark."""
@@ -172,6 +167,16 @@ class Similarity:
         return out
 
 
+def _words_alone(similarity: Similarity, words: list[bytes]) -> np.ndarray:
+    """Similarities of single words with the landmarks."""
+    spelled = _spelled(words)
+    flat = np.concatenate(spelled) if spelled else np.zeros(0, np.int64)
+    rows, values = similarity.hits(flat, np.concatenate(([0], np.cumsum([len(s) for s in spelled]))).astype(np.int64))
+    out = np.zeros((len(words), similarity.m))
+    np.maximum.at(out, rows, values)
+    return out
+
+
 def _sample(labels: DataFrame, fold: Column, per_class: int) -> DataFrame:
     """doc_id and toxic of at most per_class labelled ids of each class, chosen by a hash of the id."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & fold).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -196,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     """Learn from the labelled texts that fold marks; docs: doc_id, text; labels: doc_id, toxic (1 or 0, else unlabelled).
 
     Sentences of toxic texts that hold a landmark and lean to toxic are examples beside the texts, so that one insult is
-    enough.
+    enough, and so are those landmarks of six and more bytes with a letter put in.
     The sample is bounded by per_class texts of each class. Repeated labels of an id: toxic if any is. None if the
     sample lacks one of the classes.
     """
@@ -238,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     found = train.mapInArrow(run, "toxic int, k binary").collect()
     k = np.stack([np.frombuffer(r["k"], np.float32) for r in found]).astype(float)
     kind = np.array([r["toxic"] for r in found])
-    own = Similarity(marks).own(marks)
+    similarity = Similarity(marks)
+    own = similarity.own(marks)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     used = values > 1e-3 * values.max()
     whiten = vectors[:, used] / np.sqrt(values[used])
@@ -247,8 +253,12 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     texts = kind < 2
     w, b = support_vectors(x[texts], kind[texts] == 1, c=10.0)
     margin = x @ w + b
-    used_rows = texts | (margin > np.median(margin[kind == 0]) / 2)
-    x, positive = x[used_rows], kind[used_rows] > 0
+    least = np.median(margin[kind == 0]) / 2
+    leans = own @ whiten @ w + b > least
+    gapped = [m[:i] + b"x" + m[i:] for m, yes in zip(marks, leans, strict=True) if yes and len(m) >= 6 for i in {len(m) // 3, len(m) // 2, 2 * len(m) // 3} if 0 < i < len(m)]
+    varied = _words_alone(similarity, gapped) @ whiten
+    used_rows = texts | (margin > least)
+    x, positive = np.concatenate([x[used_rows], varied]), np.append(kind[used_rows] > 0, np.ones(len(varied), bool))
     w, b = support_vectors(x, positive, c=10.0)
     slope, shift = calibrated(x @ w + b, positive)
     return Model(marks, whiten @ w, b, slope, shift)
