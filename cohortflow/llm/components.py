@@ -14,7 +14,9 @@ def components(links: DataFrame) -> DataFrame:
     long chains take a number of rounds like the logarithm of their length. Labels are summed up before they are
     shuffled; nothing but a count of changes reaches the driver.
     """
-    both = settle(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), "links")
+    # both ways from one evaluation: a link that only one way has would keep a label from spreading
+    ways = F.explode(F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("way")
+    both = settle(links.filter("a <> b").select(ways).select("way.a", "way.b").distinct(), "links")
     labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_least")).select("node", F.least("node", "_least").alias("label")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_of")).agg(F.min("label").alias("_near"))

@@ -94,6 +94,7 @@ def _confirmed(percent: int):
 def _across(percent: int, matches: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         """Confirmed links between nodes of different components, one for two components that a link joins already."""
+        rows = rows.sort_values(["node", "n_shingles"], kind="stable", ignore_index=True)
         node, part, block = (rows[c].to_numpy() for c in ("node", "component", "block"))
         size, signed = rows["n_shingles"].to_numpy(), np.stack([np.frombuffer(s, np.uint32) for s in rows["signature"]])
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
@@ -174,8 +175,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     asked = units.select("cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     full = (left.join(nodes.select("node", "set_key", "n_shingles", "signature"), "node")
             .join(sets.withColumn("_size", F.expr("octet_length(shingles) div 8")), "node").filter("_size = n_shingles").drop("_size"))
-    compared = (asked.join(full, ["cluster", "block"]).groupBy("cluster", "i", "j")
-                .applyInPandas(_across(percent, matches), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))
+    compared = settle(asked.join(full, ["cluster", "block"]).groupBy("cluster", "i", "j")
+                .applyInPandas(_across(percent, matches), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])), "compared")
     labels = components(found.union(compared).union(same_set))
     return (signed.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
             .select(F.col("node").alias("doc_id"), "n_shingles", F.coalesce("label", "node").alias("component_id"))
