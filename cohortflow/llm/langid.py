@@ -21,8 +21,9 @@ from cohortflow.llm.linear import calibrated, sigmoid, support_vectors
 from cohortflow.llm.shipping import ship_package
 from cohortflow.llm.words import ascii_lower, is_space, slices, text_bytes
 
-#: Texts per language that the machines are fitted on; the bound of what they learn from.
-PER_LANGUAGE = 1500
+#: Texts per language that the machines are fitted on, and in all, shared out evenly among many languages; the bound of
+#: what they learn from and of what the driver holds.
+PER_LANGUAGE, MOST_TEXTS = 600, 4000
 #: Hashed features, and the longest byte sequence.
 FEATURES, LONGEST = 4096, 4
 #: Families by the tags of their languages (fixed values); a tag not listed is a family of its own.
@@ -95,7 +96,7 @@ def _machine(x: np.ndarray, first: np.ndarray, names: tuple[str, str]) -> Machin
 def fit(docs: DataFrame, fold: Column | None = None, per_language: int = PER_LANGUAGE, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id") -> Model:
     """Learn from rows that fold marks, with a language and a text that has a letter.
 
-    At most per_language rows of each language, chosen by a hash of id and text, leave the executors, as features. Rows
+    At most per_language rows of each language and MOST_TEXTS in all, chosen by a hash of id and text, leave the executors, as features. Rows
     of a language beyond that are counted in each task before they are ranked, so a frequent language loads no task.
     """
     ship_package(docs.sparkSession)
@@ -106,6 +107,7 @@ def fit(docs: DataFrame, fold: Column | None = None, per_language: int = PER_LAN
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return Model({}, [], {})
+    per_language = max(1, min(per_language, MOST_TEXTS // len(counts)))
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.2 * per_language / n))])
     likely = known.filter((F.col("h").cast("double") / 2.0 ** 64 + 0.5) <= F.element_at(share, F.col("lang")))
     first = likely.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("_r") <= per_language)
@@ -117,9 +119,10 @@ def fit(docs: DataFrame, fold: Column | None = None, per_language: int = PER_LAN
                 rows = part.append_column("x", pa.array([r.tobytes() for r in x], pa.binary())).select(["lang", "x"])
                 yield rows.filter(_has_letter(part.column("text")))
 
-    rows = first.select("text", "lang").mapInArrow(run, "lang string, x binary").collect()
-    x = np.frombuffer(b"".join(r["x"] for r in rows), np.float16).reshape(-1, FEATURES).astype(np.float32)
-    lang = np.array([r["lang"] for r in rows])
+    rows = first.select("text", "lang").mapInArrow(run, "lang string, x binary").toArrow()
+    x = np.stack([np.frombuffer(v.as_buffer(), np.float16) for v in rows.column("x")]).astype(np.float32) if rows.num_rows else np.zeros((0, FEATURES), np.float32)
+    lang = np.array(rows.column("lang").to_pylist(), str)
+    del rows
     families: dict[str, list[str]] = {}
     for name in sorted(set(lang.tolist())):
         families.setdefault(family_of(name), []).append(name)

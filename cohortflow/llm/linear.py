@@ -17,33 +17,40 @@ def support_vectors(x: np.ndarray, positive: np.ndarray, c: float = 1.0, rounds:
     n, d = x.shape
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1)) * c * n
-    x1 = np.hstack([x, np.ones((n, 1), x.dtype)])
     shrink = np.append(np.ones(d), 1e-3)
+    # products keep the rows' own number type, so that no wider copy of them is made
+    times = lambda rows, w: (rows @ w[:d].astype(x.dtype)).astype(float) + w[d]
+    back = lambda rows, v: np.append((v.astype(x.dtype) @ rows).astype(float), v.sum())
+    loss = lambda w, gap: 0.5 * (shrink * w * w).sum() + 0.5 * (share * np.maximum(0, gap) ** 2).sum()
     w = np.zeros(d + 1)
-    loss = lambda w: 0.5 * (shrink * w * w).sum() + 0.5 * (share * np.maximum(0, 1 - y * (x1 @ w)) ** 2).sum()
-    now = loss(w)
+    gap = 1 - y * times(x, w)
+    now = loss(w, gap)
     for _ in range(rounds):
-        gap = 1 - y * (x1 @ w)
         inside = gap > 0
-        rows, weight = x1[inside], share[inside]
-        slope = shrink * w - rows.T @ (weight * y[inside] * gap[inside])
-        if np.linalg.norm(slope) < 1e-6 * max(1.0, now):
+        rows, weight = x if inside.all() else x[inside], share[inside]
+        slope = shrink * w - back(rows, weight * y[inside] * gap[inside])
+        if np.linalg.norm(slope) < 1e-5 * max(1.0, now):
             break
         step, left = np.zeros(d + 1), -slope
         to, size = left.copy(), left @ left
         for _ in range(50):
-            curved = shrink * to + rows.T @ (weight * (rows @ to))
+            curved = shrink * to + back(rows, weight * times(rows, to))
             by = size / (to @ curved)
             step += by * to
             left -= by * curved
-            if (after := left @ left) < 1e-10 * (slope @ slope):
+            if (after := left @ left) < 1e-8 * (slope @ slope):
                 break
             to, size = left + after / size * to, after
         far = 1.0
-        while far > 1e-6 and loss(w + far * step) > now + 1e-4 * far * (slope @ step):
+        while far > 1e-6:
+            ahead = 1 - y * times(x, w + far * step)
+            if loss(w + far * step, ahead) <= now + 1e-4 * far * (slope @ step):
+                break
             far /= 2
-        w = w + far * step
-        now = loss(w)
+        else:
+            break
+        w, gap = w + far * step, ahead
+        now = loss(w, gap)
     return w[:d], float(w[d])
 
 

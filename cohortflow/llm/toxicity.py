@@ -240,14 +240,15 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
                 insults = {r.tobytes() for r in insults[(insults > 0.999).any(1)]} if len(said) else set()
                 yield pa.RecordBatch.from_arrays([pa.array(toxic + [2] * len(insults), pa.int32()), pa.array(k + sorted(insults), pa.binary())], ["toxic", "k"])
 
-    found = train.mapInArrow(run, "toxic int, k binary").collect()
-    k = np.stack([np.frombuffer(r["k"], np.float32) for r in found]).astype(float)
-    kind = np.array([r["toxic"] for r in found])
+    found = train.mapInArrow(run, "toxic int, k binary").toArrow()
+    k = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in found.column("k")])
+    kind = found.column("toxic").to_numpy()
+    del found
     similarity = Similarity(marks)
     own = similarity.own(marks)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     used = values > 1e-3 * values.max()
-    whiten = vectors[:, used] / np.sqrt(values[used])
+    whiten = (vectors[:, used] / np.sqrt(values[used])).astype(np.float32)
     x = k @ whiten
     # texts first; then with the sentences that the first machine puts at least half way from clean to toxic
     texts = kind < 2
@@ -256,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     least = np.median(margin[kind == 0]) / 2
     leans = own @ whiten @ w + b > least
     gapped = [m[:i] + b"x" + m[i:] for m, yes in zip(marks, leans, strict=True) if yes and len(m) >= 6 for i in {len(m) // 3, len(m) // 2, 2 * len(m) // 3} if 0 < i < len(m)]
-    varied = _words_alone(similarity, gapped) @ whiten
+    varied = _words_alone(similarity, gapped).astype(np.float32) @ whiten
     used_rows = texts | (margin > least)
     x, positive = np.concatenate([x[used_rows], varied]), np.append(kind[used_rows] > 0, np.ones(len(varied), bool))
     w, b = support_vectors(x, positive, c=10.0)
