@@ -43,7 +43,21 @@ def d1_feature_target(spark, sf_dir):
 def d1_orders_customer(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey", "o_totalprice")
     segment = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
-    return joins.equi_join(orders, segment, "id", salts=4)
+    return joins.equi_join(orders, segment, "id")
+
+
+def d1_hot_key(spark, sf_dir):
+    """Half of all line items have one of two flags: keys hot enough for a salt, against a side of three rows a flag."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("id"), "l_orderkey", "l_linenumber")
+    status = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return joins.equi_join(lines, status, "id", salts=8)
+
+
+def c3_quarantine_at_the_edge(spark, sf_dir):
+    """Work experience just above its bound as a double, at the bound as a float: in silver, so not in quarantine."""
+    edge = profile(spark, sf_dir).withColumn("work_experience", F.expr("CAST(50 AS DOUBLE) + id % 3 * 0.000001D"))
+    bad = medallion.silver_quarantine(edge).select("id", F.array_join("failed_rules", ",").alias("failed_rules"), F.lit(True).alias("bad"))
+    return bad.unionByName(medallion.silver(edge).select("id", F.lit("").alias("failed_rules"), F.lit(False).alias("bad")))
 
 
 def d2_positional(spark, sf_dir):
@@ -239,6 +253,14 @@ QUERIES: dict[str, Query] = {
         with_ctes("typed", "SELECT * FROM typed WHERE " + " AND ".join(
             r for n, r in RULE_SQL.items() if n != "valid_segmentation"))),
     "c3_quarantine": Query(c3_quarantine, _quarantine_sql),
+    "c3_quarantine_at_the_edge": Query(
+        c3_quarantine_at_the_edge,
+        with_ctes("profile", f"SELECT id, failed_rules, failed_rules <> '' AS bad FROM (SELECT id, concat_ws(',', "
+                  + ", ".join(f"CASE WHEN NOT {r} THEN '{n}' END" for n, r in RULE_SQL.items())
+                  + ") AS failed_rules FROM edge)",
+                  edge="SELECT id, gender, ever_married, CAST(age AS INT) AS age, graduated, profession, "
+                       "CAST(CAST(50 AS DOUBLE) + id % 3 * CAST(0.000001 AS DOUBLE) AS FLOAT) AS work_experience, "
+                       "spending_score, CAST(trunc(family_size) AS INT) AS family_size, var_1, segmentation FROM profile")),
     "c4_rule_counts": Query(
         lambda s, d: c2_single_rules(s, d).drop("left_after"),
         with_ctes("typed", f"SELECT rule, passed, failed FROM ({_report_sql('typed')})")),
@@ -260,6 +282,10 @@ QUERIES: dict[str, Query] = {
     "d1_orders_customer": Query(
         d1_orders_customer,
         "SELECT o_custkey AS id, o_orderkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey"),
+    "d1_hot_key": Query(
+        d1_hot_key,
+        "SELECT l_returnflag AS id, l_orderkey, l_linenumber, n FROM lineitem JOIN "
+        "(SELECT l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY 1) ON l_returnflag = flag"),
     "d2_positional_join": Query(
         d2_positional,
         "WITH l AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS r FROM orders), "

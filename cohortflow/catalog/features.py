@@ -216,6 +216,21 @@ def shifted_shares(spark, sf_dir):
                                        lines.filter(F.col("l_linestatus") != "F"), limit=0.05))
 
 
+def shifted_shares_with_null(spark, sf_dir):
+    kind = F.when(F.col("l_returnflag") != "A", F.col("l_returnflag"))
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", kind.alias("prediction"))
+    return rounded(metrics.share_shift(lines.filter(F.col("l_linestatus") == "F"),
+                                       lines.filter(F.col("l_linestatus") != "F"), limit=0.05))
+
+
+def _shift_sql(kind: str) -> str:
+    return (f"WITH c AS (SELECT {kind} AS \"class\", count(*) FILTER (WHERE l_linestatus = 'F') AS a, "
+            "count(*) FILTER (WHERE l_linestatus <> 'F') AS b FROM lineitem GROUP BY 1), "
+            "s AS (SELECT \"class\", a / CAST(sum(a) OVER () AS DOUBLE) AS x, b / CAST(sum(b) OVER () AS DOUBLE) AS y FROM c) "
+            "SELECT \"class\", round(x, 6) AS share_reference, round(y, 6) AS share_current, round(y - x, 6) AS shift, "
+            "abs(y - x) > 0.05 AS drifted FROM s")
+
+
 FOLD_SQL = ("CAST((row_number() OVER (PARTITION BY segmentation ORDER BY md5(concat('13:', CAST(id AS VARCHAR))), id) - 1) "
             "% 3 AS INT) AS fold")
 
@@ -315,13 +330,9 @@ QUERIES: dict[str, Query] = {
         lambda s, d: rounded(metrics.quality_watch(
             metrics.weighted_metrics(graded_lines(s, d), by=["params", "fold"]), floor=0.145)),
         score_sql(f"SELECT {_rounded_metrics('params, fold')}, f1_score < 0.145 AS retrain FROM scores", ["params", "fold"])),
-    "i16_share_shift": Query(
-        shifted_shares,
-        "WITH c AS (SELECT l_returnflag AS \"class\", count(*) FILTER (WHERE l_linestatus = 'F') AS a, "
-        "count(*) FILTER (WHERE l_linestatus <> 'F') AS b FROM lineitem GROUP BY 1), "
-        "s AS (SELECT \"class\", a / CAST(sum(a) OVER () AS DOUBLE) AS x, b / CAST(sum(b) OVER () AS DOUBLE) AS y FROM c) "
-        "SELECT \"class\", round(x, 6) AS share_reference, round(y, 6) AS share_current, round(y - x, 6) AS shift, "
-        "abs(y - x) > 0.05 AS drifted FROM s"),
+    "i16_share_shift": Query(shifted_shares, _shift_sql("l_returnflag")),
+    "i16_share_shift_null_class": Query(
+        shifted_shares_with_null, _shift_sql("CASE WHEN l_returnflag <> 'A' THEN l_returnflag END")),
 }
 
 

@@ -134,6 +134,13 @@ QUERIES: dict[str, Query] = {
     "e1_modes": Query(
         lambda s, d: stats.modes(profile(s, d), config.CATEGORICAL),
         with_ctes("profile", _modes_sql(config.CATEGORICAL, "profile"))),
+    "e1_numeric_mode_ties": Query(
+        lambda s, d: stats.modes(table(s, d, "lineitem").select(F.explode(F.array(F.lit(10), F.lit(9))).alias("folded")), ["folded"]),
+        "SELECT 'folded' AS column_name, '9' AS value, count(*) AS n FROM lineitem"),
+    "e2_medians_with_nan": Query(
+        lambda s, d: stats.quantiles(table(s, d, "lineitem").select(F.when(
+            F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_extendedprice").cast("double")).alias("price")), ["price"], [0.5]),
+        _quantiles_sql(["price"], "(SELECT CAST(l_extendedprice AS DOUBLE) AS price FROM lineitem WHERE l_linenumber <> 1)", [0.5])),
     "e2_medians": Query(
         lambda s, d: stats.quantiles(silver(s, d), NUMBERS, [0.5]),
         with_ctes("silver", _quantiles_sql(NUMBERS, "silver", [0.5]))),

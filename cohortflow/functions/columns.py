@@ -19,7 +19,18 @@ def replace_columns(df: DataFrame, changed: Mapping[str, Column]) -> DataFrame:
 
 def normalize_names(df: DataFrame) -> DataFrame:
     """Lower-case names with underscores for spaces."""
-    return df.toDF(*["_".join(c.lower().split(" ")) for c in df.columns])
+    return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
+
+
+#: What every text that casts to a number has: a digit, or the letters of a spelled-out value (NaN, Inf, Infinity).
+LIKE_A_NUMBER = "[0-9]|[nN][aA][nN]|[iI][nN][fF]"
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _fitted(column: str, now: str, kind: str) -> Column:
+    """try_cast; text without anything of a number is not tried, because each failed try costs an exception."""
+    tried = F.col(column).try_cast(kind)
+    return F.when(F.col(column).rlike(LIKE_A_NUMBER), tried) if now == "string" and kind.startswith(NUMBERS) else tried
 
 
 def cast_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
@@ -27,7 +38,7 @@ def cast_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     so filters on them still reach the scan."""
     current = dict(df.dtypes)
     return replace_columns(
-        df, {c: F.col(c).try_cast(kind) for c, kind in kinds.items() if current[c] != kind})
+        df, {c: _fitted(c, current[c], kind) for c, kind in kinds.items() if current[c] != kind})
 
 
 def cast_to_double(columns: Iterable[str], *frames: DataFrame) -> tuple[DataFrame, ...]:

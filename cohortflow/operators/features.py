@@ -58,17 +58,19 @@ def feature_frame(df: DataFrame) -> DataFrame:
     return cast_columns(df, dict.fromkeys(columns_of(df, T.BooleanType), "int"))
 
 
-def check_levels(df: DataFrame, columns: list[str], max_levels: int) -> None:
-    """Refuse columns with so many values that a slot for each makes no sense; the fitted levels are
-    kept on the driver, so their number must stay small whatever the table size."""
-    widths = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first() if columns else {}
+def check_levels(df: DataFrame, columns: list[str], max_levels: int | None) -> None:
+    """Refuse columns with more distinct values than the caller allows, counted exactly; without a limit none is refused.
+    The fitted levels are kept on the driver."""
+    if max_levels is None:
+        return
+    widths = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first() if columns else {}
     wide = [c for c in columns if widths[c] > max_levels]
     if wide:
         raise ValueError(f"more than {max_levels} levels in {wide}; leave these columns out")
 
 
 def fit_features(df: DataFrame, scale: bool = False, numeric_types: str = "int_bool_double",
-                 skip: tuple[str, ...] = ("id",), relative_error: float = 0.001, max_levels: int = 10000) -> PipelineModel:
+                 skip: tuple[str, ...] = ("id",), relative_error: float = 0.001, max_levels: int | None = None) -> PipelineModel:
     """Fit the stages on the columns that the schema offers."""
     df = feature_frame(df)
     num_cols = [c for c in numeric_columns(df, numeric_types) if c not in skip]
@@ -82,8 +84,8 @@ def features_of(df: DataFrame, model: PipelineModel, keep: list[str]) -> DataFra
     return model.transform(feature_frame(df)).select(*keep, "features")
 
 
-def levels_of(df: DataFrame, columns: list[str], max_levels: int = 1000) -> dict[str, list]:
-    """Sorted distinct values per column, NULL last. Refuses columns too wide for one flag per value."""
+def levels_of(df: DataFrame, columns: list[str], max_levels: int | None = None) -> dict[str, list]:
+    """Sorted distinct values per column, NULL last. Refuses columns with more than max_levels, if given."""
     check_levels(df, columns, max_levels)
     row = df.agg(*[F.collect_set(c).alias(c) for c in columns],
                  *[F.bool_or(F.col(c).isNull()).alias(f"{c}_null") for c in columns]).first()

@@ -74,11 +74,10 @@ def quality_watch(scores: DataFrame, metric: str = "f1_score", floor: float = 0.
 
 
 def share_shift(reference: DataFrame, current: DataFrame, column: str = "prediction", limit: float = 0.1) -> DataFrame:
-    """Class shares then and now, their difference, and whether it exceeds the limit."""
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col(column).alias("class")).agg(F.count(F.lit(1)).alias(name))
-
-    both = counted(reference, "n_reference").join(counted(current, "n_current"), "class", "full_outer").na.fill(0)
+    """Class shares then and now, their difference, and whether it exceeds the limit. NULL is a class like any other."""
+    sides = [df.select(F.col(column).alias("class"), F.lit(now).alias("_now")) for df, now in ((reference, False), (current, True))]
+    both = sides[0].union(sides[1]).groupBy("class").agg(
+        F.count_if(~F.col("_now")).alias("n_reference"), F.count_if("_now").alias("n_current"))
     everything = Window.partitionBy(F.lit(0))  # one row per class at this point
     shares = both.select("*", F.sum("n_reference").over(everything).alias("all_reference"),
                          F.sum("n_current").over(everything).alias("all_current"))

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions.columns import null_count
-from cohortflow.operators.ranking import values_at_ranks, values_at_ranks_small
+from cohortflow.operators.ranking import values_at_ranks
 
 QUARTILES = [0.25, 0.5, 0.75]
 BRACKET = 8  # width of a bracket in units of the sketch's rank error
-ONE_TASK_ROWS = 1_000_000  # values per column that one task may sort
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -38,15 +37,17 @@ def value_counts(df: DataFrame, columns: list[str], kind: str = "string") -> Dat
     return unpivot(df, columns, kind).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_values(counts: DataFrame) -> DataFrame:
-    """The most frequent value per column; on a tie a value before NULL, then the smallest value."""
-    key = F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("missing"), "value")
+def top_values(counts: DataFrame, numeric: list[str] | tuple = ()) -> DataFrame:
+    """The most frequent value per column; on a tie a value before NULL, then the smallest value: the smallest
+    number in numeric columns, the first text in others."""
+    number = F.when(F.col("column_name").isin(list(numeric)), F.col("value").try_cast("double"))
+    key = F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("missing"), number.alias("number"), "value")
     best = counts.groupBy("column_name").agg(F.min(key).alias("best"))
     return best.select("column_name", F.col("best.value").alias("value"), (-F.col("best.n")).alias("n"))
 
 
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
-    return top_values(value_counts(df, columns))
+    return top_values(value_counts(df, columns), [c for c in columns if is_numeric(df, c)])
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,7 +95,8 @@ def medians(df: DataFrame, columns: list[str], error: float = 0.01) -> dict[str,
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
-    """Exact discrete quantiles of several columns, (column_name, prob, value), from two scans.
+    """Exact discrete quantiles of several columns, (column_name, prob, value), from two scans. Values are doubles;
+    whole numbers beyond 2 ** 53 are rounded to one. NaN and NULL have no rank.
 
     The first scan sketches a narrow bracket around every quantile and counts the rows. The second
     counts values inside the brackets one by one and all others in bulk, so little is shuffled or
@@ -115,24 +117,30 @@ def _exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accu
         return {}, row
     ranks = {c: [r for (name, _), r in rank.items() if name == c] for c in names}
     table = _marked(df, names, brackets).groupBy("column_name", "value", "bulk").agg(F.count(F.lit(1)).alias("n"))
-    inside = max(row[f"{c}_n"] for c in names) * BRACKET * len(probs) / accuracy
-    pick = values_at_ranks_small if inside <= ONE_TASK_ROWS else values_at_ranks
     order = [F.col("value").asc_nulls_first(), "bulk"]
-    hits = pick(table, "column_name", order, "n", ranks).collect()  # one row per column and probability
+    hits = values_at_ranks(table, "column_name", order, "n", ranks).collect()  # one row per column and probability
     if any(h["bulk"] for h in hits):
-        counts = value_counts(df, names, "double").filter(F.col("value").isNotNull()).withColumn("bulk", F.lit(False))
+        numbers = df.select(*[_number(df, c).alias(c) for c in names])
+        counts = value_counts(numbers, names, "double").filter(F.col("value").isNotNull()).withColumn("bulk", F.lit(False))
         hits = values_at_ranks(counts, "column_name", order, "n", ranks).collect()
     value = {(h["column_name"], h["rank"]): h["value"] for h in hits}
     return {key: value[(key[0], r)] for key, r in rank.items()}, row
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """The column as double; NaN has no rank and counts as NULL, whatever the error allowed."""
+    number = F.col(column).cast("double")
+    fractional = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType, T.StringType))
+    return F.nanvl(number, F.lit(None).cast("double")) if fractional else number
+
+
 def _brackets(df: DataFrame, columns: list[str], probs: list[float], accuracy: int,
               extra: list[Column]) -> tuple[dict[str, list], Row]:
     """Per column the merged (low, high) brackets that should hold the quantiles, and the aggregate's row."""
     edges = [min(max(p + side * BRACKET / 2 / accuracy, 0.0), 1.0) for p in probs for side in (-1, 1)]
     wanted = F.array(*[F.lit(e) for e in edges])
-    row = df.agg(*[F.count(c).alias(f"{c}_n") for c in columns], *[
-        F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(f"{c}_q") for c in columns], *extra).first()
+    row = df.agg(*[F.count(_number(df, c)).alias(f"{c}_n") for c in columns], *[
+        F.percentile_approx(_number(df, c), wanted, accuracy).alias(f"{c}_q") for c in columns], *extra).first()
     out = {}
     for c in columns:
         found, merged = row[f"{c}_q"] or [], []
@@ -150,7 +158,7 @@ def _marked(df: DataFrame, columns: list[str], brackets: dict[str, list]) -> Dat
     below it (NULL below the first), marked as bulk."""
     cells = []
     for c in columns:
-        number = F.col(c).cast("double")
+        number = _number(df, c)
         value, bulk, before = None, None, F.lit(None).cast("double")
         for low, high in brackets[c]:
             steps = ((number < low, before, True), (number <= high, number, False))

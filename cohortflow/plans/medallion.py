@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortflow import config
 from cohortflow.functions.columns import cast_columns, fill_constants, lookup_union, map_values, mapped, normalize_names
@@ -23,8 +24,17 @@ def silver(bronze: DataFrame, rules: Mapping[str, str] = config.ROW_RULES) -> Da
 
 
 def silver_quarantine(bronze: DataFrame, rules: Mapping[str, str] = config.ROW_RULES) -> DataFrame:
-    """Every row silver leaves out, with the rules it breaks."""
-    return quarantine(typed(bronze, config.QUARANTINE_TYPES), rules)
+    """Every row silver leaves out, with the rules it breaks, in the quarantine's own types.
+
+    The rules judge the same values as in silver; a wider type could put a value on the other side of a bound.
+    """
+    named = normalize_names(bronze)
+    found = typed(bronze, config.QUARANTINE_TYPES).columns
+    both = named.withColumns({f"_found_{c}": F.col(c) for c in config.QUARANTINE_TYPES})
+    judged = quarantine(cast_columns(both, config.SILVER_TYPES), rules)
+    wide = cast_columns(judged, {f"_found_{c}": kind for c, kind in config.QUARANTINE_TYPES.items()})
+    return wide.select(*[F.col(f"_found_{c}").alias(c) if c in config.QUARANTINE_TYPES else F.col(c) for c in found],
+                       "failed_rules")
 
 
 def gold_lookup(spark: SparkSession, maps: Mapping[str, Mapping] = config.VALUE_MAPS) -> DataFrame:

@@ -14,9 +14,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
 
 
+def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Every row with every column as text."""
+    return spark.read.option("header", True).csv(path)
+
+
 def preview_csv(spark: SparkSession, path: str, rows: int = 20) -> DataFrame:
     """The first rows with every column as text."""
-    return spark.read.option("header", True).csv(path).limit(rows)
+    return read_text_csv(spark, path).limit(rows)
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
