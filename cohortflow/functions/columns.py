@@ -23,7 +23,7 @@ def normalize_names(df: DataFrame) -> DataFrame:
 
 
 #: What every text that casts to a number has: a digit, or the letters of a spelled-out value (NaN, Inf, Infinity).
-LIKE_A_NUMBER = "[0-9]|[nN][aA][nN]|[iI][nN][fF]"
+LIKE_A_NUMBER = r"\p{Nd}|[nN][aA][nN]|[iI][nN][fF]"
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 

@@ -81,13 +81,6 @@ def values_at_ranks(table: DataFrame, group: str, order_by: list[str], weight: s
                  table.columns)
 
 
-def values_at_ranks_small(table: DataFrame, group: str, order_by: list[str], weight: str,
-                          ranks: dict[str, list[int]]) -> DataFrame:
-    """The same for groups that are known to be small enough for one task each."""
-    parts = table.groupBy(group).agg(F.sum(weight).alias("_n")).withColumn("_offset", F.lit(0))
-    return _pick(table.join(_holding(parts, group, ranks), group), [group], order_by, weight, table.columns)
-
-
 def _holding(parts: DataFrame, group: str, ranks: dict[str, list[int]]) -> DataFrame:
     """Parts that hold a sought rank, with the ranks they hold."""
     wanted = F.create_map(*[F.lit(x) for g, found in ranks.items() for x in (g, sorted(set(found)))])

@@ -99,3 +99,13 @@ def test_fill_and_drop(spark, rows):
     assert rows(C.fill_constants(df, {"p": "Other"})) == sorted([("Other", "a"), ("z", None)], key=repr)
     assert C.drop_columns(df, "q", "not there").columns == ["p"]
     assert C.rename_cast(df.select(F.lit(3).alias("s")), "s", "label", "double").dtypes == [("label", "double")]
+
+
+def test_casts_try_only_what_may_be_a_number(spark):
+    from cohortflow.functions.columns import cast_columns
+
+    texts = ["1", " 2.5 ", "-3e2", "NaN", "Infinity", "-inf", "+Inf", "word", "", None, "N", "x1", "٣", "0x1", "1d", "nan "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("double", "int", "decimal(10,2)"):
+        guarded = [str(r[0]) for r in cast_columns(df, {"t": kind}).collect()]
+        assert guarded == [str(r[0]) for r in df.selectExpr(f"try_cast(t AS {kind})").collect()]

@@ -86,14 +86,21 @@ def test_brackets_that_miss_fall_back_to_all_values(spark, monkeypatch):
     assert stats.medians(df, ["x"], 0.0) == {"x": 499.0}
 
 
-def test_quantiles_agree_on_both_ways_of_picking_ranks(spark, monkeypatch):
+def test_quantiles_of_shuffled_numbers(spark):
     df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("x"), F.lit(4.0).alias("y")).repartition(6)
-    small = {(r["column_name"], r["prob"]): r["value"] for r in stats.quantiles(df, ["x", "y"], [0.0, 0.3, 0.31, 1.0]).collect()}
-    monkeypatch.setattr(stats, "ONE_TASK_ROWS", 0)
-    large = {(r["column_name"], r["prob"]): r["value"] for r in stats.quantiles(df, ["x", "y"], [0.0, 0.3, 0.31, 1.0]).collect()}
+    found = {(r["column_name"], r["prob"]): r["value"] for r in stats.quantiles(df, ["x", "y"], [0.0, 0.3, 0.31, 1.0]).collect()}
     values = sorted(i * 7919 % 3001 for i in range(3000))
-    assert small == large
-    assert small[("x", 0.3)] == values[899] and small[("x", 1.0)] == values[-1] and small[("y", 0.31)] == 4.0
+    assert found[("x", 0.3)] == values[899] and found[("x", 1.0)] == values[-1] and found[("y", 0.31)] == 4.0
+
+
+def test_nan_has_no_rank(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("nan"),), (float("nan"),), (None,)], "x double")
+    assert stats.medians(df, ["x"], 0.0) == stats.medians(df, ["x"], 0.01) == {"x": 2.0}
+
+
+def test_number_ties_go_to_the_smaller_number(spark):
+    df = spark.createDataFrame([(9, "9"), (9, "9"), (10, "10"), (10, "10")], "n int, t string")
+    assert {r["column_name"]: r["value"] for r in stats.modes(df, ["n", "t"]).collect()} == {"n": "9", "t": "10"}
 
 
 def test_sketched_summary_is_close_to_the_exact_one(spark, small_silver):
