@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import config
-from cohortflow.catalog.base import Query, feature_input, profile, silver, table, with_ctes
-from cohortflow.catalog.features import _features_query, _levels_ctes, _vector_sql, gold_features
+from cohortflow.catalog.base import RULE_SQL, Query, feature_input, profile, silver, table, with_ctes
+from cohortflow.catalog.features import FOLD_SQL, _features_query, _levels_ctes, _vector_sql, gold_features, rounded
 from cohortflow.functions import columns as C
 from cohortflow.operators import features, folds, models
 from cohortflow.plans import lifecycle, medallion, selection
@@ -92,6 +92,26 @@ def randomly_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.result_frame(spark, [outcome])
 
 
+def majority(spark: SparkSession, sf_dir: str) -> models.Outcome:
+    """A tree without a split answers with the most frequent label, so that SQL can follow every number of its training."""
+    df = folds.stratified_folds(training(spark, sf_dir), "label", "id")
+    return models.cross_validate("tree", df, {"maxDepth": [0]}, fold_column="fold")
+
+
+def majority_log(spark: SparkSession, sf_dir: str) -> str:
+    log, folder = scratch_path(spark, "model-log"), scratch_path(spark, "models")
+    lifecycle.register_best(spark, [majority(spark, sf_dir)], log, folder, "segments")
+    lifecycle.retrain(spark, training(spark, sf_dir), log, folder, "segments")
+    return log
+
+
+def majority_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stages = scratch_path(spark, "feature-stages")
+    save_model(features.fit_features(feature_input(spark, sf_dir)), stages)
+    fresh = medallion.silver(profile(spark, sf_dir).drop("segmentation"), config.SCORING_RULES)
+    return lifecycle.predict(spark, medallion.feature_input(fresh), stages, majority_log(spark, sf_dir), "segments")
+
+
 def logged(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     log, folder = scratch_path(spark, "model-log"), scratch_path(spark, "models")
     outcome = models.cross_validate("tree", training(spark, sf_dir), {"maxDepth": [3, 5]}, folds=2)
@@ -125,7 +145,40 @@ _labelled_sql = with_ctes(
     vectors=f"SELECT *, 'plain' AS variant FROM ({_vector_sql(False)}) UNION ALL "
             f"SELECT *, 'scaled' AS variant FROM ({_vector_sql(True)})")
 
+# The most frequent label of the rows a model is fitted on (ties: the smaller label), and its metrics on the rows it judges:
+# one label predicted, so its precision is the accuracy and the other labels add nothing.
+_majority_metrics = ("round({0}, 6) AS accuracy, round({0}, 6) AS weighted_recall, round({1}, 6) AS weighted_precision, "
+                     "round({2}, 6) AS f1_score")
+_all_rows = _majority_metrics.format("a", "a * a", "2 * a * a / (a + 1)")
+_by_fold = _majority_metrics.format("avg(a)", "avg(a * a)", "avg(2 * a * a / (a + 1))")
+
+
+def _majority_sql(body: str, **extra: str) -> str:
+    return with_ctes(
+        "target", body, labelled=f"SELECT id, CAST(segmentation - 1 AS DOUBLE) AS label, {FOLD_SQL} FROM target",
+        counted="SELECT f.fold AS held, label, count(*) FILTER (WHERE l.fold <> f.fold) AS fitted, "
+                "count(*) FILTER (WHERE l.fold = f.fold) AS judged FROM labelled l, (SELECT DISTINCT fold FROM labelled) f GROUP BY 1, 2",
+        folds="SELECT held, arg_max(judged, fitted * 100 - label) / CAST(sum(judged) AS DOUBLE) AS a FROM counted GROUP BY held",
+        whole="SELECT arg_max(label, n * 100 - label) AS label, max(n) / CAST(sum(n) AS DOUBLE) AS a "
+              "FROM (SELECT label, count(*) AS n FROM labelled GROUP BY 1)", **extra)
+
+
 QUERIES: dict[str, Query] = {
+    "i1_majority_by_given_folds": Query(
+        lambda s, d: rounded(models.fold_mean_frame(s, majority(s, d))),
+        _majority_sql(f"SELECT '{{\"maxDepth\": 0}}' AS params, {_by_fold} FROM folds")),
+    "i3_majority_result_row": Query(
+        lambda s, d: rounded(models.result_frame(s, [majority(s, d)])),
+        _majority_sql("SELECT 'tree' AS model, '{\"maxDepth\": [0]}' AS hyperparameters, '{\"maxDepth\": 0}' AS best_parameters, "
+                      f"{_all_rows} FROM whole")),
+    "i14_majority_logged_and_retrained": Query(
+        lambda s, d: rounded(read_table(s, majority_log(s, d)).drop("path")),
+        _majority_sql("SELECT 'segments' AS name, v.version, 'tree' AS kind, 'plain' AS features, '{\"maxDepth\": 0}' AS parameters, "
+                      f"{_all_rows} FROM whole, (SELECT 1 AS version UNION ALL SELECT 2) v")),
+    "i15_majority_predictions": Query(
+        majority_predicted,
+        _majority_sql("SELECT id, label AS prediction FROM fresh, (SELECT label FROM whole)",
+                      fresh="SELECT id FROM typed WHERE " + " AND ".join(r for n, r in RULE_SQL.items() if n != "valid_segmentation"))),
     "b15_dense_vectors": Query(
         lambda s, d: C.vector_to_rows(C.densify(gold_features(s, d, False))), _features_query(False)),
     "b19_training_frames": Query(loaded_frames, _labelled_sql),

@@ -139,12 +139,14 @@ class Outcome:
 
 
 def cross_validate(kind: str, df: DataFrame, grid: dict, folds: int = FOLDS, seed: int = SEED,
-                   label: str = "label", features: str = "features", parallelism: int = 4) -> Outcome:
-    """Grid search with random folds; the best mean weighted F1 wins and is refit on all rows."""
+                   label: str = "label", features: str = "features", parallelism: int = 4,
+                   fold_column: str | None = None) -> Outcome:
+    """Grid search with random folds, or with those of fold_column (stratified ones, say); the best mean weighted F1
+    wins and is refit on all rows. Given folds keep all four metrics of every point and fold."""
     base = classifier(kind, features=features, label=label, seed=seed)
-    if kind in BINARY_ONLY:
+    if kind in BINARY_ONLY or fold_column is not None:
         return search_points(kind, df, grid_points(grid), folds=folds, seed=seed, label=label, features=features,
-                             parallelism=parallelism, searched=grid)
+                             fold_column=fold_column, parallelism=parallelism, searched=grid)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(base.getParam(name), values)
@@ -199,6 +201,12 @@ def point_frame(spark: SparkSession, outcomes: list[Outcome]) -> DataFrame:
     return spark.createDataFrame(rows, "model string, params string, f1_score double")
 
 
+def fold_mean_frame(spark: SparkSession, outcome: Outcome) -> DataFrame:
+    """The mean of every metric over the folds for every parameter point."""
+    scores = fold_score_frame(spark, outcome)
+    return scores.groupBy("params").agg(*[F.avg(m).alias(m) for m in METRICS])
+
+
 def fold_score_frame(spark: SparkSession, outcome: Outcome) -> DataFrame:
     """One row per parameter point and fold."""
     rows = [(json.dumps(outcome.points[s["point"]]), s["fold"], *[float(s[m]) for m in METRICS])
