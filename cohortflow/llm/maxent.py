@@ -35,8 +35,8 @@ PAIRS = 1 << 13
 #: Buckets of rare words as context.
 RARE = 32
 ROUNDS, RATE, BATCH = 4, 0.15, 8192
-#: Floats of the model that are averaged as one row.
-BLOCK = 1 << 15
+#: Floats of the model that are averaged as one row, and rows that are averaged as one group.
+BLOCK, FAN_IN = 1 << 15, 64
 #: The end of a text is a word with this key.
 END = -(1 << 63)
 
@@ -208,7 +208,7 @@ def _rounds(texts: DataFrame, tables: Tables, flat: np.ndarray, rounds: int, rat
         for data, tokens in zip(rows["data"], rows["tokens"], strict=True):
             part = np.frombuffer(data, np.float16).astype(np.float64) * tokens
             total, weight = part if total is None else total + part, weight + tokens
-        return pd.DataFrame({"block": rows["block"].iloc[:1], "tokens": [int(weight)], "data": [(total / weight).astype(np.float16).tobytes()]})
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "part": rows["part"].iloc[:1] // FAN_IN, "tokens": [int(weight)], "data": [(total / weight).astype(np.float16).tobytes()]})
 
     for r in range(rounds):
         common = context.broadcast(flat)
@@ -222,13 +222,15 @@ def _rounds(texts: DataFrame, tables: Tables, flat: np.ndarray, rounds: int, rat
             if trainer.tokens:
                 change = (trainer.flat - common.value).astype(np.float16)
                 parts = [change[f:f + BLOCK].tobytes() for f in range(0, len(change), BLOCK)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([trainer.tokens] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "tokens", "data"])
+                part = [TaskContext.get().partitionId()] * len(parts)
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(part, pa.int32()), pa.array([trainer.tokens] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "part", "tokens", "data"])
 
-        shape = "block int, tokens bigint, data binary"
+        shape = "block int, part int, tokens bigint, data binary"
         told = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").mapInArrow(learn, shape)
-        # averages of averages: sixteen groups of tasks for each block first
-        some = told.withColumn("group", F.pmod(F.xxhash64("data"), F.lit(16))).groupBy("block", "group").applyInPandas(mean, shape)
-        for row in some.groupBy("block").applyInPandas(mean, shape).collect():
+        # a tree of averages: each group holds FAN_IN rows at most, the last one a row for FAN_IN ** 2 tasks
+        for _ in range(2):
+            told = told.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("block", "group").applyInPandas(mean, shape)
+        for row in told.groupBy("block").applyInPandas(mean, shape).collect():
             change = np.frombuffer(row["data"], np.float16).astype(np.float32)
             flat[row["block"] * BLOCK:row["block"] * BLOCK + len(change)] += change
         common.unpersist()
