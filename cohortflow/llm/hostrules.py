@@ -14,6 +14,8 @@ BLANKS = " \t\n\u000b\f\r"
 WINDOW = 8
 #: A host whose shrunk failure rate is above REJECT loses all its documents; below TRUST a document's own failures are forgiven.
 REJECT, TRUST = 0.8, 0.01
+#: Hosts whose verdicts may travel to every task, some 60 bytes each.
+SMALL = 100_000
 #: Bounds of the prior's weight in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1e6
 
@@ -103,7 +105,9 @@ def judge(docs: DataFrame, keys: list[Column] | None = None, host_column: str =
     """
     rows = docs.select(*(keys or [F.col("doc_id")]), F.col(host_column).alias("_host"), F.col(text_column).alias("_text"))
     measured = settle(measures(rows, "_text"), "measures")
-    hosts = host_verdicts(measured, "_host").select(F.col("host").alias("_of"), "rate", "host_verdict")
+    hosts = settle(host_verdicts(measured, "_host").select(F.col("host").alias("_of"), "rate", "host_verdict"), "hosts")
+    if hosts.count() <= SMALL:  # beyond that documents and hosts are dealt by host, and Spark splits a hot one
+        hosts = F.broadcast(hosts)
     joined = measured.join(hosts, F.col("_host") == F.col("_of"), "left").withColumn("host_verdict", F.coalesce("host_verdict", F.lit("watch")))
     kept = ~base_failed() & (F.col("host_verdict") != "reject") & ((F.col("host_verdict") == "trust") | ~rule_failed())
     named = [c for c in measured.columns if c not in ("_host", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")]

@@ -56,7 +56,9 @@ def host_rows():
     return rows
 
 
-def test_host_rules(spark):
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_host_rules(spark, monkeypatch, small):
+    monkeypatch.setattr(hostrules, "SMALL", small)
     rows = host_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_words", F.lit("clash")).withColumn("kept", F.lit(0))
     found = hostrules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
