@@ -10,24 +10,22 @@ from cohortflow.operators import synth
 from cohortflow.session import scratch_path
 from cohortflow.sources import files
 
-STEPS = 100
-NUMERIC = {"age": "INT", "work_experience": "FLOAT", "family_size": "INT"}
-TEXT = ["gender", "ever_married", "graduated", "profession", "spending_score", "var_1"]
+RANKED = [c for c in PROFILE_COLUMNS if c not in ("id", "segmentation")]
 
 
 def made(spark: SparkSession, sf_dir: str, seed: int = 13) -> DataFrame:
     df = silver(spark, sf_dir)
-    return synth.synthetic_rows(df, "segmentation", df.count(), seed=seed, steps=STEPS)
+    return synth.synthetic_rows(df, "segmentation", df.count(), seed=seed)
 
 
 def features_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = silver(spark, sf_dir)
-    return synth.synthetic_split(df, "segmentation", df.count(), seed=29, steps=STEPS)[0]
+    return synth.synthetic_split(df, "segmentation", df.count(), seed=29)[0]
 
 
 def target_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = silver(spark, sf_dir)
-    target = synth.synthetic_split(df, "segmentation", df.count(), seed=29, steps=STEPS)[1]
+    target = synth.synthetic_split(df, "segmentation", df.count(), seed=29)[1]
     return target.groupBy("segmentation").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -41,6 +39,12 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*PROFILE_COLUMNS, "batch_date")
 
 
+def many_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals by status: a number column in which nearly every value is its own."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", F.col("o_totalprice").cast("double").alias("total"))
+    return synth.synthetic_rows(orders, "o_orderstatus", orders.count(), max_levels=100)
+
+
 def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as synthetic order owners: a column with more values than fit an array."""
     orders = table(spark, sf_dir, "orders").select(
@@ -59,37 +63,32 @@ def synth_sql(seed: int, select: str) -> str:
         "picked": f"SELECT r, floor({_u(seed, 'segmentation')} * (SELECT count(*) FROM silver)) AS spot FROM rows_",
         "base": "SELECT r, c, n FROM picked JOIN shares ON spot < hi AND spot >= hi - n",
     }
-    for c in TEXT:
+    for c in RANKED:
         ctes[f"t_{c}"] = (f"SELECT segmentation AS c, {c} AS v, count(*) AS n, sum(count(*)) OVER (PARTITION BY segmentation "
                           f"ORDER BY {c} NULLS FIRST) AS hi FROM silver GROUP BY 1, 2")
         ctes[f"d_{c}"] = (f"SELECT b.r, t.v FROM (SELECT *, floor({_u(seed, c)} * n) AS spot FROM base) b "
                           f"JOIN t_{c} t ON t.c = b.c AND b.spot < t.hi AND b.spot >= t.hi - t.n")
-    for c, kind in NUMERIC.items():
-        ctes[f"o_{c}"] = (f"SELECT segmentation AS c, {c} AS v, row_number() OVER (PARTITION BY segmentation ORDER BY {c}) AS k, "
-                          f"count(*) OVER (PARTITION BY segmentation) AS m FROM silver WHERE {c} IS NOT NULL")
-        ctes[f"z_{c}"] = f"SELECT segmentation AS c, count(*) - count({c}) AS z FROM silver GROUP BY 1"
-        ctes[f"d_{c}"] = (
-            f"SELECT b.r, CASE WHEN floor({_u(seed, c + '?', 'b.r')} * b.n) >= z.z THEN o.v END AS v FROM base b "
-            f"JOIN z_{c} z ON z.c = b.c JOIN o_{c} o ON o.c = b.c AND o.k = greatest(ceil(m * "
-            f"((floor({_u(seed, c, 'b.r')} * {STEPS}) + 0.5::DOUBLE) / {STEPS})), 1)")
     cells = ", ".join(f"d_{c}.v AS {c}" for c in PROFILE_COLUMNS if c not in ("id", "segmentation"))
-    joins = " ".join(f"JOIN d_{c} ON d_{c}.r = base.r" for c in [*TEXT, *NUMERIC])
+    joins = " ".join(f"JOIN d_{c} ON d_{c}.r = base.r" for c in RANKED)
     ctes["made"] = f"SELECT base.r + 1 AS id, {cells}, base.c AS segmentation FROM base {joins}"
     return with_ctes("silver", select, **ctes)
 
 
-_wide_sql = (
-    "WITH o AS (SELECT o_orderstatus AS c, 'c' || CAST(o_custkey AS VARCHAR) AS v FROM orders), "
-    "s AS (SELECT c, count(*) AS n, sum(count(*)) OVER (ORDER BY c) AS hi FROM o GROUP BY 1), "
-    "t AS (SELECT c, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY c ORDER BY v) AS hi FROM o GROUP BY 1, 2), "
-    "b AS (SELECT r, c, n FROM (SELECT r, floor(" + _u(13, "o_orderstatus") + " * (SELECT count(*) FROM o)) AS spot "
-    "FROM (SELECT unnest(range((SELECT count(*) FROM o))) AS r)) JOIN s ON spot < hi AND spot >= hi - n) "
-    "SELECT b.c AS o_orderstatus, t.v AS owner FROM (SELECT *, floor(" + _u(13, "owner") + " * n) AS spot FROM b) b "
-    "JOIN t ON t.c = b.c AND spot < t.hi AND spot >= t.hi - t.n")
+def _wide_sql(column: str, value: str) -> str:
+    return (
+        f"WITH o AS (SELECT o_orderstatus AS c, {value} AS v FROM orders), "
+        "s AS (SELECT c, count(*) AS n, sum(count(*)) OVER (ORDER BY c) AS hi FROM o GROUP BY 1), "
+        "t AS (SELECT c, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY c ORDER BY v) AS hi FROM o GROUP BY 1, 2), "
+        "b AS (SELECT r, c, n FROM (SELECT r, floor(" + _u(13, "o_orderstatus") + " * (SELECT count(*) FROM o)) AS spot "
+        "FROM (SELECT unnest(range((SELECT count(*) FROM o))) AS r)) JOIN s ON spot < hi AND spot >= hi - n) "
+        f"SELECT b.c AS o_orderstatus, t.v AS {column} FROM (SELECT *, floor(" + _u(13, column) + " * n) AS spot FROM b) b "
+        "JOIN t ON t.c = b.c AND b.spot < t.hi AND b.spot >= t.hi - t.n")
+
 
 QUERIES: dict[str, Query] = {
     "l2_synthetic_rows": Query(made, synth_sql(13, "SELECT * FROM made")),
-    "l2_synthetic_wide_column": Query(wide_values, _wide_sql),
+    "l2_synthetic_wide_column": Query(wide_values, _wide_sql("owner", "'c' || CAST(o_custkey AS VARCHAR)")),
+    "l2_synthetic_many_numbers": Query(many_numbers, _wide_sql("total", "CAST(o_totalprice AS DOUBLE)")),
     "l3_synthetic_features": Query(features_only, synth_sql(29, "SELECT * EXCLUDE (segmentation) FROM made")),
     "l3_synthetic_target": Query(target_only, synth_sql(29, "SELECT segmentation, count(*) AS n FROM made GROUP BY 1")),
     "a17_landed_batches": Query(landed, synth_sql(13, union_all(

@@ -22,12 +22,13 @@ def uniform(seed: int, tag: str, row: str = "row") -> Column:
 
 
 def _value_tables(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
-    """Per class and column: values in order with the running count up to each (levels are few, as checked)."""
+    """Per class and column: values in order (numbers as such) with the running count up to each; values are few."""
     cells = df.select(F.col(label).alias("_class"), *[F.col(c).cast("string").alias(c) for c in columns])
     counts = (cells.unpivot(["_class"], columns, "column_name", "value")
               .groupBy("_class", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
     # sort_array puts NULL first, like the running total below
-    pairs = F.sort_array(F.collect_list(F.struct("value", "n")))
+    number = F.when(F.col("column_name").isin([c for c in columns if is_numeric(df, c)]), F.col("value").try_cast("double"))
+    pairs = F.sort_array(F.collect_list(F.struct(number.alias("number"), "value", "n")))
     arrays = counts.groupBy("_class", "column_name").agg(pairs.alias("pairs"))
     upto = F.transform("pairs", lambda x, i: F.aggregate(
         F.slice("pairs", F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda total, y: total + y["n"]))
@@ -35,13 +36,9 @@ def _value_tables(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
                          upto.alias("upto"))
 
 
-def _class_tables(df: DataFrame, label: str, narrow: list[str], numeric: list[str], steps: int, accuracy: int) -> DataFrame:
-    """One row per class: its size, value tables of the narrow columns, quantile tables of the numeric ones."""
-    probs = F.array(*[F.lit((i + 0.5) / steps) for i in range(steps)])
-    sizes = df.groupBy(F.col(label).alias("_class")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.percentile_approx(c, probs, accuracy).alias(f"_q_{c}") for c in numeric],
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in numeric])
+def _class_tables(df: DataFrame, label: str, narrow: list[str]) -> DataFrame:
+    """One row per class: its size and value tables of the narrow columns."""
+    sizes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
     if not narrow:
         return sizes
     wide = _value_tables(df, label, narrow).groupBy("_class").agg(*[
@@ -71,18 +68,22 @@ def _wide_column(drawn: DataFrame, df: DataFrame, label: str, column: str, seed:
     return seek.join(spans, met).select("row", F.col("_value").alias(column))
 
 
-def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, steps: int = 100,
-                   accuracy: int = 10000, max_levels: int = 1000, id_start: int = 1) -> DataFrame:
-    """As many rows as asked for, with the columns of df. Id columns count up from id_start."""
+def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, max_levels: int = 1000,
+                   id_start: int = 1) -> DataFrame:
+    """As many rows as asked for, with the columns of df. Id columns count up from id_start.
+
+    Every other column, number or text, is drawn by rank over the running counts of its class, so each value of df can
+    come, as often as it is frequent. Columns with few values keep their counts in arrays, the others in a table; both
+    ways draw the same value for a rank.
+    """
     spark = df.sparkSession
     columns = [c for c in df.columns if c != label]
     kinds = detect_kinds(df, columns)
-    numeric = [c for c in columns if kinds[c] == "numeric"]
-    text = [c for c in columns if kinds[c] == "categorical"]
-    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in [label, *text]]).first()
+    ranked = [c for c in columns if kinds[c] != "id"]
+    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in [label, *ranked]]).first()
     if levels[label] > max_levels:
         raise ValueError(f"{label} has too many classes")
-    narrow = [c for c in text if levels[c] <= max_levels and levels[c] * levels[label] <= 100 * max_levels]
+    narrow = [c for c in ranked if levels[c] <= max_levels and levels[c] * levels[label] <= 100 * max_levels]
 
     # Class shares: one literal array, as long as there are classes.
     shares = sorted(((r["_class"], r["n"]) for r in df.groupBy(F.col(label).alias("_class"))
@@ -96,8 +97,8 @@ def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, steps:
     base = spark.range(rows).select(F.col("id").alias("row")).withColumn("_class", pick)
 
     # One row per class with short arrays. Their total length is known here, so broadcast only what is small.
-    tables = _class_tables(df, label, narrow, numeric, steps, accuracy).withColumnRenamed("_class", "_known")
-    if levels[label] * (steps * len(numeric) + sum(levels[c] for c in narrow)) <= BROADCAST_VALUES:
+    tables = _class_tables(df, label, narrow).withColumnRenamed("_class", "_known")
+    if levels[label] * sum(levels[c] for c in narrow) <= BROADCAST_VALUES:
         tables = F.broadcast(tables)
     drawn = base.join(tables, F.col("_class").eqNullSafe(F.col("_known")))
 
@@ -106,17 +107,13 @@ def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, steps:
         if kinds[c] == "id":
             number = F.col("row") + F.lit(id_start)
             return number.cast(kind) if is_numeric(df, c) else F.concat(F.lit(f"{c}_"), number.cast("string"))
-        if c in numeric:
-            step = (F.floor(uniform(seed, c) * F.lit(float(steps))) + 1).cast("int")
-            missing = F.floor(uniform(seed, f"{c}?") * F.col("_n")) < F.col(f"_null_{c}")
-            return F.when(~missing, F.element_at(f"_q_{c}", step)).cast(kind)
         spot = F.floor(uniform(seed, c) * F.col("_n"))
         above = F.size(F.filter(F.col(f"_v_{c}.upto"), lambda bound: bound <= spot))
         return F.element_at(F.col(f"_v_{c}.values"), above + 1).cast(kind)
 
-    simple = [c for c in columns if c not in text or c in narrow]
+    simple = [c for c in columns if c not in ranked or c in narrow]
     out = drawn.select("row", *[value_of(c).alias(c) for c in simple], F.col("_class").alias(label))
-    for c in text:
+    for c in ranked:
         if c not in narrow:
             found = _wide_column(drawn, df, label, c, seed, max(int(levels[c]), 1))
             out = out.join(found, "row")
