@@ -2,17 +2,21 @@
 
 A token is scored given the three before it. Features are the previous token, the ones two and three back (skips), and
 the hashed pair of the last two. The softmax is factored: first the class of the next token, then the token within its
-class. Classes are runs of the most frequent words by rank; all other words are one class, within which a word's share
-follows its count. Weights start at the unigram shares and are trained by gradient updates that Spark distributes: in
-every round each task goes over its part of the training texts from the common weights, and the tasks' changes are
-averaged by their numbers of tokens. Each training text is used in exactly one round.
+class. Classes are runs of the most frequent words by rank; one more class holds all other words, and is split by a tree
+of up to 32 ways a level down to leaves of some LEAF_WORDS words by hash, each level with its own contexts. Within a leaf
+a word's share follows its count. Every word is a context of its own at every step, hashed with the step into rows whose
+number follows from the number of different words. Weights start at the unigram shares and are trained by gradient
+updates that Spark distributes: in every round each task goes over its part of the training texts from the common
+weights, and the changes of each GROUP of weights are averaged, by numbers of tokens, over the tasks that changed it.
+Each training text is used in exactly one round.
 
 Words are known by 64-bit hashes. Counts cover all training tokens. The FREQUENT most frequent words' counts, a fixed
-number, travel to every task; tokens beyond them are joined with the table of counts.
+number, and the counts of the leaves travel to every task; tokens beyond them are joined with the table of counts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,13 +34,21 @@ from cohortflow.session import settle
 #: Classes of frequent words and words in each; one more class holds the rest.
 CLASSES, WORDS = 16, 32
 FREQUENT = 1 << 19
-#: Hashed rows of the pair feature.
+#: Hashed rows of the pair feature in a model without fine rows.
 PAIRS = 1 << 13
+#: Different words of a leaf, at least; there are as many leaves as that allows, in a power of two.
+LEAF_WORDS = 16
+#: Fine rows are the power of two from FINE times the square root of the number of different words on.
+FINE, LEAST_FINE = 64, 1 << 10
 #: Buckets of rare words as context.
 RARE = 32
 ROUNDS, RATE, BATCH = 4, 0.15, 8192
 #: Floats of the model that are averaged as one row, and rows that are averaged as one group.
 BLOCK, FAN_IN = 1 << 15, 64
+#: Neighbouring weights that are averaged over the same tasks: a fine row.
+GROUP = WORDS
+#: Tasks of a round at most, beyond LEAST_TASKS: so many for each time that the training tokens outnumber the weights.
+TASKS, LEAST_TASKS = 2, 8
 #: The end of a text is a word with this key.
 END = -(1 << 63)
 
@@ -53,27 +65,70 @@ class Tables(NamedTuple):
     places: np.ndarray
 
 
-def _shapes() -> dict[str, tuple[int, int]]:
+class Leaves:
+    """The tree over the words beyond the vocabulary: a leaf is the first bits of a word's key, a level five more of them."""
+
+    def __init__(self, sizes: np.ndarray) -> None:
+        """sizes: tokens and different words of each leaf together."""
+        self.bits = len(sizes).bit_length() - 1
+        self.widths = [min(5, self.bits - b) for b in range(0, self.bits, 5)]
+        mass = sizes + 1.0
+        self.within = np.log10(mass).astype(np.float32)
+        self.shares: list[np.ndarray] = []  # of each level: logarithms of the counts below every way of every node
+        for width in reversed(self.widths):
+            mass = mass.reshape(-1, 1 << width)
+            self.shares.insert(0, np.log(mass).astype(np.float32))
+            mass = mass.sum(1)
+
+    def levels(self, leaf: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Each level, its bits, and the nodes and ways that lead to the leaves."""
+        left = self.bits
+        for level, width in enumerate(self.widths):
+            yield level, width, leaf >> left, (leaf >> (left - width)) & ((1 << width) - 1)
+            left -= width
+
+
+def leaf_bits(different: int) -> int:
+    return max(0, (different // LEAF_WORDS).bit_length() - 1)
+
+
+def leaf_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
+def fine_rows(different: int) -> int:
+    return max(LEAST_FINE, 1 << (math.ceil(FINE * math.sqrt(different)) - 1).bit_length())
+
+
+def _shapes(fine: int = 0) -> dict[str, tuple[int, int]]:
     c, s = CLASSES + 1, WORDS
-    return {"bias": (1, c), "last": (_CONTEXTS, c), "skip2": (_CONTEXTS, c), "skip3": (_CONTEXTS, c), "pair": (PAIRS, c),
-            "w_bias": (CLASSES, s), "w_last": (_CONTEXTS * CLASSES, s), "w_skip2": (_CONTEXTS * CLASSES, s), "w_pair": (PAIRS, s)}
+    pairs = PAIRS if not fine else 0
+    return {"bias": (1, c), "last": (_CONTEXTS, c), "skip2": (_CONTEXTS, c), "skip3": (_CONTEXTS, c), "pair": (pairs, c),
+            "w_bias": (CLASSES, s), "w_last": (_CONTEXTS * CLASSES, s), "w_skip2": (_CONTEXTS * CLASSES, s), "w_pair": (pairs, s)}
 
 
 def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
+    """The tables in flat; with more floats than those of a model without fine rows, the fine rows by the steps that use them."""
+    fine = 0 if len(flat) == model_size() else (len(flat) - model_size(1) + WORDS) // WORDS
     out, at = {}, 0
-    for name, (rows, columns) in _shapes().items():
+    for name, (rows, columns) in _shapes(fine).items():
         out[name] = flat[at:at + rows * columns].reshape(rows, columns)
         at += rows * columns
+    if fine:
+        shared = flat[len(flat) - fine * WORDS:].reshape(fine, WORDS)
+        for step, columns in [("o", CLASSES + 1), ("i", WORDS), *[(f"t{width}", 1 << width) for width in range(1, 6)]]:
+            out |= {f"{step}_{feature}": shared[:, :columns] for feature in ("last", "skip2", "pair")}
     return out
 
 
-def model_size() -> int:
-    return sum(a * b for a, b in _shapes().values())
+def model_size(fine: int = 0) -> int:
+    size = sum(a * b for a, b in _shapes(fine).values())
+    return -(-size // GROUP) * GROUP + fine * WORDS if fine else size
 
 
-def initial(counts: np.ndarray, rest: float) -> np.ndarray:
+def initial(counts: np.ndarray, rest: float, fine: int = 0) -> np.ndarray:
     """Weights whose shares are those of the counts: counts of the vocabulary by place, and of all other words."""
-    flat = np.zeros(model_size(), np.float32)
+    flat = np.zeros(model_size(fine), np.float32)
     view = _views(flat)
     known = np.zeros(_VOCAB)
     known[:len(counts)] = counts
@@ -92,8 +147,19 @@ def _features(p1: np.ndarray, p2: np.ndarray, p3: np.ndarray, cls: np.ndarray) -
     return outer, {"w_bias": cls, "w_last": p1 * CLASSES + cls, "w_skip2": p2 * CLASSES + cls, "w_pair": (inner ^ (inner >> 9)) % PAIRS}
 
 
-def _shares(view: dict[str, np.ndarray], rows: dict[str, np.ndarray]) -> np.ndarray:
-    logit = None
+def _fine(step: str, features: dict[str, np.ndarray], node: np.ndarray, rows: int) -> dict[str, np.ndarray]:
+    """Fine rows of each feature's words at a node of the factored softmax."""
+    at = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    out = {}
+    for name, words in features.items():
+        h = (words ^ at) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out[f"{step}_{name}"] = ((h >> np.uint64(24)) & np.uint64(rows - 1)).astype(np.int64)
+    return out
+
+
+def _shares(view: dict[str, np.ndarray], rows: dict[str, np.ndarray], start: np.ndarray | None = None) -> np.ndarray:
+    logit = start
     for name, at in rows.items():
         logit = view[name][at] if logit is None else logit + view[name][at]
     logit -= logit.max(1, keepdims=True)
@@ -102,20 +168,45 @@ def _shares(view: dict[str, np.ndarray], rows: dict[str, np.ndarray]) -> np.ndar
     return logit
 
 
-def log_shares(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, batch: int = 1 << 15) -> np.ndarray:
-    """log10 of each token's share given those before it in its text; for a rare token that of the class of rare words."""
+def _steps(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None, leaves: Leaves | None, batch: int) -> Iterator[tuple[slice, list]]:
+    """Batches of tokens, and the steps that lead to them: the tokens concerned, their rows, the ways taken, starting logits.
+
+    keys: of every token's word; without them no word beyond the vocabulary is told apart.
+    """
     p1, p2, p3 = _contexts(ids, starts)
-    out = np.empty(len(ids))
+    if keys is not None:
+        fine = len(view["o_last"])
+        k1, k2, _ = _contexts(keys, starts)
+        # mixed once more, so that a feature's rows are not those of another
+        words = {"last": k1.view(np.uint64) * np.uint64(3), "skip2": k2.view(np.uint64) * np.uint64(5)}
+        words["pair"] = (words["last"] ^ (words["last"] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + words["skip2"]
     for f in range(0, len(ids), batch):
         s = slice(f, f + batch)
         rare = ids[s] >= _VOCAB
         cls = np.where(rare, CLASSES, ids[s] // WORDS)
+        known, beyond = np.flatnonzero(~rare), np.flatnonzero(rare)
         outer, inner = _features(p1[s], p2[s], p3[s], np.where(rare, 0, cls))
-        found = np.log10(np.maximum(_shares(view, outer)[np.arange(len(cls)), cls], 1e-30))
-        known = np.flatnonzero(~rare)
-        within = _shares(view, {k: v[known] for k, v in inner.items()})
-        found[known] += np.log10(np.maximum(within[np.arange(len(known)), ids[s][known] % WORDS], 1e-30))
-        out[s] = found
+        inner = {k: v[known] for k, v in inner.items()}
+        if keys is not None:
+            del outer["pair"], inner["w_pair"]
+            outer |= _fine("o", {k: words[k][s] for k in ("last", "pair")}, np.zeros(len(cls), np.int64), fine)
+            inner |= _fine("i", {k: words[k][s][known] for k in ("last", "pair")}, 1 + cls[known], fine)
+        steps = [(np.arange(len(cls)), outer, cls, None)]
+        if len(known):
+            steps.append((known, inner, ids[s][known] % WORDS, None))
+        if keys is not None and leaves is not None and len(beyond):
+            of = {k: v[s][beyond] for k, v in words.items()}
+            for level, width, node, way in leaves.levels(leaf_of(keys[s][beyond], leaves.bits)):
+                steps.append((beyond, _fine(f"t{width}", of, node + ((level + 1) << 40), fine), way, leaves.shares[level][node]))
+        yield s, steps
+
+
+def log_shares(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, batch: int = 1 << 15, keys: np.ndarray | None = None, leaves: Leaves | None = None) -> np.ndarray:
+    """log10 of each token's share given those before it in its text; for a rare token that of its leaf, or of the class of rare words without keys."""
+    out = np.zeros(len(ids))
+    for s, steps in _steps(view, ids, starts, keys, leaves, batch):
+        for some, rows, way, start in steps:
+            out[s][some] += np.log10(np.maximum(_shares(view, rows, start)[np.arange(len(way)), way], 1e-30))
     return out
 
 
@@ -134,8 +225,8 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Trainer:
     """Gradient updates with per-weight rates, from common weights."""
 
-    def __init__(self, flat: np.ndarray, rate: float) -> None:
-        self.flat, self.rate, self.tokens = flat.copy(), rate, 0
+    def __init__(self, flat: np.ndarray, rate: float, leaves: Leaves | None = None) -> None:
+        self.flat, self.rate, self.leaves, self.tokens = flat.copy(), rate, leaves, 0
         self.view, self.seen = _views(self.flat), _views(np.ones_like(flat))
 
     def _update(self, rows: dict[str, np.ndarray], error: np.ndarray) -> None:
@@ -148,23 +239,17 @@ class Trainer:
             self.seen[name][touched] += slope * slope
             self.view[name][touched] += self.rate * slope / np.sqrt(self.seen[name][touched])
 
-    def learn(self, ids: np.ndarray, starts: np.ndarray) -> None:
-        p1, p2, p3 = _contexts(ids, starts)
-        for f in range(0, len(ids), BATCH):
-            s = slice(f, f + BATCH)
-            rare = ids[s] >= _VOCAB
-            cls = np.where(rare, CLASSES, ids[s] // WORDS)
-            outer, inner = _features(p1[s], p2[s], p3[s], np.where(rare, 0, cls))
-            error = -_shares(self.view, outer)
-            error[np.arange(len(cls)), cls] += 1
-            known = np.flatnonzero(~rare)
-            rows = {k: v[known] for k, v in inner.items()}
-            within = -_shares(self.view, rows) if len(known) else np.zeros((0, WORDS), np.float32)
-            within[np.arange(len(known)), ids[s][known] % WORDS] += 1
-            self._update(outer, error)
-            if len(known):
-                self._update(rows, within)
-            self.tokens += len(cls)
+    def learn(self, ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None = None) -> None:
+        for _, steps in _steps(self.view, ids, starts, keys, self.leaves, BATCH):
+            # all errors first: steps may share fine rows
+            errors = []
+            for _, rows, way, start in steps:
+                error = -_shares(self.view, rows, start)
+                error[np.arange(len(way)), way] += 1
+                errors.append(error)
+            for (_, rows, _, _), error in zip(steps, errors, strict=True):
+                self._update(rows, error)
+            self.tokens += len(steps[0][2])
 
 
 def _hashes(distinct: pa.LargeBinaryArray) -> np.ndarray:
@@ -199,34 +284,49 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], ["word", "n"]).filter(pa.array(n > 0))
 
 
-def _rounds(texts: DataFrame, tables: Tables, flat: np.ndarray, rounds: int, rate: float) -> np.ndarray:
+def _parted(change: np.ndarray, tokens: int) -> tuple[list[bytes], list[bytes]]:
+    """Blocks of a task's changes, and the tokens they count for: none where a GROUP of weights is as it was."""
+    seen = np.where((change.reshape(-1, GROUP) != 0).any(1), tokens, 0).astype(np.float32)
+    cut = range(0, len(change), BLOCK)
+    return [change[f:f + BLOCK].tobytes() for f in cut], [seen[f // GROUP:(f + BLOCK) // GROUP].tobytes() for f in cut]
+
+
+def _averaged(data: list[bytes], seen: list[bytes]) -> tuple[bytes, bytes]:
+    """The mean of several changes of a block by their tokens, and the tokens' sums."""
+    total, weight = 0.0, 0.0
+    for d, n in zip(data, seen, strict=True):
+        n = np.frombuffer(n, np.float32).astype(np.float64)
+        total = total + np.frombuffer(d, np.float16).astype(np.float64).reshape(-1, GROUP) * n[:, None]
+        weight = weight + n
+    return (total / np.maximum(weight, 1.0)[:, None]).astype(np.float16).tobytes(), weight.astype(np.float32).tobytes()
+
+
+def _rounds(texts: DataFrame, tables: Tables, leaves: Leaves, flat: np.ndarray, rounds: int, rate: float, tasks: int) -> np.ndarray:
     context = texts.sparkSession.sparkContext
-    held = context.broadcast(tables)
+    held = context.broadcast((tables, leaves))
 
     def mean(rows: pd.DataFrame) -> pd.DataFrame:
-        total, weight = None, 0.0
-        for data, tokens in zip(rows["data"], rows["tokens"], strict=True):
-            part = np.frombuffer(data, np.float16).astype(np.float64) * tokens
-            total, weight = part if total is None else total + part, weight + tokens
-        return pd.DataFrame({"block": rows["block"].iloc[:1], "part": rows["part"].iloc[:1] // FAN_IN, "tokens": [int(weight)], "data": [(total / weight).astype(np.float16).tobytes()]})
+        data, seen = _averaged(list(rows["data"]), list(rows["seen"]))
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "part": rows["part"].iloc[:1] // FAN_IN, "seen": [seen], "data": [data]})
 
     for r in range(rounds):
         common = context.broadcast(flat)
 
         def learn(batches: Iterator[pa.RecordBatch], common=common) -> Iterator[pa.RecordBatch]:
-            trainer = Trainer(common.value, rate)
+            tables, leaves = held.value
+            trainer = Trainer(common.value, rate, leaves)
             for batch in batches:
                 for part in slices(batch):
                     keys, codes, starts = _tokens(part.column("text"))
-                    trainer.learn(_lookup(held.value, keys)[1][codes], starts)
+                    trainer.learn(_lookup(tables, keys)[1][codes], starts, keys[codes])
             if trainer.tokens:
                 change = (trainer.flat - common.value).astype(np.float16)
-                parts = [change[f:f + BLOCK].tobytes() for f in range(0, len(change), BLOCK)]
+                parts, seen = _parted(change, trainer.tokens)
                 part = [TaskContext.get().partitionId()] * len(parts)
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(part, pa.int32()), pa.array([trainer.tokens] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "part", "tokens", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(part, pa.int32()), pa.array(seen, pa.binary()), pa.array(parts, pa.binary())], ["block", "part", "seen", "data"])
 
-        shape = "block int, part int, tokens bigint, data binary"
-        told = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").mapInArrow(learn, shape)
+        shape = "block int, part int, seen binary, data binary"
+        told = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").coalesce(tasks).mapInArrow(learn, shape)
         # a tree of averages: each group holds FAN_IN rows at most, the last one a row for FAN_IN ** 2 tasks
         for _ in range(2):
             told = told.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("block", "group").applyInPandas(mean, shape)
@@ -260,11 +360,19 @@ def score(docs: DataFrame, fold: Column, rounds: int = ROUNDS, rate: float = RAT
     by_hash = np.argsort(word)
     tables = Tables(word[by_hash], n[by_hash], places[by_hash])
     rest_n, rest_v = total - int(vocabulary.sum()), different - len(vocabulary)
-    flat = _rounds(train, tables, initial(vocabulary, float(rest_n)), rounds, rate)
-    held = spark.sparkContext.broadcast((tables, flat))
+    bits = leaf_bits(rest_v)
+    leaf = F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
+    below = counts.groupBy(leaf.alias("leaf")).agg((F.sum("n") + F.count(F.lit(1))).alias("n")).toArrow()
+    sizes = np.zeros(1 << bits, np.int64)
+    sizes[below.column("leaf").to_numpy()] = below.column("n").to_numpy()
+    np.subtract.at(sizes, leaf_of(word[rank[:_VOCAB]], bits), vocabulary + 1)
+    leaves = Leaves(sizes)
+    flat = initial(vocabulary, float(rest_n), fine_rows(different))
+    flat = _rounds(train, tables, leaves, flat, rounds, rate, max(LEAST_TASKS, TASKS * total // len(flat)))
+    held = spark.sparkContext.broadcast((tables, leaves, flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, flat = held.value
+        tables, leaves, flat = held.value
         view, row = _views(flat), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch):
@@ -273,18 +381,21 @@ def score(docs: DataFrame, fold: Column, rounds: int = ROUNDS, rate: float = RAT
                 ids = place[codes]
                 found = count[codes]
                 known, rare = found >= 0, ids >= _VOCAB
+                words = keys[codes]
+                shares = log_shares(view, ids, starts, keys=words, leaves=leaves)
+                shares[rare] -= leaves.within[leaf_of(words[rare], leaves.bits)]
                 logs = np.log10(np.maximum(found, 0) + 1.0)
                 add = lambda x: np.add.reduceat(x.astype(float), starts[:-1])  # noqa: E731  every text has its end
                 text = np.repeat(np.arange(part.num_rows), np.diff(starts))[~known]
                 beyond = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32()), pa.array(keys[codes[~known]]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row + np.arange(part.num_rows)), part.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(add(known).astype(np.int64)),
-                    pa.array(add(logs)), pa.array(add(np.where(rare, logs, 0.0))), pa.array(add(rare).astype(np.int64)), pa.array(add(log_shares(view, ids, starts))), beyond,
-                ], ["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "n_rare", "shares", "beyond"])
+                    pa.array(add(logs)), pa.array(add(np.where(rare, logs, 0.0))), pa.array(add(shares)), beyond,
+                ], ["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "shares", "beyond"])
                 row += part.num_rows
 
     kind = docs.schema[id_column].dataType.simpleString()
-    scored = settle(texts.select("doc_id", "text").mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, n_known bigint, logs double, rare_logs double, n_rare bigint, shares double, beyond array<bigint>"), "scored")
+    scored = settle(texts.select("doc_id", "text").mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, n_known bigint, logs double, rare_logs double, shares double, beyond array<bigint>"), "scored")
     # tokens that aren't frequent words: their counts by a join; all of them are rare
     beyond = scored.select("row", F.explode("beyond").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
     more = beyond.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs"), F.sum("times").alias("more_known"))
@@ -293,4 +404,4 @@ def score(docs: DataFrame, fold: Column, rounds: int = ROUNDS, rate: float = RAT
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") + all_logs - F.col("n_tokens") * F.lit(float(np.log10(total + different + 1.0)))).alias("base_score"),
-        (F.col("shares") + F.col("rare_logs") + all_logs - F.col("n_rare") * F.lit(float(np.log10(rest_n + rest_v + 1.0)))).alias("score")))
+        (F.col("shares") + F.col("rare_logs") + all_logs).alias("score")))

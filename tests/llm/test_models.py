@@ -201,6 +201,44 @@ def test_language_model_with_nothing_to_learn(spark):
     assert maxent.score(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_model_tells_words_beyond_the_vocabulary_apart():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(-(1 << 62), 1 << 62, 4000)
+    n = maxent._VOCAB
+    first, second = keys[:40], keys[40:80]  # each of the first is followed by its own one of the second
+    at = rng.integers(0, 40, 6000)
+    text = np.stack([first[at], second[at]], 1).ravel()
+    ids, starts = n + text % maxent.RARE, np.array([0, len(text)])
+    bits = maxent.leaf_bits(len(keys))
+    sizes = np.bincount(maxent.leaf_of(np.concatenate([keys, text]), bits), minlength=1 << bits)
+    leaves = maxent.Leaves(sizes)
+    assert (1 << bits) * maxent.LEAF_WORDS <= len(keys) < (1 << bits) * maxent.LEAF_WORDS * 2
+    flat = maxent.initial(np.zeros(n), float(len(text)), maxent.fine_rows(len(keys)))
+    trainer = maxent.Trainer(flat, 0.15, leaves)
+    for _ in range(6):
+        trainer.learn(ids, starts, text)
+    follows = maxent.log_shares(trainer.view, ids, starts, keys=text, leaves=leaves)[1::2].mean()
+    mixed = text.copy()
+    mixed[1::2] = second[(at + 1 + rng.integers(0, 39, len(at))) % 40]
+    other = maxent.log_shares(trainer.view, n + mixed % maxent.RARE, starts, keys=mixed, leaves=leaves)[1::2].mean()
+    assert follows > other + 1
+    # all leaves together have the share of their class
+    spread, total = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits), 0.0
+    for k in spread.view(np.int64):
+        pair = np.array([text[0], k])
+        total += 10 ** maxent.log_shares(trainer.view, n + pair % maxent.RARE, np.array([0, 2]), keys=pair, leaves=leaves)[1]
+    assert total == pytest.approx(10 ** maxent.log_shares(trainer.view, n + text[:2] % maxent.RARE, np.array([0, 2]), keys=text[:2])[1], rel=1e-3)
+
+
+def test_changes_are_averaged_over_the_tasks_that_made_them():
+    a, b = np.zeros(2 * maxent.GROUP, np.float16), np.zeros(2 * maxent.GROUP, np.float16)
+    a[:maxent.GROUP], b[0], b[maxent.GROUP:] = 1, 4, 2
+    parts = [maxent._parted(a, 10), maxent._parted(b, 20)]
+    data, seen = maxent._averaged([p[0][0] for p in parts], [p[1][0] for p in parts])
+    found = np.frombuffer(data, np.float16)
+    assert found[0] == 3 and (found[maxent.GROUP:] == 2).all() and np.frombuffer(seen, np.float32).tolist() == [30, 20]
+
+
 def test_linear_models_separate():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 5))
