@@ -23,20 +23,21 @@ LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1e6
 def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """docs without text_column, with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (all long).
 
+    Lines are those of the untrimmed text, white space at their ends included; lines of white space alone don't count.
     Windows of eight words are compared by 64-bit hashes inside one text. Rows keep their number and other columns; a
     null text has no words. Columns of docs with these names are replaced.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
     carried = [c for c in docs.columns if c != text_column and c not in made]
     carry = [F.col(f"`{c}`") for c in carried]
-    trimmed = F.btrim(F.coalesce(F.col(text_column).cast("string"), F.lit("")), F.lit(BLANKS))
-    step = docs.select(*carry, trimmed.alias("_t"))
+    whole = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    step = docs.select(*carry, whole.alias("_whole")).select(*carry, "_whole", F.btrim("_whole", F.lit(BLANKS)).alias("_t"))
     no_words = F.array().cast("array<string>")
     step = step.select(
         *carry,
         F.when(F.col("_t") == "", no_words).otherwise(F.split("_t", "[ \t-\r]+")).alias("_words"),
         F.regexp_count("_t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.filter(F.split("_t", "\n"), lambda x: x.rlike("[^ \t-\r]")).alias("_lines"),
+        F.filter(F.split("_whole", "\n"), lambda x: x.rlike("[^ \t-\r]")).alias("_lines"),
     )
     step = step.select(
         *carry, "n_symbols",

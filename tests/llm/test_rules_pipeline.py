@@ -68,6 +68,15 @@ def test_host_rules(spark, monkeypatch, small):
     assert hostrules.judge(docs.limit(0)).count() == 0
 
 
+def test_lines_keep_their_own_white_space(spark):
+    rows = [(1, "abc\r\nabc\r\n", 1), (2, " x y\n x y", 1), (3, "x y\nx y ", 0), (4, "\n\n a\n a\n\n", 1), (5, "a\r\nb\r\na", 0), (6, " \n ", 0), (7, None, 0)]
+    rows += [(10 + i, f"{end}{prose(i, 30)}{end}{prose(i, 30)}{end}", None) for i, end in enumerate(["\r\n", "\n", "\n\t", " \n"])]
+    docs = spark.createDataFrame([(i, t, "h") for i, t, _ in rows], "doc_id long, text string, source string")
+    found = {r.doc_id: (r.n_lines, r.n_dup_lines) for r in hostrules.measures(docs).collect()}
+    for i, text, repeats in rows:
+        assert found[i] == measured(text)[3:5] and repeats in (None, found[i][1])
+
+
 def test_prior_pulls_small_hosts_to_the_mean(spark):
     rows = host_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
