@@ -18,7 +18,6 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from cohortflow.llm.shipping import ship_package
@@ -213,8 +212,8 @@ class TrieEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin and the last's end. Null counts as empty."""
-        special = pc.any(pc.match_substring(texts, "<|")).as_py()
-        return self.cache.encode(words_of(texts, lower=not special))  # case matters to special tokens alone
+        # case matters to special tokens, and to letters that are composed with marks before they are lower-cased
+        return self.cache.encode(words_of(texts, lower_plain=True))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8: token names with blanks between, as the file names no decoder."""

@@ -80,8 +80,8 @@ class LibraryEncoder:
         if self.byte_level:
             wide = pc.match_substring_regex(texts.fill_null(""), WIDE_SPACE).to_numpy(zero_copy_only=False)
             return self.cache.encode(words_of(texts, lead=True, whole=np.flatnonzero(wide)))
-        special = pc.any(pc.match_substring(texts, "<|")).as_py()
-        return self.cache.encode(words_of(texts, lower=not special))  # the file lower-cases; only special tokens' case matters
+        # the file lower-cases, but composes letters and marks first, and special tokens' case matters
+        return self.cache.encode(words_of(texts, lower_plain=True))
 
 
 @lru_cache(maxsize=4)

@@ -65,11 +65,12 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | (data - np.uint8(9) < 5)
 
 
-def words_of(texts: pa.Array, lower: bool = False, lead: bool = False, whole: np.ndarray | tuple = ()) -> Words:
+def words_of(texts: pa.Array, lower: bool = False, lead: bool = False, whole: np.ndarray | tuple = (), lower_plain: bool = False) -> Words:
     """Runs without white space of every whole text.
 
     lower: A-Z are lower-cased first. lead: a word keeps the white space before it, and white space that ends a text
     is a word, so that a text's words joined are the text. whole: positions of texts that are one word each, with lead.
+    lower_plain: without lead, A-Z are lower-cased in words of ASCII alone that don't hold '<|'; others stay as they are.
     """
     data, bounds = text_bytes(texts)
     if lower:
@@ -96,6 +97,12 @@ def words_of(texts: pa.Array, lower: bool = False, lead: bool = False, whole: np
         kept = data[~space]
         filled = np.concatenate(([0], np.cumsum(~space)))
         offsets = np.append(filled[at], len(kept)).astype(np.int64)
+        if lower_plain and len(at):
+            other = kept >= 128
+            other[:-1] |= (kept[:-1] == ord("<")) & (kept[1:] == ord("|"))
+            other[offsets[1:-1] - 1] = kept[offsets[1:-1] - 1] >= 128  # the next byte is another word's
+            stays = np.repeat(np.logical_or.reduceat(other, offsets[:-1]), np.diff(offsets))
+            kept = np.where(stays, kept, ascii_lower(kept))
     flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))])
     coded = flat.dictionary_encode()
     return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), starts)

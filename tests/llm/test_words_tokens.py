@@ -59,6 +59,16 @@ def test_ids_are_those_of_the_library(encoder, path):
             assert coded.ids == ids[starts[i]:starts[i + 1]].tolist(), repr(texts[i])
 
 
+@pytest.mark.parametrize("make", [lambda: bpe.TrieEncoder(WORD), lambda: tokens.LibraryEncoder(WORD, False)])
+def test_marks_are_composed_before_letters_are_lower_cased(make):
+    library = Tokenizer.from_file(WORD)
+    marked = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "aT\u0308B Plain j\u030c", "NAME<", "|NAME", "NAME< |NAME"]
+    for texts in (marked, [*marked, "<|endoftext|>A"], ["<|ENDOFTEXT|> A", *marked]):
+        ids, starts = make().encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[starts[i]:starts[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_small_cache_gives_the_same_ids():
     texts = odd_texts()
     encoder, other = bpe.TrieEncoder(WORD), bpe.TrieEncoder(WORD)
