@@ -30,9 +30,13 @@ LANDMARKS = 192
 #: Twice the log likelihood ratio a landmark needs; chance alone gives so much to one word in ten thousand.
 EVIDENCE = 15.1
 #: Letters a subsequence may span, and the weight of each letter of the span.
-SPAN, DECAY = 6, 0.8
-#: Similarities below FLOOR count as none, the rest are raised to POWER (powers of a kernel are kernels).
-FLOOR, POWER = 0.5, 4
+SPAN, DECAY = 8, 0.8
+#: Similarities below FLOOR count as none, the rest are raised to POWER (powers of a kernel are kernels): less than 0.0001 is left out.
+FLOOR, POWER = 0.1, 4
+#: Subsequences that are compared at once, and bytes of text: most words have some value with every landmark.
+AT_ONCE, TEXT_BYTES = 1 << 15, 2 << 20
+#: Letters put into landmarks for examples, and the shortest landmarks that get some.
+GAPS, LEAST_GAPPED = 3, 5
 SENTENCE_END = re.compile(r"[.!?\n]+")
 #: Longer words are compared in overlapping windows of this many bytes.
 LONGEST = 24
@@ -114,16 +118,17 @@ class Similarity:
         found, values = [], []
         for length in range(3, LONGEST + 1):
             rows = np.flatnonzero(width == length)
-            for first in range(0, len(rows), 4096):
-                some = rows[first:first + 4096]
+            step = max(1, AT_ONCE // len(_triples(length)[0]))
+            for first in range(0, len(rows), 8 * step):
+                some = rows[first:first + 8 * step]
                 code, value = _features(flat[begin[some][:, None] + np.arange(length)])
                 near = ((value * value) * self.active[code]).sum(1) >= FLOOR * FLOOR  # no landmark can be nearer than this
                 if near.any():
                     some, code, value = some[near], code[near], value[near]
-                    for f in range(0, len(some), 256):
-                        k = np.einsum("nt,ntm->nm", value[f:f + 256].astype(np.float32), self.table[code[f:f + 256]])
+                    for f in range(0, len(some), step):
+                        k = np.matmul(value[f:f + step, None, :].astype(np.float32), self.table[code[f:f + step]])[:, 0]
                         hit = (k >= FLOOR).any(1)
-                        found.append(word[some[f:f + 256][hit]])
+                        found.append(word[some[f:f + step][hit]])
                         values.append(k[hit])
         if not found:
             return np.zeros(0, np.int64), np.zeros((0, self.m), np.float32)
@@ -177,6 +182,22 @@ def _words_alone(similarity: Similarity, words: list[bytes]) -> np.ndarray:
     return out
 
 
+def _gapped(word: bytes) -> list[bytes]:
+    """word with one letter put in at a few places, and with two up to GAPS letters between others."""
+    n = len(word)
+    places = {(i,) for i in (n // 3, n // 2, 2 * n // 3)}
+    for gaps in range(2, GAPS + 1):
+        for first in (1, 2):  # side by side from there on, and spread over the word
+            places.add(tuple(range(first, first + gaps)))
+            places.add(tuple(sorted({first + k * (n - 1 - first) // (gaps - 1) for k in range(gaps)})))
+    out = []
+    for at in sorted(places):
+        if at[-1] < n:
+            bounds = [0, *at, n]
+            out.append(b"x".join(word[a:b] for a, b in zip(bounds, bounds[1:])))
+    return out
+
+
 def _sample(labels: DataFrame, fold: Column, per_class: int) -> DataFrame:
     """doc_id and toxic of at most per_class labelled ids of each class, chosen by a hash of the id."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & fold).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -201,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     """Learn from the labelled texts that fold marks; docs: doc_id, text; labels: doc_id, toxic (1 or 0, else unlabelled).
 
     Sentences of toxic texts that hold a landmark and lean to toxic are examples beside the texts, so that one insult is
-    enough, and so are those landmarks of six and more bytes with a letter put in.
+    enough, and so are those landmarks of five and more bytes with one, two and three letters put in.
     The sample is bounded by per_class texts of each class. Repeated labels of an id: toxic if any is. None if the
     sample lacks one of the classes.
     """
@@ -232,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         similarity = Similarity(marks)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=TEXT_BYTES):
                 k = [r.tobytes() for r in similarity.texts(part.column("text"))]
                 toxic = part.column("toxic").to_pylist()
                 said = [s for t, x in zip(toxic, part.column("text").to_pylist(), strict=True) if t == 1 and x for s in SENTENCE_END.split(x)]
@@ -256,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     margin = x @ w + b
     least = np.median(margin[kind == 0]) / 2
     leans = own @ whiten @ w + b > least
-    gapped = [m[:i] + b"x" + m[i:] for m, yes in zip(marks, leans, strict=True) if yes and len(m) >= 6 for i in {len(m) // 3, len(m) // 2, 2 * len(m) // 3} if 0 < i < len(m)]
+    gapped = [g for m, yes in zip(marks, leans, strict=True) if yes and len(m) >= LEAST_GAPPED for g in _gapped(m)]
     varied = _words_alone(similarity, gapped).astype(np.float32) @ whiten
     used_rows = texts | (margin > least)
     x, positive = np.concatenate([x[used_rows], varied]), np.append(kind[used_rows] > 0, np.ones(len(varied), bool))
@@ -281,7 +302,7 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", into:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         similarity = Similarity(model.landmarks)
         for batch in batches:
-            for part in slices(batch, text_column):
+            for part in slices(batch, text_column, TEXT_BYTES):
                 margin = similarity.texts(part.column(text_column).cast(pa.string())) @ model.weights + model.intercept
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(model.slope * margin + model.shift))], names)
 

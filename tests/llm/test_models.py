@@ -52,6 +52,14 @@ def test_kernel_sees_through_marks_blanks_and_length():
     assert similarity.texts(pa.array(["", None, "a b c", "é"])).max() == 0
 
 
+def test_kernel_keeps_heavily_gapped_words():
+    for mark, said in (("moron", "moxrxon"), ("stupid", "stxuxpid"), ("idiot", "ixdxixoxt"), ("worthless", "woxrtxhlexss"), ("numbskull", "nuxmbsxkuxll"), ("idiot", "abcdidiotwxyzuvkl")):
+        assert toxicity.Similarity([mark.encode()]).texts(pa.array([said]))[0, 0] == pytest.approx(kernel(said, mark), abs=1e-4) and kernel(said, mark) > 0
+    for word in (b"idiot", b"worthless"):
+        gapped = toxicity._gapped(word)
+        assert {len(g) - len(word) for g in gapped} == {1, 2, 3} and all(g.replace(b"x", b"") == word for g in gapped)
+
+
 @pytest.fixture(scope="module")
 def toxic_docs(spark):
     rng, rows = random.Random(4), []
@@ -75,6 +83,9 @@ def test_toxicity_held_out(spark, toxic_docs):
     scored = {r.doc_id: r.toxicity for r in toxicity.score(frame, model).collect()}
     assert scored[1] >= 0.5 and scored[2] >= 0.5 and all(0 <= s < 0.5 for i, s in scored.items() if i > 2)
     assert toxicity.score(frame.limit(0), model).count() == 0
+    gapped = spark.createDataFrame([(1, "you woxrthxless one"), (2, "a nuxmbsxkull"), (3, "the blxockxhead"), (4, "dixmwixtted"), (5, prose(900, 60))], SCHEMA)
+    *several, clean = [r.toxicity for r in toxicity.score(gapped, model).orderBy("doc_id").collect()]
+    assert min(several) > 2 * clean  # two letters put in: nearer to toxic than to clean texts
 
 
 def test_toxicity_without_a_class(spark, toxic_docs):
