@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, toxicity, urls
+from cohortflow.llm import bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, periodic, toxicity, urls
 from cohortflow.llm.words import fold_of
 
 
@@ -115,6 +115,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32(doc_id) is divisible by 10, the words from some word on repeat with some period.
+
+    With h the crc32, g = h div 10 and n words, word i >= a = g mod n becomes word a + (i - a) mod p of the text, where
+    p = 1 + (n - a) div (3 + g mod 8). Rows without an id and texts without words stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("_g"), F.when(h % 10 == 0, split).alias("_words"))
+    rows = rows.withColumn("_n", F.size("_words")).withColumn("_a", (F.col("_g") % F.greatest("_n", F.lit(1))).cast("int"))
+    rows = rows.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int"))
+    left = F.col("_n") - F.col("_a")
+    copies = F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), F.ceil(left / F.col("_p")).cast("int"))
+    words = F.concat(F.slice("_words", F.lit(1), F.col("_a")), F.slice(F.flatten(copies), F.lit(1), left))
+    return rows.select("doc_id", F.when(F.col("_n") > 0, F.concat_ws(" ", words)).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_repeated_tails(table(spark, sf_dir, "documents")), exponent=4, least=6)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"), (-r.period).alias("shorter"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    start, period = -best.before, -best.shorter
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), best.length.alias("length"), period.alias("period"),
+        F.floor(1000 * best.length / period).alias("exponent_milli"), F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": Query(op1_toxicity),
     "op2_url_filter": Query(op2_url_filter),
@@ -126,4 +154,5 @@ QUERIES: dict[str, Query] = {
     "op8_language": Query(op8_language),
     "op9_maxent_scores": Query(op9_maxent_scores),
     "op10_packing": Query(op10_packing),
+    "op11_periodic_runs": Query(op11_periodic_runs),
 }
