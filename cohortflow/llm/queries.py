@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.catalog.base import Query, table
-from cohortflow.llm import alignment, bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, periodic, toxicity, urls
+from cohortflow.llm import alignment, bitplanes, bpe, exactdup, hostrules, langid, maxent, neardup, packing, periodic, sharding, toxicity, urls
 from cohortflow.llm.words import fold_of
 
 
@@ -143,6 +143,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_strength(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
@@ -159,5 +163,6 @@ QUERIES: dict[str, Query] = {
     "op9_maxent_scores": Query(op9_maxent_scores),
     "op10_packing": Query(op10_packing),
     "op11_periodic_runs": Query(op11_periodic_runs),
+    "op12_shards": Query(op12_shards),
     "op13_alignment": Query(op13_alignment),
 }
