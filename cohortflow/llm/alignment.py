@@ -28,7 +28,9 @@ from cohortflow.llm.words import Words, joined, slices, text_bytes
 from cohortflow.session import settle
 
 #: Bytes of text aligned at once; a longer text goes alone.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of distinct words whose ids each side keeps in a Python worker.
+KEPT_BYTES = 8 << 20
 #: Pairs of a group that are listed one by one; a larger group is counted by its distinct ids.
 LISTED = 4096
 #: Pairs whose counts are sent to every task, at most: 16 bytes each.
@@ -81,6 +83,7 @@ class ByteSide:
     def __init__(self, path: str) -> None:
         self.encoder = LibraryEncoder(path, True)
         self.encoder.library.encode_special_tokens = True
+        self.encoder.cache.kept_bytes = KEPT_BYTES
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         names = {token: name for name, token in spec["model"]["vocab"].items()} | {t["id"]: "" for t in spec["added_tokens"]}
@@ -116,7 +119,7 @@ class PieceSide:
         self.bytes = TokenBytes(entries)
         probe = [pieces[i] for i in self.model.encode("  a  b ")]
         self.splits = "".join(probe) == "   a  b ".replace(" ", BLANK) and not any(BLANK in p.lstrip(BLANK) for p in pieces)
-        self.cache = ChunkCache(self._encode_chunks)
+        self.cache = ChunkCache(self._encode_chunks, KEPT_BYTES)
 
     def _encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         # the model adds the first blank itself, but nothing to an empty text: a last blank alone is one piece
