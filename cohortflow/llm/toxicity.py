@@ -1,10 +1,12 @@
 """Toxicity by a subsequence string kernel, Nystroem landmarks and a support vector machine.
 
-Two words are compared by the subsequences of three letters they share, each weighted down by the gaps it spans, so that
-letters put into an insult cost little; punctuation inside a word and blanks between single letters are taken out first.
-Landmarks are words that labelled toxic texts hold far more often than clean ones. A text's kernel with a landmark is the
-greatest over its words, so that length doesn't thin an insult. The kernel's values with the landmarks, whitened by the
-landmarks' own kernel matrix, are the inputs of a linear support vector machine; its margin is calibrated to 0..1.
+Two words are compared by the subsequences of three letters they share, each weighted down by the gaps it spans; punctuation
+inside a word and blanks between single letters are taken out first. The kernel is multiplied by the share of the landmark's
+subsequences that the word holds, so that an insult with letters put in, which holds them all, is nearer than a fragment of it.
+Landmarks are words, or the first letters of words, that labelled toxic texts hold far more often than clean ones. A text's
+kernel with a landmark is the greatest over its words, less what clean texts reach by their length. A support vector machine
+in the landmarks' span, its norm taken by the landmarks' own kernel matrix, gives each landmark a weight of 0 or more: no
+insult speaks for a text. Its margin is calibrated to 0..1 on whole labelled texts.
 """
 
 from __future__ import annotations
@@ -19,24 +21,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortflow.llm.linear import calibrated, sigmoid, support_vectors
+from cohortflow.llm.linear import calibrated, sigmoid
 from cohortflow.llm.shipping import ship_package
 from cohortflow.llm.words import slices, words_of
 from cohortflow.session import settle
 
 #: Labelled texts per class that the model is fitted on; the bound of what it learns from.
 PER_CLASS = 5000
-LANDMARKS = 192
-#: Twice the log likelihood ratio a landmark needs; chance alone gives so much to one word in ten thousand.
-EVIDENCE = 15.1
+LANDMARKS = 64
+#: Twice the log likelihood ratio a landmark needs; chance alone gives so much to one word in a hundred thousand.
+EVIDENCE = 19.5
+#: Share of its labelled texts that must be toxic before a landmark alone makes a sentence an example of toxicity.
+ALONE = 0.85
+#: First letters of a word that may be a landmark.
+STEMS = (5, 6, 7, 8)
+#: A word nearer than this to a chosen landmark is none itself.
+ALIKE = 0.35
 #: Letters a subsequence may span, and the weight of each letter of the span.
 SPAN, DECAY = 8, 0.8
-#: Similarities below FLOOR count as none, the rest are raised to POWER (powers of a kernel are kernels): less than 0.0001 is left out.
-FLOOR, POWER = 0.1, 4
-#: Subsequences that are compared at once, and bytes of text: most words have some value with every landmark.
-AT_ONCE, TEXT_BYTES = 1 << 15, 2 << 20
+#: Similarities below FLOOR count as none.
+FLOOR = 0.08
+#: What clean texts reach: this quantile of them, but at most MOST_USUAL.
+USUAL, MOST_USUAL = 0.995, 0.35
+#: Subsequences that are compared at once, and bytes of text.
+AT_ONCE, TEXT_BYTES = 1 << 15, 4 << 20
+#: How much more clean rows weigh than toxic ones, so that landmarks which clean texts also reach weigh little.
+AGAINST = 20.0
+#: Share of clean labelled texts that may score 0.5 and more, and the least slope of the score there.
+FALSE_SHARE, LEAST_SLOPE = 0.015, 6.0
 #: Letters put into landmarks for examples, and the shortest landmarks that get some.
-GAPS, LEAST_GAPPED = 3, 5
+GAPS, LEAST_GAPPED = 2, 5
+#: Characters that aren't part of a word at its ends.
+MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 SENTENCE_END = re.compile(r"[.!?\n]+")
 #: Longer words are compared in overlapping windows of this many bytes.
 LONGEST = 24
@@ -45,6 +61,7 @@ ALPHABET = 32
 
 class Model(NamedTuple):
     landmarks: list[bytes]
+    usual: np.ndarray
     weights: np.ndarray
     intercept: float
     slope: float
@@ -106,6 +123,7 @@ class Similarity:
                 code, value = _features(s[None, :LONGEST])
                 self.table[code[0], k] += value[0]
         self.active = (self.table != 0).any(1)
+        self.share = self.table / np.maximum(self.table.sum(0), 1e-9)
 
     def hits(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """flat: symbols of all words in a row. The words with a similarity of FLOOR or more, and theirs with each landmark."""
@@ -126,14 +144,19 @@ class Similarity:
                 if near.any():
                     some, code, value = some[near], code[near], value[near]
                     for f in range(0, len(some), step):
-                        k = np.matmul(value[f:f + step, None, :].astype(np.float32), self.table[code[f:f + step]])[:, 0]
-                        hit = (k >= FLOOR).any(1)
-                        found.append(word[some[f:f + step][hit]])
-                        values.append(k[hit])
+                        codes = code[f:f + step]
+                        k = np.matmul(value[f:f + step, None, :].astype(np.float32), self.table[codes])[:, 0]
+                        hit = np.flatnonzero((k >= FLOOR).any(1))
+                        if len(hit):
+                            here = (value[f:f + step][hit] > 0)[:, None, :].astype(np.float32)
+                            k = np.minimum(k[hit], 1.0) * np.minimum(np.matmul(here, self.share[codes[hit]])[:, 0], 1.0)
+                            found.append(word[some[f:f + step][hit]])
+                            values.append(k)
         if not found:
             return np.zeros(0, np.int64), np.zeros((0, self.m), np.float32)
-        k = np.minimum(np.concatenate(values), 1.0)
-        return np.concatenate(found), np.where(k >= FLOOR, k ** POWER, 0.0).astype(np.float32)
+        k, word = np.concatenate(values), np.concatenate(found)
+        some = (k >= FLOOR).any(1)
+        return word[some], np.where(k[some] >= FLOOR, k[some], 0.0).astype(np.float32)
 
     def own(self, landmarks: list[bytes]) -> np.ndarray:
         return _words_alone(self, landmarks)
@@ -205,26 +228,77 @@ def _sample(labels: DataFrame, fold: Column, per_class: int) -> DataFrame:
     return known.filter("toxic = 1").orderBy(*order).limit(per_class).unionByName(known.filter("toxic = 0").orderBy(*order).limit(per_class))
 
 
+def _stems(word: bytes) -> set[bytes]:
+    """The word without marks at its ends, and its first letters where it is longer than they are."""
+    letters = word.decode(errors="ignore").strip(MARKS)
+    word = letters.encode()
+    return {word, *(letters[:n].encode() for n in STEMS if len(letters) > n)}
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and clean texts hold each word."""
+    """How many toxic and clean texts hold each word, and each word that begins so."""
     for batch in batches:
         for part in slices(batch):
             words = words_of(part.column("text"), lower=True)
-            n = len(words.distinct)
+            stems = [sorted(_stems(w)) for w in words.distinct.to_pylist()]
+            units = pa.array([x for some in stems for x in some], pa.large_binary()).dictionary_encode()
+            of = units.indices.to_numpy(zero_copy_only=False)
+            begins = np.concatenate(([0], np.cumsum([len(x) for x in stems]))).astype(np.int64)
+            n = max(len(units.dictionary), 1)
             text = np.repeat(np.arange(part.num_rows), np.diff(words.starts))
-            pair = np.unique(text * max(n, 1) + words.codes)
-            toxic = part.column("toxic").to_numpy(zero_copy_only=False)[pair // max(n, 1)] == 1
-            code = pair % max(n, 1)
-            yield pa.RecordBatch.from_arrays([words.distinct.cast(pa.binary()), pa.array(np.bincount(code[toxic], minlength=n)), pa.array(np.bincount(code[~toxic], minlength=n))], ["word", "toxic", "clean"])
+            size = np.diff(begins)[words.codes]
+            at = np.repeat(begins[words.codes], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            pair = np.unique(np.repeat(text, size) * n + of[at])
+            toxic = part.column("toxic").to_numpy(zero_copy_only=False)[pair // n] == 1
+            code = pair % n
+            yield pa.RecordBatch.from_arrays([units.dictionary.cast(pa.binary()), *(pa.array(np.bincount(code[which], minlength=n)[:len(units.dictionary)]) for which in (toxic, ~toxic))], ["word", "toxic", "clean"])
+
+
+def _apart(words: list[bytes], most: int) -> list[int]:
+    """Places of words, the first ones first, that aren't spellings of an earlier one; each with three letters or more."""
+    kept: list[int] = []
+    vectors: list[dict[int, float]] = []
+    for i, s in enumerate(_spelled(words)):
+        if len(s) < 3:
+            continue
+        code, value = _features(s[None, :LONGEST])
+        mine = {c: v for c, v in zip(code[0].tolist(), value[0].tolist(), strict=True) if v > 0}
+        if all(sum(v * other.get(c, 0.0) for c, v in mine.items()) < ALIKE for other in vectors):
+            kept.append(i)
+            vectors.append(mine)
+            if len(kept) == most:
+                break
+    return kept
+
+
+def _machine(x: np.ndarray, positive: np.ndarray, own: np.ndarray, c: float = 1000.0, rounds: int = 3000) -> tuple[np.ndarray, float]:
+    """Weights >= 0 and intercept that minimise weights' kernel norm / 2 + c * mean squared hinge, classes weighted alike but for AGAINST.
+
+    Accelerated projected gradient steps.
+    """
+    y = np.where(positive, 1.0, -1.0)
+    share = np.where(positive, 0.5 / positive.sum(), 0.5 * AGAINST / (~positive).sum()) * c
+    rows = np.column_stack([x, np.ones(len(x))])
+    norm = np.zeros((x.shape[1] + 1,) * 2)
+    norm[:-1, :-1] = own
+    step = 1.0 / (np.linalg.eigvalsh(norm + (rows * share[:, None]).T @ rows).max() + 1e-9)
+    a, ahead, t = np.zeros(rows.shape[1]), np.zeros(rows.shape[1]), 1.0
+    for _ in range(rounds):
+        gap = np.maximum(0.0, 1 - y * (rows @ ahead))
+        after = ahead - step * (norm @ ahead - rows.T @ (share * y * gap))
+        after[:-1] = np.maximum(0.0, after[:-1])
+        s = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead, a, t = after + (t - 1) / s * (after - a), after, s
+    return a[:-1], float(a[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_class: int = PER_CLASS, landmarks: int = LANDMARKS) -> Model | None:
     """Learn from the labelled texts that fold marks; docs: doc_id, text; labels: doc_id, toxic (1 or 0, else unlabelled).
 
-    Sentences of toxic texts that hold a landmark and lean to toxic are examples beside the texts, so that one insult is
-    enough, and so are those landmarks of five and more bytes with one, two and three letters put in.
+    Sentences are examples beside the texts: those of toxic texts that hold a landmark whose texts are mostly toxic, so that
+    one insult is enough, and those of clean texts; so are these landmarks with one and two letters put in.
     The sample is bounded by per_class texts of each class. Repeated labels of an id: toxic if any is. None if the
-    sample lacks one of the classes.
+    sample lacks one of the classes or no word has enough evidence.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -240,15 +314,12 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     part = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (total * q))).otherwise(0.0)
     told = counts.withColumn("g", 2 * (part("toxic", share) + part("clean", 1 - share))).filter(
         (F.col("g") >= EVIDENCE) & (F.col("toxic") > share * total) & (F.octet_length("word") >= 3))
-    rows = told.orderBy(F.desc("g"), "word").limit(4 * landmarks).collect()
-    chosen: dict[bytes, bytes] = {}  # one landmark for all spellings with the same letters
-    for r in rows:
-        key = SYMBOLS[np.frombuffer(bytes(r["word"]), np.uint8)]
-        if (key > 0).sum() >= 3:
-            chosen.setdefault(key[key > 0].tobytes(), bytes(r["word"]))
-    marks = list(chosen.values())[:landmarks]
+    rows = told.orderBy(F.desc("g"), F.octet_length("word").desc(), "word").limit(8 * landmarks).collect()
+    kept = [rows[i] for i in _apart([bytes(r["word"]) for r in rows], landmarks)]
+    marks = [bytes(r["word"]) for r in kept]
     if not marks:
         return None
+    alone = np.array([r["toxic"] >= ALONE * (r["toxic"] + r["clean"]) for r in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         similarity = Similarity(marks)
@@ -256,34 +327,38 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
             for part in slices(batch, most=TEXT_BYTES):
                 k = [r.tobytes() for r in similarity.texts(part.column("text"))]
                 toxic = part.column("toxic").to_pylist()
-                said = [s for t, x in zip(toxic, part.column("text").to_pylist(), strict=True) if t == 1 and x for s in SENTENCE_END.split(x)]
-                insults = similarity.texts(pa.array(said, pa.string()))
-                insults = {r.tobytes() for r in insults[(insults > 0.999).any(1)]} if len(said) else set()
-                yield pa.RecordBatch.from_arrays([pa.array(toxic + [2] * len(insults), pa.int32()), pa.array(k + sorted(insults), pa.binary())], ["toxic", "k"])
+                said = [(t, s) for t, x in zip(toxic, part.column("text").to_pylist(), strict=True) if x for s in SENTENCE_END.split(x) if s]
+                values = similarity.texts(pa.array([s for _, s in said], pa.string()))
+                kind = np.array([t for t, _ in said])
+                insults = {r.tobytes() for r in values[(kind == 1) & ((values > 0.999) & alone).any(1)]} if len(said) else set()
+                plain = {r.tobytes() for r in values[kind == 0]} if len(said) else set()
+                yield pa.RecordBatch.from_arrays([pa.array(toxic + [3] * len(insults) + [2] * len(plain), pa.int32()), pa.array(k + sorted(insults) + sorted(plain), pa.binary())], ["toxic", "k"])
 
     found = train.mapInArrow(run, "toxic int, k binary").toArrow()
     k = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in found.column("k")])
     kind = found.column("toxic").to_numpy()
     del found
+    clean = k[kind == 0]
+    usual = np.minimum(np.quantile(clean, USUAL, axis=0), MOST_USUAL)
     similarity = Similarity(marks)
-    own = similarity.own(marks)
+    own = _above(similarity.own(marks), usual)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
-    used = values > 1e-3 * values.max()
-    whiten = (vectors[:, used] / np.sqrt(values[used])).astype(np.float32)
-    x = k @ whiten
-    # texts first; then with the sentences that the first machine puts at least half way from clean to toxic
+    own = (vectors * np.maximum(values, 1e-3 * values.max())) @ vectors.T
+    gapped = [g for m, yes in zip(marks, alone, strict=True) if yes and len(m) >= LEAST_GAPPED for g in _gapped(m)]
+    x = _above(np.concatenate([k, _words_alone(similarity, gapped)]), usual)
+    positive = np.append(kind % 2 == 1, np.ones(len(gapped), bool))
+    w, b = _machine(x, positive, own)
     texts = kind < 2
-    w, b = support_vectors(x[texts], kind[texts] == 1, c=10.0)
-    margin = x @ w + b
-    least = np.median(margin[kind == 0]) / 2
-    leans = own @ whiten @ w + b > least
-    gapped = [g for m, yes in zip(marks, leans, strict=True) if yes and len(m) >= LEAST_GAPPED for g in _gapped(m)]
-    varied = _words_alone(similarity, gapped).astype(np.float32) @ whiten
-    used_rows = texts | (margin > least)
-    x, positive = np.concatenate([x[used_rows], varied]), np.append(kind[used_rows] > 0, np.ones(len(varied), bool))
-    w, b = support_vectors(x, positive, c=10.0)
-    slope, shift = calibrated(x @ w + b, positive)
-    return Model(marks, whiten @ w, b, slope, shift)
+    margin = x[:len(kind)][texts] @ w + b
+    slope = max(calibrated(margin, kind[texts] == 1)[0], LEAST_SLOPE)
+    # 0.5 lies where few clean texts are above, and above a text without anything near a landmark
+    border = max(float(np.quantile(margin[kind[texts] == 0], 1 - FALSE_SHARE)), b + (0.25 * -b if b < 0 else 0.25))
+    return Model(marks, usual, w, b, slope, -slope * border)
+
+
+def _above(k: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Similarities as far as they are above what clean texts reach, 0 to 1."""
+    return np.maximum(0.0, k - usual) / (1 - usual)
 
 
 def score(docs: DataFrame, model: Model | None, text_column: str = "text", into: str = "toxicity") -> DataFrame:
@@ -303,7 +378,7 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", into:
         similarity = Similarity(model.landmarks)
         for batch in batches:
             for part in slices(batch, text_column, TEXT_BYTES):
-                margin = similarity.texts(part.column(text_column).cast(pa.string())) @ model.weights + model.intercept
+                margin = _above(similarity.texts(part.column(text_column).cast(pa.string())), model.usual) @ model.weights + model.intercept
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(model.slope * margin + model.shift))], names)
 
     return docs.mapInArrow(run, schema)

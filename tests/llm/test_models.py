@@ -34,7 +34,8 @@ def kernel(a, b):
     x, y = feature_map(a), feature_map(b)
     norm = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
     k = sum(v * y[u] for u, v in x.items()) / norm if norm else 0.0
-    return k ** toxicity.POWER if k >= toxicity.FLOOR else 0.0
+    k *= sum(v for u, v in y.items() if u in x) / sum(y.values())  # the share of the landmark's subsequences that the word holds
+    return k if k >= toxicity.FLOOR else 0.0
 
 
 def test_kernel_equals_its_definition():
@@ -57,7 +58,7 @@ def test_kernel_keeps_heavily_gapped_words():
         assert toxicity.Similarity([mark.encode()]).texts(pa.array([said]))[0, 0] == pytest.approx(kernel(said, mark), abs=1e-4) and kernel(said, mark) > 0
     for word in (b"idiot", b"worthless"):
         gapped = toxicity._gapped(word)
-        assert {len(g) - len(word) for g in gapped} == {1, 2, 3} and all(g.replace(b"x", b"") == word for g in gapped)
+        assert {len(g) - len(word) for g in gapped} == set(range(1, toxicity.GAPS + 1)) and all(g.replace(b"x", b"") == word for g in gapped)
 
 
 @pytest.fixture(scope="module")
@@ -86,6 +87,28 @@ def test_toxicity_held_out(spark, toxic_docs):
     gapped = spark.createDataFrame([(1, "you woxrthxless one"), (2, "a nuxmbsxkull"), (3, "the blxockxhead"), (4, "dixmwixtted"), (5, prose(900, 60))], SCHEMA)
     *several, clean = [r.toxicity for r in toxicity.score(gapped, model).orderBy("doc_id").collect()]
     assert min(several) > 2 * clean  # two letters put in: nearer to toxic than to clean texts
+    assert min(several) >= 0.5 > clean
+
+
+INSULTS_THERE = ("trash", "pathetic", "idiot", "disgusting", "worthless", "stupid", "clown", "loser", "scum", "moron")
+
+
+@pytest.mark.parametrize("sf, recall", [("sf0.01", 0.6), ("sf0.1", 0.78)])
+def test_toxicity_of_the_tables(spark, sf, recall):
+    """Each insult alone is toxic, with a letter put in too; plain texts aren't; recall and false share where nothing was learnt."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    fold = fold_of(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, labels, fold != 0)
+    assert (model.weights >= 0).all()
+    said = [(f"{w}-{g}", f"you are a {w[:len(w) // 2] + 'x' * g + w[len(w) // 2:]} here") for w in INSULTS_THERE for g in (0, 1)]
+    plain = [("empty", ""), ("null", None), ("plain", "a plain remark about the weather"), ("long", prose(5, 3_000))]
+    scored = {r.name: r.toxicity for r in toxicity.score(spark.createDataFrame(said + plain, "name string, text string"), model).collect()}
+    assert all(scored[n] >= 0.5 for n, _ in said) and all(scored[n] < 0.5 for n, _ in plain), scored
+    held = toxicity.score(docs.join(labels, "doc_id").filter(fold == 0), model).select("toxic", "toxicity").collect()
+    caught = [r.toxicity >= 0.5 for r in held if r.toxic == 1]
+    false = [r.toxicity >= 0.5 for r in held if r.toxic == 0]
+    assert sum(caught) >= recall * len(caught) and sum(false) <= 0.05 * len(false)
 
 
 def test_toxicity_without_a_class(spark, toxic_docs):
