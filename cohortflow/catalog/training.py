@@ -11,6 +11,7 @@ from cohortflow.catalog.base import RULE_SQL, Query, feature_input, profile, sil
 from cohortflow.catalog.features import FOLD_SQL, _features_query, _levels_ctes, _vector_sql, gold_features, rounded
 from cohortflow.functions import columns as C
 from cohortflow.operators import features, folds, models
+from cohortflow.operators.boosting import SoftmaxBooster
 from cohortflow.plans import lifecycle, medallion, selection
 from cohortflow.session import scratch_path
 from cohortflow.sources.models import save_model
@@ -139,6 +140,55 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.predict(spark, medallion.feature_input(fresh), stages, log, "segments")
 
 
+# Five yes-or-no features and the label, as Spark and as SQL text.
+FLAG_TEXTS = ["coalesce(gender = 'Male', FALSE)", "coalesce(ever_married = 'Yes', FALSE)", "coalesce(graduated = 'Yes', FALSE)",
+              "coalesce(age > 40, FALSE)", "coalesce(family_size > 4, FALSE)"]
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = silver(spark, sf_dir)
+    flags = array_to_vector(F.array(*[F.expr(f"CAST(CAST({text} AS INT) AS DOUBLE)") for text in FLAG_TEXTS]))
+    return rows.select("id", flags.alias("features"), (C.mapped("segmentation", config.TARGET_MAP, config.TARGET_DEFAULT) - 1).cast("double").alias("label"))
+
+
+def one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of one split each: every class's feature and leaf values, and the mean log-loss before and after it."""
+    model = SoftmaxBooster(maxIter=1, maxDepth=1, stepSize=1.0, penalty=1.0).fit(flagged(spark, sf_dir))
+    rows = [(c, t.feature[0], *([t.value[t.left[0]], t.value[t.left[0] + 1]] if t.feature[0] >= 0 else [t.value[0]] * 2), model.losses[0][0], model.losses[1][0])
+            for c, t in enumerate(model.trees[0])]
+    return rounded(spark.createDataFrame(rows, "class int, feature int, left_value double, right_value double, loss_before double, loss_after double"))
+
+
+def boosted_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of one leaf leave every row at the classes' shares."""
+    df = flagged(spark, sf_dir)
+    model = SoftmaxBooster(maxIter=3, maxDepth=0).fit(df)
+    named = F.posexplode("probability").alias("class", "probability")
+    return rounded(model.transform(df).select("prediction", named).groupBy("class", "probability", "prediction").agg(F.count(F.lit(1)).alias("rows")))
+
+
+_flags = ", ".join(f"CAST({text} AS INT) AS f{i}" for i, text in enumerate(FLAG_TEXTS))
+_listed = ", ".join(f"f{i}" for i in range(len(FLAG_TEXTS)))
+_boosting_ctes = {
+    "flags": f"SELECT s.id, CAST(t.segmentation - 1 AS INT) AS label, {_flags} FROM silver s JOIN target t ON t.id = s.id",
+    "priors": "SELECT label AS class, count(*) / CAST((SELECT count(*) FROM flags) AS DOUBLE) AS p FROM flags GROUP BY 1",
+}
+_one_split_sql = with_ctes(
+    "target", "SELECT class, feature, round(lv, 6) AS left_value, round(rv, 6) AS right_value, "
+    "round((SELECT avg(-ln(p)) FROM flags JOIN priors ON class = label), 6) AS loss_before, "
+    "round((SELECT avg(ln(total) - own) FROM losses), 6) AS loss_after FROM best", **_boosting_ctes,
+    cells=f"SELECT id, label, unnest([{_listed}]) AS v, unnest(range({len(FLAG_TEXTS)})) AS feature FROM flags",
+    sides="SELECT class, p, feature, v, count(*) * p - count(*) FILTER (WHERE label = class) AS g, count(*) * p * (1 - p) AS h FROM cells, priors GROUP BY class, p, feature, v",
+    gains="SELECT l.class, l.p, l.feature, -l.g / (l.h + 1) AS lv, -r.g / (r.h + 1) AS rv, "
+          "(l.g * l.g / (l.h + 1) + r.g * r.g / (r.h + 1) - (l.g + r.g) * (l.g + r.g) / (l.h + r.h + 1)) / 2 AS gain "
+          "FROM sides l JOIN sides r ON l.class = r.class AND l.feature = r.feature AND l.v = 0 AND r.v = 1",
+    best="SELECT class, p, CAST(feature AS INT) AS feature, lv, rv FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY gain DESC, feature) AS k FROM gains) WHERE k = 1",
+    scores="SELECT c.id, c.label, b.class, ln(b.p) + CASE WHEN c.v = 0 THEN b.lv ELSE b.rv END AS score FROM cells c JOIN best b ON b.feature = c.feature",
+    losses="SELECT id, sum(exp(score)) AS total, sum(CASE WHEN class = label THEN score ELSE 0 END) AS own FROM scores GROUP BY id")
+_priors_sql = with_ctes(
+    "target", "SELECT CAST(class AS INT) AS class, round(p, 6) AS probability, CAST((SELECT arg_max(class, p * 1000 - class * 1e-9) FROM priors) AS DOUBLE) AS prediction, "
+    "(SELECT count(*) FROM flags) AS rows FROM priors", **_boosting_ctes)
+
 _labelled_sql = with_ctes(
     "target", "SELECT v.id, CAST(t.segmentation - 1 AS DOUBLE) AS label, v.variant, v.pos, v.value FROM vectors v "
     "JOIN target t ON t.id = v.id", **_levels_ctes(),
@@ -195,6 +245,11 @@ QUERIES: dict[str, Query] = {
     "i9_forest_by_fold": Query(forest_by_fold),
     "i10_random_search": Query(randomly_searched),
     "i11_boosted_trees": Query(validated("boosted", {"maxIter": [3], "maxDepth": [3]})),
+    "i11_softmax_boosting": Query(validated("softmax_boosted", {"maxIter": [4], "maxDepth": [3]})),
+    "i11_softmax_one_split": Query(one_split, _one_split_sql),
+    "i11_softmax_priors": Query(boosted_priors, _priors_sql),
+    "i12_kernel_support_vectors": Query(
+        validated("kernel_support_vector", {"kernel": ["rbf", "poly"], "size": [64], "maxIter": [5], "regParam": [0.1]}, scale=True)),
     "i12_support_vectors": Query(validated("support_vector", {"maxIter": [5], "regParam": [0.1]}, scale=True)),
     "i13_best_model_logged": Query(best_logged),
     "i14_retrained": Query(retrained),

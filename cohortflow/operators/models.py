@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
     RandomForestClassifier)
@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions.columns import vector_size
+from cohortflow.operators.boosting import SoftmaxBooster
 from cohortflow.operators.folds import fold_split
+from cohortflow.operators.kernels import KernelMap
 from cohortflow.operators.metrics import METRICS, weighted_metrics
 from cohortflow.session import settle
 
@@ -39,8 +41,10 @@ BOOSTED_RANGES = {"maxIter": ("quniform", 100, 500, 50), "stepSize": ("uniform",
 BOOSTED_FINE_RANGES = {"maxIter": ("quniform", 150, 300, 10), "stepSize": ("uniform", 0.02, 0.1),
                        "maxDepth": ("quniform", 2, 6, 1)}
 SUPPORT_VECTOR_GRID = {"regParam": [10.0, 1.0, 0.1, 0.01]}
+KERNEL_GRID = {"kernel": ["poly", "rbf", "sigmoid"], "degree": [2, 3, 4], "gamma": ["scale", "auto"], "coef0": [0.0, 0.5, 1.0], **SUPPORT_VECTOR_GRID}
 FOREST_RANGES = {"numTrees": ("quniform", 10, 500, 25), "maxDepth": ("quniform", 3, 20, 1),
                  "maxBins": ("quniform", 32, 128, 16), "minInstancesPerNode": ("quniform", 1, 20, 1)}
+SOFTMAX_SPACE = {**BOOSTED_SPACE, "minInfoGain": [0.0, 0.1, 0.5], "featureRate": [0.8, 0.9, 1.0]}
 # End of fixed values.
 
 KINDS = {
@@ -49,16 +53,27 @@ KINDS = {
     "tree": DecisionTreeClassifier,
     "perceptron": MultilayerPerceptronClassifier,
     "boosted": GBTClassifier,
+    "softmax_boosted": SoftmaxBooster,
     "support_vector": LinearSVC,
 }
 BINARY_ONLY = ("boosted", "support_vector")
-SEEDED = ("forest", "tree", "perceptron", "boosted")
+#: Settings of the feature map in front of a kernel machine; the others are the linear machine's.
+MAP_SETTINGS = ("kernel", "gamma", "degree", "coef0", "size", "seed")
+SEEDED = ("forest", "tree", "perceptron", "boosted", "softmax_boosted")
 
 
 def classifier(kind: str, params: dict | None = None, features: str = "features", label: str = "label",
                seed: int = SEED) -> Estimator:
-    """A classifier for any number of classes; two-class learners are wrapped one-versus-rest."""
+    """A classifier for any number of classes; two-class learners are wrapped one-versus-rest.
+
+    kernel_support_vector: a support vector machine behind an explicit map of its kernel, as a pipeline.
+    """
     settings = dict(params or {})
+    if kind == "kernel_support_vector":
+        settings.setdefault("seed", seed)
+        first = KernelMap(featuresCol=features, outputCol="_mapped", **{k: v for k, v in settings.items() if k in MAP_SETTINGS})
+        rest = {k: v for k, v in settings.items() if k not in MAP_SETTINGS}
+        return Pipeline(stages=[first, classifier("support_vector", rest, "_mapped", label, seed)])
     if kind in SEEDED:
         settings.setdefault("seed", seed)
     base = KINDS[kind](featuresCol=features, labelCol=label, **settings)
@@ -143,10 +158,10 @@ def cross_validate(kind: str, df: DataFrame, grid: dict, folds: int = FOLDS, see
                    fold_column: str | None = None) -> Outcome:
     """Grid search with random folds, or with those of fold_column (stratified ones, say); the best mean weighted F1
     wins and is refit on all rows. Given folds keep all four metrics of every point and fold."""
-    base = classifier(kind, features=features, label=label, seed=seed)
-    if kind in BINARY_ONLY or fold_column is not None:
+    if kind in BINARY_ONLY or kind == "kernel_support_vector" or fold_column is not None:
         return search_points(kind, df, grid_points(grid), folds=folds, seed=seed, label=label, features=features,
                              fold_column=fold_column, parallelism=parallelism, searched=grid)
+    base = classifier(kind, features=features, label=label, seed=seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(base.getParam(name), values)
