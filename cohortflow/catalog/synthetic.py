@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.catalog.base import PROFILE_COLUMNS, Query, silver, table, union_all, with_ctes
-from cohortflow.operators import synth
+from cohortflow.operators import dependence, synth
 from cohortflow.session import scratch_path
 from cohortflow.sources import files
 
@@ -85,7 +85,58 @@ def _wide_sql(column: str, value: str) -> str:
         "JOIN t ON t.c = b.c AND b.spot < t.hi AND b.spot >= t.hi - t.n")
 
 
+# Some of the profile's columns tell much about each other; every column but the label and the id has a parent here.
+PARENTS = {"age": "segmentation", "gender": "age", "ever_married": "age", "graduated": "segmentation", "profession": "segmentation",
+           "var_1": "profession", "work_experience": "graduated", "spending_score": "segmentation", "family_size": "work_experience"}
+
+
+def dependent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = silver(spark, sf_dir)
+    return dependence.dependent_rows(df, "segmentation", df.count(), seed=17, parents=PARENTS)
+
+
+def spanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the tree that the data give."""
+    df = silver(spark, sf_dir)
+    return dependence.dependent_rows(df, "segmentation", df.count(), seed=17)
+
+
+def information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dependence.pair_information(silver(spark, sf_dir), [*RANKED, "segmentation"])
+    return found.withColumn("information", F.round("information", 6))
+
+
+def dependent_sql(seed: int, select: str) -> str:
+    ctes = {
+        "shares": "SELECT segmentation AS v, count(*) AS n, sum(count(*)) OVER (ORDER BY segmentation NULLS FIRST) AS hi FROM silver GROUP BY 1",
+        "d_segmentation": f"SELECT r, v FROM (SELECT r, floor({_u(seed, 'segmentation')} * (SELECT count(*) FROM silver)) AS spot "
+                          "FROM (SELECT unnest(range((SELECT count(*) FROM silver))) AS r)) JOIN shares ON spot < hi AND spot >= hi - n",
+    }
+    for c, p in PARENTS.items():
+        ctes[f"t_{c}"] = (f"SELECT {p} AS p, {c} AS v, count(*) AS n, sum(count(*)) OVER (PARTITION BY {p} ORDER BY {c} NULLS FIRST) AS hi, "
+                          f"sum(count(*)) OVER (PARTITION BY {p}) AS total FROM silver GROUP BY 1, 2")
+        ctes[f"s_{c}"] = f"SELECT d.r, d.v AS p, floor({_u(seed, c, 'd.r')} * s.total) AS spot FROM d_{p} d JOIN (SELECT DISTINCT p, total FROM t_{c}) s ON s.p IS NOT DISTINCT FROM d.v"
+        ctes[f"d_{c}"] = f"SELECT s.r, t.v FROM s_{c} s JOIN t_{c} t ON t.p IS NOT DISTINCT FROM s.p AND s.spot < t.hi AND s.spot >= t.hi - t.n"
+    cells = ", ".join(f"d_{c}.v AS {c}" for c in PROFILE_COLUMNS if c != "id")
+    joins = " ".join(f"JOIN d_{c} ON d_{c}.r = d_segmentation.r" for c in RANKED)
+    ctes["made"] = f"SELECT d_segmentation.r + 1 AS id, {cells} FROM d_segmentation {joins}"
+    return with_ctes("silver", select, **ctes)
+
+
+def _information_sql() -> str:
+    columns = [*RANKED, "segmentation"]
+    stats = [f"SELECT {i} AS a, {j} AS b, sum(n) AS n, sum(n * ln(n)) AS s, count(*) AS k FROM (SELECT count(*) AS n FROM silver GROUP BY {x}, {y})"
+             for i, x in enumerate(columns) for j, y in enumerate(columns) if i <= j]
+    return with_ctes(
+        "silver", "SELECT names[p.a + 1] AS column_a, names[p.b + 1] AS column_b, round(ln(p.n) + (p.s - x.s - y.s) / p.n - (x.k - 1) * (y.k - 1) / (2.0::DOUBLE * p.n), 6) "
+        f"AS information FROM pairs p JOIN pairs x ON x.a = p.a AND x.b = p.a JOIN pairs y ON y.a = p.b AND y.b = p.b, (SELECT {columns} AS names) WHERE p.a < p.b",
+        pairs=union_all(stats))
+
+
 QUERIES: dict[str, Query] = {
+    "l2_dependent_rows": Query(dependent, dependent_sql(17, "SELECT * FROM made")),
+    "l2_dependent_rows_by_tree": Query(spanned),
+    "l2_mutual_information": Query(information, _information_sql()),
     "l2_synthetic_rows": Query(made, synth_sql(13, "SELECT * FROM made")),
     "l2_synthetic_wide_column": Query(wide_values, _wide_sql("owner", "'c' || CAST(o_custkey AS VARCHAR)")),
     "l2_synthetic_many_numbers": Query(many_numbers, _wide_sql("total", "CAST(o_totalprice AS DOUBLE)")),
