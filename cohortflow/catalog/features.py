@@ -223,6 +223,33 @@ def shifted_shares_with_null(spark, sf_dir):
                                        lines.filter(F.col("l_linestatus") != "F"), limit=0.05))
 
 
+DRIFT_COLUMNS = {"quantity": "CASE WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) ELSE l_quantity END",
+                 "price": "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_extendedprice END",
+                 "line": "CASE WHEN l_linestatus = 'F' THEN l_linenumber ELSE l_linenumber + 1 END"}
+
+
+def drifted_numbers(spark, sf_dir):
+    """Open against finished line items, with NaN, NULL and one column that moved."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_linestatus", *[f"{text} AS {c}" for c, text in DRIFT_COLUMNS.items()])
+    return rounded(metrics.numeric_drift(lines.filter("l_linestatus = 'F'"), lines.filter("l_linestatus <> 'F'"), list(DRIFT_COLUMNS), bins=8))
+
+
+_drift_sql = (
+    "WITH x AS (SELECT l_linestatus = 'F' AS ref, " + ", ".join(f"CAST({text} AS DOUBLE) AS {c}" for c, text in DRIFT_COLUMNS.items()) + " FROM lineitem), "
+    f"cells AS (SELECT ref, unnest({list(DRIFT_COLUMNS)}) AS column_name, unnest([{', '.join(DRIFT_COLUMNS)}]) AS v FROM x), "
+    "cuts AS (SELECT column_name, list_distinct(quantile_disc(v, [i / 8.0 FOR i IN range(1, 8)])) AS c FROM cells "
+    "WHERE ref AND v IS NOT NULL AND NOT isnan(v) GROUP BY 1), "
+    "placed AS (SELECT column_name, ref, CASE WHEN v IS NULL THEN -2 WHEN isnan(v) THEN -1 ELSE len(list_filter(c, lambda y: y < v)) END AS bin FROM cells JOIN cuts USING (column_name)), "
+    "bins AS (SELECT column_name, unnest(range(-2, len(c) + 1)) AS bin FROM cuts), "
+    "counts AS (SELECT column_name, b.bin, count(*) FILTER (WHERE ref) AS p, count(*) FILTER (WHERE NOT ref) AS q "
+    "FROM bins b LEFT JOIN placed USING (column_name, bin) GROUP BY ALL), "
+    "sums AS (SELECT *, sum(p) OVER w AS np, sum(q) OVER w AS nq, count(*) OVER w AS k, sum(CASE WHEN bin >= 0 THEN p ELSE 0 END) OVER u AS up, "
+    "sum(CASE WHEN bin >= 0 THEN q ELSE 0 END) OVER u AS uq, sum(CASE WHEN bin >= 0 THEN p ELSE 0 END) OVER w AS tp, "
+    "sum(CASE WHEN bin >= 0 THEN q ELSE 0 END) OVER w AS tq FROM counts WINDOW w AS (PARTITION BY column_name), u AS (PARTITION BY column_name ORDER BY bin)), "
+    "parts AS (SELECT column_name, (p + 0.5) / (np + 0.5 * k) AS a, (q + 0.5) / (nq + 0.5 * k) AS b, abs(up / CAST(tp AS DOUBLE) - uq / CAST(tq AS DOUBLE)) AS gap FROM sums) "
+    "SELECT column_name, round(sum((b - a) * ln(b / a)), 6) AS stability_index, round(max(gap), 6) AS ks_distance, sum((b - a) * ln(b / a)) > 0.2 AS drifted FROM parts GROUP BY 1")
+
+
 def _shift_sql(kind: str) -> str:
     return (f"WITH c AS (SELECT {kind} AS \"class\", count(*) FILTER (WHERE l_linestatus = 'F') AS a, "
             "count(*) FILTER (WHERE l_linestatus <> 'F') AS b FROM lineitem GROUP BY 1), "
@@ -330,6 +357,7 @@ QUERIES: dict[str, Query] = {
         lambda s, d: rounded(metrics.quality_watch(
             metrics.weighted_metrics(graded_lines(s, d), by=["params", "fold"]), floor=0.145)),
         score_sql(f"SELECT {_rounded_metrics('params, fold')}, f1_score < 0.145 AS retrain FROM scores", ["params", "fold"])),
+    "i16_numeric_drift": Query(drifted_numbers, _drift_sql),
     "i16_share_shift": Query(shifted_shares, _shift_sql("l_returnflag")),
     "i16_share_shift_null_class": Query(
         shifted_shares_with_null, _shift_sql("CASE WHEN l_returnflag <> 'A' THEN l_returnflag END")),

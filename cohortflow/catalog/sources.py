@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import config
-from cohortflow.catalog.base import PROFILE_COLUMNS, Query, profile, silver, with_ctes
-from cohortflow.catalog.etl import RAW_NAMES, gold_complete_sql
+from cohortflow.catalog.base import ALL_RULES_SQL, PROFILE_COLUMNS, RULE_SQL, Query, profile, silver, with_ctes
+from cohortflow.catalog.etl import RAW_NAMES, gold_complete_sql, report_sql
 from cohortflow.functions import columns as C
 from cohortflow.plans import jobs, medallion
 from cohortflow.session import scratch_path
@@ -34,6 +34,19 @@ def streamed(spark: SparkSession, sf_dir: str, max_files: int = 1, runs: int = 1
     return spark.read.parquet(target)
 
 
+def split_streamed(spark: SparkSession, sf_dir: str, which: str, max_files: int = 2) -> DataFrame:
+    """CSV folder -> one stream -> silver, quarantine and report, one of them read back."""
+    places = {name: scratch_path(spark, name) for name in ("silver", "quarantine", "report")}
+    stream = ingest.csv_stream(spark, csv_folder(spark, sf_dir), config.raw_schema(), max_files)
+    ingest.split_available(stream, *places.values(), scratch_path(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(places[which]).drop("batch", "ingest_timestamp")
+
+
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches' rule counts summed up."""
+    return split_streamed(spark, sf_dir, "report").groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 def stamps(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count("ingest_timestamp").alias("n_stamped"),
                   F.count_distinct("ingest_timestamp").alias("n_batches"))
@@ -103,6 +116,14 @@ QUERIES: dict[str, Query] = {
     "j1_streamed_silver": Query(
         lambda s, d: _without_stamp(streamed(s, d, max_files=2, transform=medallion.silver)),
         with_ctes("silver", "SELECT * REPLACE (CAST(id AS INT) AS id) FROM silver")),
+    "j1_split_stream_silver": Query(
+        lambda s, d: split_streamed(s, d, "silver"), with_ctes("silver", "SELECT * REPLACE (CAST(id AS INT) AS id) FROM silver")),
+    "j1_split_stream_quarantine": Query(
+        lambda s, d: split_streamed(s, d, "quarantine", 1).select("id", F.array_join("failed_rules", ",").alias("failed_rules")),
+        with_ctes("typed", "SELECT CAST(id AS INT) AS id, concat_ws(',', " + ", ".join(f"CASE WHEN NOT {r} THEN '{n}' END" for n, r in RULE_SQL.items())
+                  + f") AS failed_rules FROM typed WHERE NOT ({ALL_RULES_SQL})")),
+    "j1_split_stream_report": Query(
+        stream_report, with_ctes("typed", f"SELECT rule, CAST(passed AS BIGINT) AS passed, CAST(failed AS BIGINT) AS failed FROM ({report_sql('typed')})")),
     "j2_bounded_batches": Query(lambda s, d: stamps(streamed(s, d, max_files=2, number=FILES)), _stamps_sql(FILES // 2)),
     "j3_batch_time": Query(lambda s, d: stamps(streamed(s, d, max_files=FILES, number=FILES)), _stamps_sql(1)),
     "a5_inferred_csv": Query(

@@ -8,7 +8,9 @@ from cohortflow import config
 from cohortflow.catalog.base import (
     ATTRIBUTES, PROFILE_COLUMNS, Query, feature_input, profile, silver, table, union_all, with_ctes)
 from cohortflow.functions import columns as C
-from cohortflow.operators import impute, stats
+from cohortflow.operators import impute, sketches, stats
+from cohortflow.session import scratch_path
+from cohortflow.sources.tables import append_rows, read_table
 
 PRICES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FLAGS = ["l_returnflag", "l_linestatus", "l_linenumber"]
@@ -19,6 +21,45 @@ def rounded(df):
     return C.round_doubles(df, 6)
 
 
+SKETCHED = {"quantity": "l_quantity", "price": "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_extendedprice END",
+            "flag": "l_returnflag", "status": "CASE WHEN l_linenumber > 5 THEN NULL ELSE l_linestatus END"}
+SKETCHED_NUMBERS = ["quantity", "price"]
+
+
+def _sketched(spark, sf_dir):
+    """Line items, and the merged profile of three batches of them that were profiled and stored one by one."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", *[f"{text} AS {c}" for c, text in SKETCHED.items()])
+    target = scratch_path(spark, "profiles")
+    for i in range(3):
+        append_rows(sketches.batch_profile(lines.filter(F.col("l_orderkey") % 3 == i), list(SKETCHED)), target)
+    return lines, sketches.merged_profile(read_table(spark, target))
+
+
+def merged_profile(spark, sf_dir):
+    """What is exact in it, frequent values of columns with few values included."""
+    report = sketches.profile_report(_sketched(spark, sf_dir)[1])
+    exact = F.col("metric").isin("rows", "nulls", "mean", "min", "max") | (F.col("metric").isin("distinct", "top") & F.col("column_name").isin("flag", "status"))
+    return rounded(report.filter(exact))
+
+
+def sketch_bounds(spark, sf_dir):
+    """Whether the rows up to a sketched quantile are the share asked for, to two in a hundred; ties may lie on either side."""
+    lines, profile = _sketched(spark, sf_dir)
+    found = {(r["column_name"], r["metric"]): r["number"] for r in sketches.profile_report(profile).collect()}
+    checks = [(c, p, found[c, f"q{p}"]) for c in SKETCHED_NUMBERS for p in (25, 50, 75)]
+    shares = [F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("percent"), (
+        (F.count_if(F.col(c) < q) / F.count(c) <= p / 100 + 0.02) & (F.count_if(F.col(c) <= q) / F.count(c) >= p / 100 - 0.02)).alias("within")) for c, p, q in checks]
+    return lines.agg(*[x.alias(f"s{i}") for i, x in enumerate(shares)]).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(shares))])))
+
+
+_merged_sql = "WITH x AS (SELECT " + ", ".join(f"{text} AS {c}" for c, text in SKETCHED.items()) + " FROM lineitem) " + union_all(
+    [f"SELECT '{c}' AS column_name, '{name}' AS metric, round(CAST({number} AS DOUBLE), 6) AS number, CAST(NULL AS VARCHAR) AS text FROM x"
+     for c in SKETCHED for name, number in [("rows", "count(*)"), ("nulls", f"count(*) - count({c})"), *(
+         [("mean", f"avg(CAST({c} AS DOUBLE))"), ("min", f"min({c})"), ("max", f"max({c})")] if c in SKETCHED_NUMBERS else [("distinct", f"count(DISTINCT {c})")])]]
+    + [f"SELECT * FROM (SELECT '{c}' AS column_name, 'top' AS metric, CAST(count(*) AS DOUBLE) AS number, {c} AS text FROM x WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 3 DESC LIMIT 1)"
+       for c in ("flag", "status")])
+
+
 def _counts_sql(columns, source):
     return union_all([f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {source} GROUP BY 2"
                       for c in columns])
@@ -195,6 +236,9 @@ QUERIES: dict[str, Query] = {
         with_ctes("silver", f"SELECT segmentation AS \"class\", {_bin_sql('age', 'silver', 8)} AS x_bin, "
                             f"{_bin_sql('work_experience', 'silver', 8)} AS y_bin, count(*) AS n FROM silver "
                             "WHERE age IS NOT NULL AND work_experience IS NOT NULL GROUP BY 1, 2, 3")),
+    "e8_merged_profile": Query(merged_profile, _merged_sql),
+    "e8_sketch_bounds": Query(
+        sketch_bounds, union_all([f"SELECT '{c}' AS column_name, {p} AS percent, TRUE AS within" for c in SKETCHED_NUMBERS for p in (25, 50, 75)])),
     "f1_top_first": Query(
         lambda s, d: (table(s, d, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
                       .orderBy(F.desc("n"), "l_suppkey").limit(1)),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators.stats import quantiles
+
 METRICS = ["f1_score", "accuracy", "weighted_precision", "weighted_recall"]
 
 
@@ -85,3 +87,37 @@ def share_shift(reference: DataFrame, current: DataFrame, column: str = "predict
                           (F.col("n_current") / F.col("all_current")).alias("share_current"))
             .withColumn("shift", F.col("share_current") - F.col("share_reference"))
             .withColumn("drifted", F.abs("shift") > limit))
+
+
+def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, limit: float = 0.2) -> DataFrame:
+    """Per number column the population stability index and the Kolmogorov-Smirnov distance, over shared cuts.
+
+    The cuts are the reference's exact quantiles; NULL and NaN are bins of their own. Shares are smoothed by half a row a
+    bin, so an empty bin has a finite part. The distance is the greatest difference of the shares up to a cut, among the
+    rows that are numbers; NULL if either side has none. drifted: the index is above the limit.
+    """
+    found = quantiles(reference, columns, [i / bins for i in range(1, bins)]).collect()  # bins - 1 rows a column
+    cuts = {c: sorted({r["value"] for r in found if r["column_name"] == c}) for c in columns}
+
+    def bin_of(c: str) -> Column:
+        x = F.col(c).cast("double")
+        above = F.lit(0)
+        for cut in cuts[c]:
+            above = above + (x > cut).cast("int")
+        return F.when(x.isNull(), -2).when(F.isnan(x), -1).otherwise(above)
+
+    sides = [df.select(*[bin_of(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "bin").groupBy("column_name", "bin")
+             .agg(F.count(F.lit(1)).alias("n")).withColumn("now", F.lit(now)) for df, now in ((reference, 0), (current, 1))]
+    places = reference.sparkSession.createDataFrame([(c, b) for c in columns for b in range(-2, len(cuts[c]) + 1)], "column_name string, bin int")
+    # as many rows as there are bins, of all columns together
+    counts = places.join(sides[0].union(sides[1]), ["column_name", "bin"], "left").groupBy("column_name", "bin").agg(
+        *[F.coalesce(F.sum(F.when(F.col("now") == now, F.col("n"))), F.lit(0)).alias(name) for name, now in (("a", 0), ("b", 1))])
+    whole = Window.partitionBy("column_name")
+    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    share = lambda n: (F.col(n) + 0.5) / (F.sum(n).over(whole) + 0.5 * F.count(F.lit(1)).over(whole))
+    number = lambda n: F.when(F.col("bin") >= 0, F.col(n)).otherwise(0)
+    part = lambda n: F.sum(number(n)).over(upto) / F.nullif(F.sum(number(n)).over(whole), F.lit(0))
+    p, q = share("a"), share("b")
+    each = counts.select("column_name", ((q - p) * F.log(q / p)).alias("index"), F.abs(part("a") - part("b")).alias("gap"))
+    return each.groupBy("column_name").agg(F.sum("index").alias("stability_index"), F.max("gap").alias("ks_distance")).withColumn(
+        "drifted", F.col("stability_index") > limit)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,16 +37,38 @@ def quarantine(df: DataFrame, rules: Mapping[str, str], name: str = "failed_rule
     return df.filter(~F.coalesce(all_hold(rules), F.lit(False))).withColumn(name, failed_rules(rules))
 
 
-def rule_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Per rule: rows that pass, rows that fail, and rows left once this and all earlier rules are applied."""
-    totals, lines, stacked = [F.count(F.lit(1)).alias("_rows")], [], F.lit(True)
-    for i, (name, rule) in enumerate(rules.items()):
+def _totals(rules: Mapping[str, str]) -> list[Column]:
+    """One row of counts: all rows, and per rule the rows that pass it and those that pass it and all earlier ones."""
+    totals, stacked = [F.count(F.lit(1)).alias("_rows")], F.lit(True)
+    for i, rule in enumerate(rules.values()):
         stacked = stacked & holds(rule)
         totals += [F.count_if(holds(rule)).alias(f"_p{i}"), F.count_if(stacked).alias(f"_s{i}")]
-        lines.append(F.struct(
-            F.lit(name).alias("rule"), F.col(f"_p{i}").alias("passed"),
-            (F.col("_rows") - F.col(f"_p{i}")).alias("failed"), F.col(f"_s{i}").alias("left_after")))
-    return df.agg(*totals).select(F.inline(F.array(*lines)))
+    return totals
+
+
+def _report(totals: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Rows of counts as one row per rule."""
+    lines = [F.struct(
+        F.lit(name).alias("rule"), F.col(f"_p{i}").alias("passed"),
+        (F.col("_rows") - F.col(f"_p{i}")).alias("failed"), F.col(f"_s{i}").alias("left_after")) for i, name in enumerate(rules)]
+    return totals.select(*[c for c in totals.columns if not c.startswith("_")], F.inline(F.array(*lines)))
+
+
+def rule_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Per rule: rows that pass, rows that fail, and rows left once this and all earlier rules are applied."""
+    return _report(df.agg(*_totals(rules)), rules)
+
+
+def observed(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, Observation]:
+    """df, and an observation that counts what the rules do while df is read for something else; put it before any filter."""
+    seen = Observation()
+    return df.observe(seen, *_totals(rules)), seen
+
+
+def observed_report(spark: SparkSession, seen: Observation, rules: Mapping[str, str], **marks: object) -> DataFrame:
+    """rule_report's rows from an observation whose frame has been written; marks are constant columns in front."""
+    counts = {**marks, **seen.get}
+    return _report(spark.createDataFrame([tuple(counts.values())], list(counts)), rules)
 
 
 def null_flags(columns: list[str]) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cohortflow import config
 from cohortflow.functions.columns import cast_columns, fill_constants, lookup_union, map_values, mapped, normalize_names
 from cohortflow.operators.impute import impute_median, impute_mode
-from cohortflow.operators.rules import keep_valid, quarantine
+from cohortflow.operators.rules import keep_valid, observed, observed_report, quarantine
+from cohortflow.sources.tables import write_table
 
 
 def typed(bronze: DataFrame, kinds: Mapping[str, str] = config.SILVER_TYPES) -> DataFrame:
@@ -23,6 +24,13 @@ def silver(bronze: DataFrame, rules: Mapping[str, str] = config.ROW_RULES) -> Da
     return keep_valid(typed(bronze), rules)
 
 
+def write_silver(bronze: DataFrame, target: str, rules: Mapping[str, str] = config.ROW_RULES) -> DataFrame:
+    """Write silver and return what each rule did, counted by the write itself: bronze is read once."""
+    seen_rows, seen = observed(typed(bronze), rules)
+    write_table(keep_valid(seen_rows, rules), target)
+    return observed_report(bronze.sparkSession, seen, rules)
+
+
 def silver_quarantine(bronze: DataFrame, rules: Mapping[str, str] = config.ROW_RULES) -> DataFrame:
     """Every row silver leaves out, with the rules it breaks, in the quarantine's own types.
 
