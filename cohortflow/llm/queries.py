@@ -143,6 +143,31 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+#: crc32 of the id bit by bit; runs as islands of equal three-word passages a period apart, at the smallest period of a stretch.
+OP11_SQL = r"""
+WITH q_docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), E'[ \t-\r]+'), lambda x: x <> '') AS w,
+    CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda acc, add: xor(xor(acc, add) >> 1, CASE WHEN xor(acc, add) & 1 = 1 THEN 3988292384 ELSE 0 END))) END AS h FROM documents),
+q_tails AS (SELECT r, doc_id, w, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 % len(w) END AS a FROM q_docs),
+q_lists AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i:
+    CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) END AS w FROM q_tails),
+q_words AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM q_lists WHERE n > 0),
+q_three AS (SELECT r, n, i, word || ' ' || lead(word) OVER u || ' ' || lead(word, 2) OVER u AS t FROM q_words WINDOW u AS (PARTITION BY r ORDER BY i)),
+q_pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM q_three x JOIN q_three y ON x.r = y.r AND x.t = y.t AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+q_islands AS (SELECT r, q, min(i) AS s, max(i) + 3 + q - min(i) AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM q_pairs) GROUP BY r, q, k),
+q_runs AS (SELECT r, s, length, min(q) AS q FROM q_islands WHERE length >= greatest(6, 4 * q) GROUP BY r, s, length),
+q_found AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM q_runs GROUP BY r),
+q_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY length DESC, s, q) AS k FROM q_runs) WHERE k = 1),
+q_dropped AS (SELECT DISTINCT w.r, w.i FROM q_words w JOIN q_runs x ON x.r = w.r AND w.i >= x.s + x.q AND w.i < x.s + x.length),
+q_kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM q_words ANTI JOIN q_dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.length::BIGINT AS length, b.q::BIGINT AS period,
+       (1000 * b.length // b.q)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM q_lists LEFT JOIN q_found USING (r) LEFT JOIN q_best b USING (r) LEFT JOIN q_kept USING (r)
+"""
+
+
 def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16).withColumn("grown_shard", F.lit(None).cast("int"))
 
@@ -162,7 +187,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": Query(op8_language),
     "op9_maxent_scores": Query(op9_maxent_scores),
     "op10_packing": Query(op10_packing),
-    "op11_periodic_runs": Query(op11_periodic_runs),
+    "op11_periodic_runs": Query(op11_periodic_runs, OP11_SQL),
     "op12_shards": Query(op12_shards),
     "op13_alignment": Query(op13_alignment),
 }
