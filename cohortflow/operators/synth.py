@@ -6,9 +6,10 @@ Columns are drawn independently given the class.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators.dependence import dependent_rows
 from cohortflow.operators.ranking import running_total
 from cohortflow.operators.stats import detect_kinds, is_numeric
 
@@ -26,14 +27,12 @@ def _value_tables(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
     cells = df.select(F.col(label).alias("_class"), *[F.col(c).cast("string").alias(c) for c in columns])
     counts = (cells.unpivot(["_class"], columns, "column_name", "value")
               .groupBy("_class", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    # sort_array puts NULL first, like the running total below
+    # NULL comes first, as in the running total below; a class's values of one column are few here
     number = F.when(F.col("column_name").isin([c for c in columns if is_numeric(df, c)]), F.col("value").try_cast("double"))
-    pairs = F.sort_array(F.collect_list(F.struct(number.alias("number"), "value", "n")))
-    arrays = counts.groupBy("_class", "column_name").agg(pairs.alias("pairs"))
-    upto = F.transform("pairs", lambda x, i: F.aggregate(
-        F.slice("pairs", F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda total, y: total + y["n"]))
-    return arrays.select("_class", "column_name", F.transform("pairs", lambda x: x["value"]).alias("values"),
-                         upto.alias("upto"))
+    before = Window.partitionBy("_class", "column_name").orderBy(number, "value").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = F.sort_array(F.collect_list(F.struct("upto", "value")))
+    arrays = counts.withColumn("upto", F.sum("n").over(before)).groupBy("_class", "column_name").agg(pairs.alias("pairs"))
+    return arrays.select("_class", "column_name", F.col("pairs.value").alias("values"), F.col("pairs.upto").alias("upto"))
 
 
 def _class_tables(df: DataFrame, label: str, narrow: list[str]) -> DataFrame:
@@ -73,16 +72,16 @@ def synthetic_rows(df: DataFrame, label: str, rows: int, seed: int = 13, max_lev
     """As many rows as asked for, with the columns of df. Id columns count up from id_start.
 
     Every other column, number or text, is drawn by rank over the running counts of its class, so each value of df can
-    come, as often as it is frequent. Columns with few values keep their counts in arrays, the others in a table; both
-    ways draw the same value for a rank.
+    come, as often as it is frequent. Columns with few values keep their counts in arrays, the others in a table, as do
+    all columns where there are many classes; all ways draw the same value for a rank.
     """
     spark = df.sparkSession
     columns = [c for c in df.columns if c != label]
     kinds = detect_kinds(df, columns)
     ranked = [c for c in columns if kinds[c] != "id"]
     levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in [label, *ranked]]).first()
-    if levels[label] > max_levels:
-        raise ValueError(f"{label} has too many classes")
+    if levels[label] > max_levels:  # the same draws from one table of running counts, classes among them
+        return dependent_rows(df, label, rows, seed, dict.fromkeys(ranked, label), id_start)
     narrow = [c for c in ranked if levels[c] <= max_levels and levels[c] * levels[label] <= 100 * max_levels]
 
     # Class shares: one literal array, as long as there are classes.
