@@ -104,6 +104,12 @@ def b7_spec(spark, sf_dir):
     return C.map_values(profile(spark, sf_dir).select("id", *config.VALUE_MAPS), config.VALUE_MAPS)
 
 
+def b14_roles_by_nulls(spark, sf_dir):
+    """column_roles of the silver columns, one row per column and role."""
+    roles = C.column_roles(medallion.feature_input(silver(spark, sf_dir)).drop("id"))
+    return spark.createDataFrame([(c, role) for role, columns in roles.items() for c in columns], "column_name string, role string")
+
+
 def b14_roles(spark, sf_dir):
     """Roles of the silver columns with their NULL counts, one row per column."""
     df = medallion.feature_input(silver(spark, sf_dir)).drop("id")
@@ -230,6 +236,13 @@ QUERIES: dict[str, Query] = {
         lambda s, d: C.cast_to_double(["age", "family_size"], silver(s, d))[0],
         with_ctes("silver", "SELECT * REPLACE (CAST(age AS DOUBLE) AS age, "
                             "CAST(family_size AS DOUBLE) AS family_size) FROM silver")),
+    "b14_roles_by_nulls": Query(
+        b14_roles_by_nulls,
+        with_ctes("inputs", union_all([
+            f"SELECT '{c}' AS column_name, '{role}{kind}_cols' AS role FROM inputs HAVING {test}"
+            for c in ATTRIBUTES if c != "work_experience"
+            for role in ["num" if c in ("age", "family_size") else "string"]
+            for kind, test in (("", "count(*) >= 0"), ("_missing", f"count(*) > count({c})"))]))),
     "b14_column_roles": Query(
         b14_roles,
         with_ctes("inputs", union_all([

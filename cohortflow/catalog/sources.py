@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +74,27 @@ def first_load(spark, sf_dir):
                     F.count_distinct("inserted_at").alias("n_times"))
 
 
+def table_name(stem: str) -> str:
+    """A new table of the session's catalog."""
+    return f"cohortflow_{stem}_{uuid.uuid4().hex}"
+
+
+def first_load_by_name(spark, sf_dir):
+    """Two named tables loaded at once, all their rows, and whether the insert time is one and the same."""
+    train, test = table_name("train"), table_name("test")
+    df = profile(spark, sf_dir)
+    tables.first_load({train: df, test: df}, drop={test: ["segmentation"]})
+    both = tables.read_table(spark, train).withColumn("part", F.lit("train")).unionByName(
+        tables.read_table(spark, test).withColumn("part", F.lit("test")), allowMissingColumns=True)
+    at = both.agg(F.min("inserted_at").alias("at")).first()["at"]
+    return both.withColumn("one_time", F.col("inserted_at") == F.lit(at)).drop("inserted_at")
+
+
 def by_name(spark, sf_dir):
-    silver(spark, sf_dir).createOrReplaceTempView("cohortflow_silver")
-    return tables.read_table(spark, "cohortflow_silver").select("id", "profession")
+    """Silver saved as a table of the catalog, read by its name."""
+    name = table_name("silver")
+    tables.write_table(silver(spark, sf_dir), name, comment="profiles that pass every rule")
+    return tables.read_table(spark, name)
 
 
 def appended(spark, sf_dir):
@@ -137,7 +157,11 @@ QUERIES: dict[str, Query] = {
         first_load,
         with_ctes("profile", "SELECT 2 * count(*) AS n_rows, count(segmentation) AS n_labels, CAST(1 AS BIGINT) AS n_times "
                              "FROM profile")),
-    "a10_table_by_name": Query(by_name, with_ctes("silver", "SELECT id, profession FROM silver")),
+    "a8_named_tables": Query(
+        first_load_by_name,
+        with_ctes("profile", "SELECT *, 'train' AS part, TRUE AS one_time FROM profile UNION ALL "
+                             "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS segmentation), 'test' AS part, TRUE AS one_time FROM profile")),
+    "a10_table_by_name": Query(by_name, with_ctes("silver", "SELECT * FROM silver")),
     "a13_appended_rows": Query(
         appended,
         with_ctes("silver", "SELECT * FROM c UNION ALL SELECT * FROM c",
