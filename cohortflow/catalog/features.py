@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow import config
 from cohortflow.catalog.base import Query, feature_input, silver, table, union_all, with_ctes
 from cohortflow.functions import columns as C
-from cohortflow.operators import features, folds, knn, metrics
+from cohortflow.operators import features, fitted, folds, knn, metrics
 from cohortflow.plans import medallion
 from cohortflow.session import scratch_path
 from cohortflow.sources.models import load_stages, save_model
@@ -72,6 +73,35 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.flag_columns(df, config.ONEHOT, {"spending_score": ["Low", "Average", "High"]})
 
 
+def fitted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fills, maps and flags learnt on even ids, saved, loaded and applied to odd ids."""
+    rows = silver(spark, sf_dir).drop("segmentation")
+    binary = {c: m for c, m in config.VALUE_MAPS.items() if c != "spending_score"}
+    stages = Pipeline(stages=[fitted.ValueFill(constants=config.CONSTANT_FILLS, modes=["gender", "graduated"], medians=["age", "family_size"], error=0.0),
+                              fitted.ValueMap(maps=binary), fitted.LevelFlags(columns=config.ONEHOT, ordered={"spending_score": ["Low", "Average", "High"]})])
+    path = scratch_path(spark, "fitted")
+    save_model(stages.fit(rows.filter("id % 2 = 0")), path)
+    return load_stages(path).transform(rows.filter("id % 2 = 1"))
+
+
+def _fitted_sql() -> str:
+    def mode(c: str) -> str:
+        return f"coalesce({c}, (SELECT {c} FROM even GROUP BY 1 ORDER BY count(*) DESC, {c} IS NULL, {c} LIMIT 1))"
+
+    def median(c: str) -> str:
+        return f"coalesce({c}, (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY {c}) FROM even))"
+
+    values = {"gender": mode("gender"), "graduated": mode("graduated"), "ever_married": "coalesce(ever_married, 'No')"}
+    cells = [f"CASE {text} WHEN '{a}' THEN {config.VALUE_MAPS[c][a]} WHEN '{b}' THEN {config.VALUE_MAPS[c][b]} END AS {c}"
+             for c, text in values.items() for a, b in [list(config.VALUE_MAPS[c])]]
+    cells += [f"{median(c)} AS {c}" for c in ("age", "family_size")]
+    cells += ["id", "work_experience", "CASE spending_score WHEN 'Low' THEN 0.0::DOUBLE WHEN 'Average' THEN 1.0::DOUBLE WHEN 'High' THEN 2.0::DOUBLE END AS spending_score"]
+    cells += [f"CAST(coalesce(profession, 'Other') = '{p}' AS INT)::DOUBLE AS profession_{p}" for p in PROFESSIONS]
+    cells += [f"coalesce(CAST(var_1 = '{v}' AS INT), 0)::DOUBLE AS var_1_{v}" for v in CATEGORIES]
+    cells += ["CAST(var_1 IS NULL AS INT)::DOUBLE AS var_1_missing"]
+    return with_ctes("silver", "SELECT " + ", ".join(cells) + " FROM silver WHERE id % 2 = 1", even="SELECT * FROM silver WHERE id % 2 = 0")
+
+
 def labelled_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense features joined with shifted labels, one column per slot."""
     target = C.shift_labels(medallion.gold_target(silver(spark, sf_dir)), "segmentation")
@@ -315,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "h11_gold_plain_features": Query(
         lambda s, d: C.vector_to_rows(gold_features(s, d, False)), _features_query(False)),
     "a16_saved_stages": Query(saved_and_loaded, _features_query(False)),
+    "h13_fitted_stages": Query(fitted_table, _fitted_sql()),
     "h13_flag_columns": Query(flags, with_ctes("encoded", _flags_select())),
     "i8_stratified_folds": Query(folded, with_ctes("silver", f"SELECT id, segmentation, {FOLD_SQL} FROM silver")),
     "i8_stratified_folds_orders": Query(
