@@ -29,8 +29,8 @@ from cohortflow.session import settle
 #: Labelled texts per class that the model is fitted on; the bound of what it learns from.
 PER_CLASS = 5000
 LANDMARKS = 64
-#: Twice the log likelihood ratio a landmark needs; chance alone gives so much to one word in a hundred thousand.
-EVIDENCE = 19.5
+#: In small samples: share of the clearest word's evidence that a landmark needs, and what it needs at least.
+CLEAR, LEAST_EVIDENCE = 0.6, 10.8
 #: Share of its labelled texts that must be toxic before a landmark alone makes a sentence an example of toxicity.
 ALONE = 0.85
 #: First letters of a word that may be a landmark.
@@ -254,6 +254,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([units.dictionary.cast(pa.binary()), *(pa.array(np.bincount(code[which], minlength=n)[:len(units.dictionary)]) for which in (toxic, ~toxic))], ["word", "toxic", "clean"])
 
 
+def _evidence(words: int) -> float:
+    """Twice the log likelihood ratio that chance alone gives to about one of so many words."""
+    many = np.log(max(words, 100))
+    return float(2 * many - np.log(np.pi * many))
+
+
 def _apart(words: list[bytes], most: int) -> list[int]:
     """Places of words, the first ones first, that aren't spellings of an earlier one; each with three letters or more."""
     kept: list[int] = []
@@ -308,12 +314,15 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     if len(sizes) < 2:
         return None
     counts = train.mapInArrow(_word_counts, "word binary, toxic bigint, clean bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = settle(counts, "words")
     # likelihood ratio of a word's share of toxic texts against that of all texts
     share = sizes[1] / (sizes[1] + sizes[0])
     total = F.col("toxic") + F.col("clean")
     part = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (total * q))).otherwise(0.0)
-    told = counts.withColumn("g", 2 * (part("toxic", share) + part("clean", 1 - share))).filter(
-        (F.col("g") >= EVIDENCE) & (F.col("toxic") > share * total) & (F.octet_length("word") >= 3))
+    told = counts.withColumn("g", 2 * (part("toxic", share) + part("clean", 1 - share))).filter((F.col("toxic") > share * total) & (F.octet_length("word") >= 3))
+    # in a small sample even the clearest words have little evidence
+    evidence = min(_evidence(counts.count()), max(LEAST_EVIDENCE, CLEAR * (told.agg(F.max("g")).first()[0] or 0.0)))
+    told = told.filter(F.col("g") >= evidence)
     rows = told.orderBy(F.desc("g"), F.octet_length("word").desc(), "word").limit(8 * landmarks).collect()
     kept = [rows[i] for i in _apart([bytes(r["word"]) for r in rows], landmarks)]
     marks = [bytes(r["word"]) for r in kept]
