@@ -13,7 +13,7 @@ from cohortflow.functions import columns as C
 from cohortflow.operators import features, folds, models
 from cohortflow.operators.boosting import SoftmaxBooster
 from cohortflow.plans import lifecycle, medallion, selection
-from cohortflow.session import scratch_path
+from cohortflow.session import scratch_path, settle
 from cohortflow.sources.models import save_model
 from cohortflow.sources.tables import append_rows, read_table, write_table
 
@@ -160,11 +160,11 @@ def one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boosted_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees of one leaf leave every row at the classes' shares."""
+    """Trees of one leaf leave every row at the classes' shares. The scored rows are written, as by a batch job."""
     df = flagged(spark, sf_dir)
-    model = SoftmaxBooster(maxIter=3, maxDepth=0).fit(df)
+    scored = settle(SoftmaxBooster(maxIter=3, maxDepth=0).fit(df).transform(df).select("id", "probability", "prediction"), "scored")
     named = F.posexplode("probability").alias("class", "probability")
-    return rounded(model.transform(df).select("prediction", named).groupBy("class", "probability", "prediction").agg(F.count(F.lit(1)).alias("rows")))
+    return rounded(scored.select("prediction", named).groupBy("class", "probability", "prediction").agg(F.count(F.lit(1)).alias("rows")))
 
 
 _flags = ", ".join(f"CAST({text} AS INT) AS f{i}" for i, text in enumerate(FLAG_TEXTS))
