@@ -4,6 +4,7 @@ import math
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cohortflow.operators import folds, metrics, models
@@ -125,3 +126,14 @@ def test_duplicate_ids_multiply_as_in_any_inner_join(spark):
     target = spark.createDataFrame([(1, 4), (1, 2), (2, 1)], "id long, segmentation int")
     out = selection.training_frame(features, target)
     assert sorted(r["label"] for r in out.collect()) == [1.0, 1.0, 3.0, 3.0]
+
+
+@pytest.mark.parametrize("kind, settings", [("support_vector", {"maxIter": 2}), ("logistic", {"maxIter": 2}), ("forest", {"numTrees": 2}),
+                                            ("kernel_support_vector", {"size": 8, "maxIter": 2})])
+def test_models_apply_in_a_session_that_has_observed(spark, kind, settings):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df = spark.createDataFrame([(i, Vectors.dense(float(i % 2), float(i % 5)), float(i % 2)) for i in range(20)], ["id", "features", "label"])
+    model = models.classifier(kind, settings).fit(df)
+    assert len(model.transform(df).select("prediction").collect()) == 20
