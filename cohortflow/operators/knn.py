@@ -21,11 +21,13 @@ Equal distances are resolved by the smaller id.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEVELS = range(13)  # 2^level bins per column
 EXACT = -1
 SPLIT = 8  # finer cells per cell, on average, from one step to the next
+SPLIT_KEYS = ("_target", "_q_mask", "_q_cell", "_q_next", "_d_mask", "_d_next", "_d_n")
+SPLIT_SCHEMA = ("_target string, _q_mask long, _q_cell long, _q_next long, _d_mask long, _d_next long, _d_n long, "
+                "_least double, _most double")
 PAIR_SCHEMA = "_target string, _q_mask long, _q_cell long, _d_mask long, _d_cell long"
 
 
@@ -47,17 +52,22 @@ def _mask(columns: list[str]) -> str:
     return " + ".join(f"CASE WHEN `{c}` IS NULL THEN {1 << i}L ELSE 0L END" for i, c in enumerate(columns))
 
 
-def _bin(column: str, low: float | None, high: float | None, level: int) -> str:
+def _bin(column: str, low: float | None, high: float | None, level: int, widest: float) -> str:
+    """All columns have bins of about the same width, as the distance adds them up as they are: 2^level bins of the
+    widest column, fewer of the others, so that a narrow one does not take cells away from it."""
     if level == EXACT or low is None or high == low:
         return f"`{column}`"
-    bins = 1 << level
+    bins = max(1, math.ceil((high - low) / widest * (1 << level)))
+    if bins == 1:
+        return f"CASE WHEN `{column}` IS NOT NULL THEN 0L END"
     return (f"CASE WHEN `{column}` IS NOT NULL THEN "
             f"least(floor((`{column}` - {low!r}D) / {high - low!r}D * {bins}), {bins - 1}L) END")
 
 
 def _cell(columns: list[str], ranges: dict, level: int) -> str:
     """Cell number. Should two cells ever share a number, their box covers both."""
-    return f"xxhash64({', '.join(_bin(c, *ranges[c], level) for c in columns)})"
+    widest = max((high - low for low, high in ranges.values() if low is not None), default=0.0)
+    return f"xxhash64({', '.join(_bin(c, *ranges[c], level, widest) for c in columns)})"
 
 
 def _choose_levels(df: DataFrame, columns: list[str], ranges: dict, max_cells: int) -> list[int]:
@@ -168,6 +178,30 @@ def _near_cells(recipients: DataFrame, donors: DataFrame, width: int, k: int) ->
     return recipients.repartition(cores, "_target", "_mask", "_cell0").mapInPandas(pairs, PAIR_SCHEMA)
 
 
+def _apart(width: int):
+    """Least and greatest distance of pairs of boxes, batches of them at a time: as SQL text the sums over the columns make a
+    method that is too long to be compiled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q_low, q_high, d_low, d_high = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                                            for c in ("_q_low", "_q_high", "_d_low", "_d_high"))
+            either = batch.column("_q_mask").to_numpy() | batch.column("_d_mask").to_numpy()
+            shared = (either[:, None] >> np.arange(width)) & 1 == 0
+            scale = width / shared.sum(axis=1)
+            gap = np.maximum(0.0, np.maximum(q_low - d_high, d_low - q_high))
+            span = np.maximum(np.abs(q_high - d_low), np.abs(d_high - q_low))
+            found = [pa.array((np.where(shared, x, 0.0) ** 2).sum(axis=1) * scale) for x in (gap, span)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in SPLIT_KEYS), *found], [*SPLIT_KEYS, "_least", "_most"])
+
+    return run
+
+
+def _shuffled(pairs: DataFrame) -> DataFrame:
+    """The pairs for a join that never sends them whole to the driver and every task. Spark takes them for no larger than the
+    boxes they come from, which are few, and would broadcast them."""
+    return pairs.hint("merge")
+
+
 def _refined(pairs: DataFrame, tuples: DataFrame, donors: DataFrame, columns: list[str], step: int, k: int) -> DataFrame:
     """The pairs of cells of one step as pairs of the next, finer cells that may still hold a neighbour."""
     old, new, width = f"_cell{step - 1}", f"_cell{step}", len(columns)
@@ -177,17 +211,9 @@ def _refined(pairs: DataFrame, tuples: DataFrame, donors: DataFrame, columns: li
             "_target", f"_mask AS _{s}_mask", f"{old} AS _{s}_cell", f"{new} AS _{s}_next",
             f"_n AS _{s}_n", f"_low AS _{s}_low", f"_high AS _{s}_high")
 
-    def total(term: str) -> str:
-        return " + ".join(f"CASE WHEN (_either & {1 << i}L) = 0 THEN power({term.replace('#', str(i))}, 2) ELSE 0D END"
-                          for i in range(width))
-
-    gap = total("greatest(0D, _q_low[#] - _d_high[#], _d_low[#] - _q_high[#])")
-    span = total("greatest(abs(_q_high[#] - _d_low[#]), abs(_d_high[#] - _q_low[#]))")
-    split = (pairs.join(side(tuples, "q"), ["_target", "_q_mask", "_q_cell"])
+    split = (_shuffled(pairs).join(side(tuples, "q"), ["_target", "_q_mask", "_q_cell"])
              .join(side(donors, "d"), ["_target", "_d_mask", "_d_cell"])
-             .selectExpr("*", "_q_mask | _d_mask AS _either", f"{width} / ({width} - bit_count(_q_mask | _d_mask)) AS _scale")
-             .selectExpr("_target", "_q_mask", "_q_cell", "_q_next", "_d_mask", "_d_next", "_d_n",
-                         f"({gap}) * _scale AS _least", f"({span}) * _scale AS _most"))
+             .select(*SPLIT_KEYS, *[f"_{s}_{end}" for s in "qd" for end in ("low", "high")]).mapInArrow(_apart(width), SPLIT_SCHEMA))
     cell = ["_target", "_q_mask", "_q_cell", "_q_next"]
     reach = F.sum("_d_n").over(Window.partitionBy(*cell).orderBy("_most").rangeBetween(Window.unboundedPreceding, 0))
     limit = F.min(F.when(F.col("_reach") >= k, F.col("_most"))).over(Window.partitionBy(*cell))
@@ -224,7 +250,7 @@ def _fill(x: DataFrame, id_column: str, columns: list[str], targets: list[str],
                          F.struct(*columns).alias("_q"))
     right = donors.select("_target", F.col("_mask").alias("_d_mask"), F.col(cells[-1]).alias("_d_cell"),
                           F.col(id_column).alias("_d_id"), "_value", F.struct(*columns).alias("_d"))
-    compared = left.join(pairs, ["_target", "_q_mask", "_q_cell"]).join(right, ["_target", "_d_mask", "_d_cell"])
+    compared = left.join(_shuffled(pairs), ["_target", "_q_mask", "_q_cell"]).join(right, ["_target", "_d_mask", "_d_cell"])
     total = " + ".join(f"coalesce((_q.`{c}` - _d.`{c}`) * (_q.`{c}` - _d.`{c}`), 0D)" for c in columns)
     distance = f"({total}) * {len(columns)} / ({len(columns)} - bit_count(_q_mask | _d_mask))"
     nearest_first = Window.partitionBy("_target", "_q").orderBy("_distance", "_d_id")
@@ -239,8 +265,9 @@ def _fill(x: DataFrame, id_column: str, columns: list[str], targets: list[str],
 def knn_values(df: DataFrame, id_column: str, columns: list[str], k: int = 5, max_cells: int = 20000) -> DataFrame:
     """The filled cells: (id, column_name, value). Ids must be unique. Where no row is comparable,
     the column's mean is taken."""
-    # Read several times below, hence written once. NaN counts as missing.
-    x = settle(df.selectExpr(f"`{id_column}`", *[f"nullif(CAST(`{c}` AS DOUBLE), double('NaN')) AS `{c}`" for c in columns]))
+    # Read several times below, hence written once, in parts for all cores. NaN counts as missing.
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    x = settle(df.repartition(parts, id_column).selectExpr(f"`{id_column}`", *[f"nullif(CAST(`{c}` AS DOUBLE), double('NaN')) AS `{c}`" for c in columns]))
     facts = x.selectExpr(*[f"{f} AS `{c}_{name}`" for c in columns for f, name in (
         (f"count_if(`{c}` IS NULL)", "nulls"), (f"min(`{c}`)", "low"), (f"max(`{c}`)", "high"),
         (f"avg(`{c}`)", "mean"))]).first()

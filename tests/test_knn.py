@@ -88,3 +88,13 @@ def test_sphere_bounds_hold():
         x, y = rng.uniform(low[i], high[i]), rng.uniform(low[j], high[j])
         distance = sum((x[c] - y[c]) ** 2 for c in shared) * 3 / len(shared)
         assert least[i, j] <= distance <= greatest[i, j]
+
+
+def test_pairs_of_cells_are_never_broadcast_and_narrow_columns_take_no_cells(spark):
+    data = [(i, float(i * 37 % 100), float(i % 2), None if i % 7 == 0 else float(i % 11)) for i in range(120)]
+    df = spark.createDataFrame(data, "id long, wide double, flag double, x double")
+    plan = knn.knn_values(df, "id", ["wide", "flag", "x"], max_cells=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    ranges = {"wide": (0.0, 100.0), "flag": (0.0, 1.0)}
+    cells = {level: df.selectExpr(f"{knn._cell(list(ranges), ranges, level)} AS c").distinct().count() for level in (2, 4)}
+    assert cells == {2: 4, 4: 16}  # of equal width: the flag is not split before the wide column has bins as narrow
