@@ -121,6 +121,13 @@ def _across(percent: int, matches: int):
     return run
 
 
+def _hung(starred: DataFrame) -> DataFrame:
+    """Links a, b with the components of (node, first): a node hangs on its least first, and its other firsts on that one. Nodes of
+    a large group share their firsts, so there are hardly more links than nodes, and not one for every posting."""
+    least = starred.select("node", "first", F.min("first").over(Window.partitionBy("node")).alias("b"))
+    return least.select(F.explode(F.array("node", "first")).alias("a"), "b").filter("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The component of every row: doc_id, n_shingles, component_id, kept.
 
@@ -161,7 +168,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     parts = components(found)
 
     # nodes that meet, by the groups in which postings hang together
-    group = components(starred.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    group = components(_hung(starred))
     placed = (group.select("node", F.col("label").alias("cluster")).join(parts.withColumnRenamed("label", "_part"), "node", "left")
               .select("node", "cluster", F.coalesce("_part", "node").alias("component")))
     open_clusters = placed.groupBy("cluster").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi").select("cluster")
@@ -177,7 +184,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             .join(sets.withColumn("_size", F.expr("octet_length(shingles) div 8")), "node").filter("_size = n_shingles").drop("_size"))
     compared = settle(asked.join(full, ["cluster", "block"]).groupBy("cluster", "i", "j")
                 .applyInPandas(_across(percent, matches), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])), "compared")
-    labels = components(found.union(compared).union(same_set))
+    links = found.union(compared).union(same_set).select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("first"))
+    labels = components(_hung(links.filter("node <> first")))
     return (signed.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
             .select(F.col("node").alias("doc_id"), "n_shingles", F.coalesce("label", "node").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
