@@ -137,3 +137,26 @@ def test_models_apply_in_a_session_that_has_observed(spark, kind, settings):
     df = spark.createDataFrame([(i, Vectors.dense(float(i % 2), float(i % 5)), float(i % 2)) for i in range(20)], ["id", "features", "label"])
     model = models.classifier(kind, settings).fit(df)
     assert len(model.transform(df).select("prediction").collect()) == 20
+
+
+def test_a_kept_frame_of_one_partition_is_dealt_over_the_cores(spark, separable):
+    one = spark.createDataFrame(separable.rdd, separable.schema).coalesce(1)
+    with models.kept(one) as df:
+        assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert max(len(p) for p in df.rdd.glom().collect()) < 60 and df.count() == 120
+
+
+def test_retraining_reads_its_rows_once(spark, tmp_path, separable):
+    log, folder = str(tmp_path / "log"), str(tmp_path / "models")
+    outcome = models.cross_validate("tree", separable, {"maxDepth": [2]}, folds=2)
+    lifecycle.register_best(spark, [outcome], log, folder, "m")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame(separable.rdd, separable.schema).withColumn("_n", F.lit(1))
+    counted = rows.select("id", "label", "features").join(rows.select("id").mapInArrow(seen, "id long"), "id")
+    assert lifecycle.retrain(spark, counted, log, folder, "m") == 2 and read.value == 120
