@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.columns import densify
 from cohortflow.operators.features import features_of
-from cohortflow.operators.models import METRICS, Outcome, classifier, scores_of
+from cohortflow.operators.models import METRICS, Outcome, classifier, kept, scores_of
 from cohortflow.sources.models import load_stages, save_model
 from cohortflow.sources.tables import append_rows, read_table, table_exists
 
@@ -73,9 +73,10 @@ def retrain(spark: SparkSession, df: DataFrame, log: str, folder: str, name: str
     """Fit the current configuration on new rows and log it as the next version."""
     current = required_version(spark, log, name)
     params = json.loads(current["parameters"])
-    model = classifier(current["kind"], params).fit(df)
-    return _store(spark, log, folder, name, current["version"] + 1, current["kind"], current["features"], params,
-                  model, scores_of(model, df))
+    with kept(df) as df:  # read by every pass of the fit, and by the scores
+        model = classifier(current["kind"], params).fit(df)
+        return _store(spark, log, folder, name, current["version"] + 1, current["kind"], current["features"], params,
+                      model, scores_of(model, df))
 
 
 def current_model(spark: SparkSession, log: str, name: str) -> Model:
