@@ -3,8 +3,8 @@
 A token is scored given the three before it. Features are the previous token, the ones two and three back (skips), and
 the hashed pair of the last two. The softmax is factored: first the class of the next token, then the token within its
 class. Classes are runs of the most frequent words by rank; one more class holds all other words, and is split by a tree
-of up to 32 ways a level down to leaves of some LEAF_WORDS words by hash, each level with its own contexts. Within a leaf
-a word's share follows its count. Every word is a context of its own at every step, hashed with the step into rows whose
+of choices between two ways down to leaves of some LEAF_WORDS words by hash, four levels of it by a line of contexts of
+their own. Within a leaf a word's share follows its count. Every word is a context of its own at every step, hashed with the step into rows whose
 number follows from the number of different words. Weights start at the unigram shares and are trained by gradient
 updates that Spark distributes: in every round each task goes over its part of the training texts from the common
 weights, and the changes of each GROUP of weights are averaged, by numbers of tokens, over the tasks that changed it.
@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortflow.llm.shipping import ship_package
@@ -45,6 +45,8 @@ RARE = 32
 ROUNDS, RATE, BATCH = 4, 0.15, 8192
 #: Floats of the model that are averaged as one row, and rows that are averaged as one group.
 BLOCK, FAN_IN = 1 << 15, 64
+#: Weights of a line, half a fine row and as long as what a processor reads at once; the tree's levels by one line: 15 nodes.
+LINE, LEVELS = 16, 4
 #: Neighbouring weights that are averaged over the same tasks: a fine row.
 GROUP = WORDS
 #: Tasks of a round at most, beyond LEAST_TASKS: so many for each time that the training tokens outnumber the weights.
@@ -66,26 +68,37 @@ class Tables(NamedTuple):
 
 
 class Leaves:
-    """The tree over the words beyond the vocabulary: a leaf is the first bits of a word's key, a level five more of them."""
+    """The tree over the words beyond the vocabulary: a leaf is the first bits of a word's key, a level one more of them."""
 
     def __init__(self, sizes: np.ndarray) -> None:
         """sizes: tokens and different words of each leaf together."""
         self.bits = len(sizes).bit_length() - 1
-        self.widths = [min(5, self.bits - b) for b in range(0, self.bits, 5)]
         mass = sizes + 1.0
         self.within = np.log10(mass).astype(np.float32)
-        self.shares: list[np.ndarray] = []  # of each level: logarithms of the counts below every way of every node
-        for width in reversed(self.widths):
-            mass = mass.reshape(-1, 1 << width)
-            self.shares.insert(0, np.log(mass).astype(np.float32))
+        # logarithms of the odds of the second way, by node: the root is 1, those below node i are 2 i and 2 i + 1
+        self.odds = np.zeros(len(sizes), np.float32)
+        for level in reversed(range(self.bits)):
+            mass = mass.reshape(-1, 2)
+            self.odds[1 << level:2 << level] = np.log(mass[:, 1] / mass[:, 0])
             mass = mass.sum(1)
-
-    def levels(self, leaf: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """Each level, its bits, and the nodes and ways that lead to the leaves."""
-        left = self.bits
-        for level, width in enumerate(self.widths):
-            yield level, width, leaf >> left, (leaf >> (left - width)) & ((1 << width) - 1)
-            left -= width
+        depth = np.arange(self.bits)[:, None]
+        self.depth, self.inside = depth, depth % LEVELS
+
+    def walk(self, leaf: np.ndarray, words: dict[str, np.ndarray], fine: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By level on the way to the leaves: each feature's weight among the fine ones, the way taken, the odds at the start."""
+        before = leaf >> (self.bits - self.depth)
+        way = (leaf >> (self.bits - 1 - self.depth)) & 1
+        first = self.depth[::LEVELS]
+        node = (leaf >> (self.bits - first)) + ((first // LEVELS + 1) << 40)
+        widths = np.minimum(LEVELS, self.bits - first[:, 0])
+        column = (before & ((1 << self.inside) - 1)) + (1 << self.inside)
+        places = np.empty((len(words), *before.shape), np.int64)
+        for place, of in zip(places, words.values(), strict=True):
+            hashes = _hashed(of, node)
+            # a line's nodes in an order of its own: the first ones, used most, fall on all of its weights
+            line = _row(hashes, fine * WORDS // LINE) * LINE + (hashes >> np.uint64(60)).astype(np.int64)
+            np.bitwise_xor(np.repeat(line, widths, axis=0), column, out=place)
+        return places, way, self.odds.take(before + (1 << self.depth), mode="clip")
 
 
 def leaf_bits(different: int) -> int:
@@ -116,8 +129,7 @@ def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
         at += rows * columns
     if fine:
         shared = flat[len(flat) - fine * WORDS:].reshape(fine, WORDS)
-        for step, columns in [("o", CLASSES + 1), ("i", WORDS), *[(f"t{width}", 1 << width) for width in range(1, 6)]]:
-            out |= {f"{step}_{feature}": shared[:, :columns] for feature in ("last", "skip2", "pair")}
+        out |= {f"{step}_{feature}": shared for step in "oi" for feature in ("last", "pair")} | {"tree": shared.reshape(-1)}
     return out
 
 
@@ -126,6 +138,14 @@ def model_size(fine: int = 0) -> int:
     return -(-size // GROUP) * GROUP + fine * WORDS if fine else size
 
 
+def _aligned(flat: np.ndarray) -> np.ndarray:
+    """A copy whose lines are those that the processor reads."""
+    room = np.empty(len(flat) + LINE, np.float32)
+    first = -room.ctypes.data % (4 * LINE) // 4
+    room[first:first + len(flat)] = flat
+    return room[first:first + len(flat)]
+
+
 def initial(counts: np.ndarray, rest: float, fine: int = 0) -> np.ndarray:
     """Weights whose shares are those of the counts: counts of the vocabulary by place, and of all other words."""
     flat = np.zeros(model_size(fine), np.float32)
@@ -141,120 +161,190 @@ def initial(counts: np.ndarray, rest: float, fine: int = 0) -> np.ndarray:
 def _features(p1: np.ndarray, p2: np.ndarray, p3: np.ndarray, cls: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
     """Rows of the class weights, and of the word weights for tokens of class cls."""
     pair = p1 * 1_000_003 + p2 * 7_919
-    zero = np.zeros(len(p1), np.int64)
-    outer = {"bias": zero, "last": p1, "skip2": p2, "skip3": p3, "pair": (pair ^ (pair >> 11)) % PAIRS}
     inner = pair * 31 + cls * 104_729
-    return outer, {"w_bias": cls, "w_last": p1 * CLASSES + cls, "w_skip2": p2 * CLASSES + cls, "w_pair": (inner ^ (inner >> 9)) % PAIRS}
+    return (_of_classes(p1, p2, p3) | {"pair": (pair ^ (pair >> 11)) % PAIRS}, _of_words(p1, p2, cls) | {"w_pair": (inner ^ (inner >> 9)) % PAIRS})
+
+
+def _of_classes(p1: np.ndarray, p2: np.ndarray, p3: np.ndarray) -> dict[str, np.ndarray]:
+    return {"bias": np.zeros(len(p1), np.int64), "last": p1, "skip2": p2, "skip3": p3}
+
+
+def _of_words(p1: np.ndarray, p2: np.ndarray, cls: np.ndarray) -> dict[str, np.ndarray]:
+    return {"w_bias": cls, "w_last": p1 * CLASSES + cls, "w_skip2": p2 * CLASSES + cls}
+
+
+def _hashed(words: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Hashes of a feature's words at a node of the factored softmax."""
+    h = (words ^ (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _row(hashes: np.ndarray, rows: int) -> np.ndarray:
+    return ((hashes >> np.uint64(24)) & np.uint64(rows - 1)).astype(np.int64)
 
 
 def _fine(step: str, features: dict[str, np.ndarray], node: np.ndarray, rows: int) -> dict[str, np.ndarray]:
     """Fine rows of each feature's words at a node of the factored softmax."""
-    at = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    out = {}
-    for name, words in features.items():
-        h = (words ^ at) * np.uint64(0xD6E8FEB86659FD93)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out[f"{step}_{name}"] = ((h >> np.uint64(24)) & np.uint64(rows - 1)).astype(np.int64)
-    return out
+    return {f"{step}_{name}": _row(_hashed(words, node), rows) for name, words in features.items()}
+
+
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return table.take(at, axis=0, mode="clip")  # rows are in range; without a check they are copied faster
+
+
+def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    whole = f"V{rows.strides[0]}"  # a row as one item, which is copied at once
+    table.view(whole)[:, 0][at] = rows.view(whole)[:, 0]
 
 
-def _shares(view: dict[str, np.ndarray], rows: dict[str, np.ndarray], start: np.ndarray | None = None) -> np.ndarray:
-    logit = start
+def _greatest(rows: np.ndarray) -> np.ndarray:
+    """Each row's greatest value as a column, by halves: faster than a maximum along short rows."""
+    while (width := rows.shape[1]) > 1:
+        rows = np.maximum(rows[:, :(width + 1) // 2], rows[:, width // 2:])
+    return rows
+
+
+def _shares(view: dict[str, np.ndarray], rows: dict[str, np.ndarray]) -> np.ndarray:
+    logit = None
     for name, at in rows.items():
-        logit = view[name][at] if logit is None else logit + view[name][at]
-    logit -= logit.max(1, keepdims=True)
+        if logit is None:
+            logit = _rows(view[name], at)
+        else:
+            logit += _rows(view[name], at)[:, :logit.shape[1]]
+    logit -= _greatest(logit)
     np.exp(logit, out=logit)
-    logit /= logit.sum(1, keepdims=True)
+    logit /= logit @ np.ones((logit.shape[1], 1), np.float32)
     return logit
 
 
-def _steps(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None, leaves: Leaves | None, batch: int) -> Iterator[tuple[slice, list]]:
-    """Batches of tokens, and the steps that lead to them: the tokens concerned, their rows, the ways taken, starting logits.
+def _odds(view: dict[str, np.ndarray], at: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Logarithms of the odds of the second way at each level."""
+    for weights in at:
+        start += view["tree"].take(weights, mode="clip")
+    return np.clip(start, -80, 80, out=start)
+
 
-    keys: of every token's word; without them no word beyond the vocabulary is told apart.
+def _steps(ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None, leaves: Leaves | None, fine: int) -> Iterator[tuple[slice, list, tuple | None]]:
+    """Batches of tokens, the softmax steps that lead to them (the tokens concerned, their rows, the ways taken), and the
+    walk down the tree (the tokens concerned, and what Leaves.walk tells).
+
+    keys: of every token's word; without them no word beyond the vocabulary is told apart. fine: number of fine rows.
     """
-    p1, p2, p3 = _contexts(ids, starts)
+    p1, p2, p3 = (_back(ids, starts, b, _START) for b in (1, 2, 3))
     if keys is not None:
-        fine = len(view["o_last"])
-        k1, k2, _ = _contexts(keys, starts)
+        k1, k2 = (_back(keys, starts, b, _START).view(np.uint64) for b in (1, 2))
         # mixed once more, so that a feature's rows are not those of another
-        words = {"last": k1.view(np.uint64) * np.uint64(3), "skip2": k2.view(np.uint64) * np.uint64(5)}
+        words = {"last": k1 * np.uint64(3), "skip2": k2 * np.uint64(5)}
         words["pair"] = (words["last"] ^ (words["last"] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + words["skip2"]
-    for f in range(0, len(ids), batch):
-        s = slice(f, f + batch)
+    for f in range(0, len(ids), BATCH):
+        s = slice(f, f + BATCH)
         rare = ids[s] >= _VOCAB
         cls = np.where(rare, CLASSES, ids[s] // WORDS)
         known, beyond = np.flatnonzero(~rare), np.flatnonzero(rare)
-        outer, inner = _features(p1[s], p2[s], p3[s], np.where(rare, 0, cls))
-        inner = {k: v[known] for k, v in inner.items()}
-        if keys is not None:
-            del outer["pair"], inner["w_pair"]
-            outer |= _fine("o", {k: words[k][s] for k in ("last", "pair")}, np.zeros(len(cls), np.int64), fine)
-            inner |= _fine("i", {k: words[k][s][known] for k in ("last", "pair")}, 1 + cls[known], fine)
-        steps = [(np.arange(len(cls)), outer, cls, None)]
+        c = cls[known]
+        if keys is None:
+            outer, inner = _features(p1[s], p2[s], p3[s], np.where(rare, 0, cls))
+            inner = {k: v[known] for k, v in inner.items()}
+        else:
+            outer, inner = _of_classes(p1[s], p2[s], p3[s]), _of_words(p1[s][known], p2[s][known], c)
+            outer |= _fine("o", {k: words[k][s] for k in ("last", "pair")}, np.zeros(1, np.int64), fine)
+            inner |= _fine("i", {k: words[k][s][known] for k in ("last", "pair")}, 1 + c, fine)
+        steps = [(np.arange(len(cls)), outer, cls)]
         if len(known):
-            steps.append((known, inner, ids[s][known] % WORDS, None))
-        if keys is not None and leaves is not None and len(beyond):
-            of = {k: v[s][beyond] for k, v in words.items()}
-            for level, width, node, way in leaves.levels(leaf_of(keys[s][beyond], leaves.bits)):
-                steps.append((beyond, _fine(f"t{width}", of, node + ((level + 1) << 40), fine), way, leaves.shares[level][node]))
-        yield s, steps
+            steps.append((known, inner, ids[s][known] % WORDS))
+        tree = None
+        if keys is not None and leaves is not None and leaves.bits and len(beyond):
+            tree = (beyond, *leaves.walk(leaf_of(keys[s][beyond], leaves.bits), {k: v[s][beyond] for k, v in words.items()}, fine))
+        yield s, steps, tree
 
 
-def log_shares(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, batch: int = 1 << 15, keys: np.ndarray | None = None, leaves: Leaves | None = None) -> np.ndarray:
+def log_shares(view: dict[str, np.ndarray], ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None = None, leaves: Leaves | None = None) -> np.ndarray:
     """log10 of each token's share given those before it in its text; for a rare token that of its leaf, or of the class of rare words without keys."""
     out = np.zeros(len(ids))
-    for s, steps in _steps(view, ids, starts, keys, leaves, batch):
-        for some, rows, way, start in steps:
-            out[s][some] += np.log10(np.maximum(_shares(view, rows, start)[np.arange(len(way)), way], 1e-30))
+    for s, steps, tree in _steps(ids, starts, keys, leaves, len(view.get("o_last", ()))):
+        part = out[s]
+        for some, rows, way in steps:
+            part[some] += np.log10(np.maximum(_shares(view, rows)[np.arange(len(way)), way], 1e-30))
+        if tree is not None:
+            some, at, way, start = tree
+            odds = _odds(view, at, start)
+            odds *= 1 - 2 * way.astype(np.float32)
+            part[some] -= np.log(1 + np.exp(odds, out=odds)).sum(0) / math.log(10)
     return out
 
 
-def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The tokens one, two and three back, or the start of the text."""
-    place = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
-    out = []
-    for back in (1, 2, 3):
-        p = np.full(len(ids), _START, np.int64)
-        some = np.flatnonzero(place >= back)
-        p[some] = ids[some - back]
-        out.append(p)
-    return out[0], out[1], out[2]
+def _back(tokens: np.ndarray, starts: np.ndarray, back: int, first: int) -> np.ndarray:
+    """The token some places back, or first where the text begins later."""
+    out = np.full(len(tokens), first, np.int64)
+    out[back:] = tokens[:-back]
+    for i in range(back):
+        at = starts[:-1] + i
+        out[at[at < starts[1:]]] = first
+    return out
 
 
 class Trainer:
     """Gradient updates with per-weight rates, from common weights."""
 
     def __init__(self, flat: np.ndarray, rate: float, leaves: Leaves | None = None) -> None:
-        self.flat, self.rate, self.leaves, self.tokens = flat.copy(), rate, leaves, 0
-        self.view, self.seen = _views(self.flat), _views(np.ones_like(flat))
+        self.flat, self.rate, self.leaves, self.tokens = _aligned(flat), rate, leaves, 0
+        self.view, self.seen = _views(self.flat), _views(_aligned(np.ones_like(flat)))
+        self.last = np.zeros(max(len(table) for table in self.view.values() if table.ndim == 2), np.int32)
 
     def _update(self, rows: dict[str, np.ndarray], error: np.ndarray) -> None:
+        n, width = error.shape
+        here, columns = np.arange(n, dtype=np.int32), np.arange(width)
         for name, at in rows.items():
-            order = np.argsort(at, kind="stable")
-            ordered = at[order]
-            heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            slope = np.add.reduceat(error[order], heads, axis=0)
-            touched = ordered[heads]
-            self.seen[name][touched] += slope * slope
-            self.view[name][touched] += self.rate * slope / np.sqrt(self.seen[name][touched])
+            size = len(self.view[name])
+            if size == 1:
+                slope, touched = np.ones((1, n), np.float32) @ error, at[:1]
+            elif size <= 1 << 16:
+                order = np.argsort(at.astype(np.uint16), kind="stable")  # short keys are sorted by their digits
+                ordered = at.take(order)
+                heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+                slope, touched = np.add.reduceat(_rows(error, order), heads, axis=0), ordered.take(heads)
+            else:
+                # the errors of a row, mostly one, are added up where the row comes last
+                self.last[at] = here
+                to = self.last.take(at, mode="clip")
+                own, more = np.flatnonzero(to == here), np.flatnonzero(to != here)
+                slope = error.copy()
+                np.add.at(slope.reshape(-1), (to.take(more)[:, None] * width + columns).reshape(-1), _rows(error, more).reshape(-1))
+                slope, touched = _rows(slope, own), at.take(own)
+            seen, weights = _rows(self.seen[name], touched), _rows(self.view[name], touched)
+            if seen.shape[1] > width:  # whole rows go faster than parts of them
+                slope = np.concatenate([slope, np.zeros((len(slope), seen.shape[1] - width), np.float32)], axis=1)
+            seen += slope * slope
+            weights += self.rate * slope / np.sqrt(seen)
+            _put(self.seen[name], touched, seen)
+            _put(self.view[name], touched, weights)
+
+    def _update_tree(self, at: np.ndarray, error: np.ndarray) -> None:
+        weights, seen, error = self.view["tree"], self.seen["tree"], error.reshape(-1)
+        for places in at.reshape(len(at), -1):
+            np.add.at(seen, places, error * error)
+            np.add.at(weights, places, self.rate * error / np.sqrt(seen.take(places, mode="clip")))
 
     def learn(self, ids: np.ndarray, starts: np.ndarray, keys: np.ndarray | None = None) -> None:
-        for _, steps in _steps(self.view, ids, starts, keys, self.leaves, BATCH):
+        for _, steps, tree in _steps(ids, starts, keys, self.leaves, len(self.view.get("o_last", ()))):
             # all errors first: steps may share fine rows
             errors = []
-            for _, rows, way, start in steps:
-                error = -_shares(self.view, rows, start)
+            for _, rows, way in steps:
+                error = -_shares(self.view, rows)
                 error[np.arange(len(way)), way] += 1
                 errors.append(error)
-            for (_, rows, _, _), error in zip(steps, errors, strict=True):
+            if tree is not None:
+                _, at, way, start = tree
+                wrong = way.astype(np.float32) - 1 / (1 + np.exp(-_odds(self.view, at, start)))
+                self._update_tree(at, wrong)
+            for (_, rows, _), error in zip(steps, errors, strict=True):
                 self._update(rows, error)
             self.tokens += len(steps[0][2])
 
 
 def _hashes(distinct: pa.LargeBinaryArray) -> np.ndarray:
     """Signed 64-bit keys of words; END stays free."""
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), np.uint64, len(distinct)).view(np.int64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_numpy(zero_copy_only=False)), np.uint64, len(distinct)).view(np.int64)
     return np.where(h == END, END + 1, h)
 
 
@@ -301,9 +391,8 @@ def _averaged(data: list[bytes], seen: list[bytes]) -> tuple[bytes, bytes]:
     return (total / np.maximum(weight, 1.0)[:, None]).astype(np.float16).tobytes(), weight.astype(np.float32).tobytes()
 
 
-def _rounds(texts: DataFrame, tables: Tables, leaves: Leaves, flat: np.ndarray, rounds: int, rate: float, tasks: int) -> np.ndarray:
+def _rounds(texts: DataFrame, held: Broadcast, flat: np.ndarray, rounds: int, rate: float, tasks: int) -> np.ndarray:
     context = texts.sparkSession.sparkContext
-    held = context.broadcast((tables, leaves))
 
     def mean(rows: pd.DataFrame) -> pd.DataFrame:
         data, seen = _averaged(list(rows["data"]), list(rows["seen"]))
@@ -327,13 +416,15 @@ def _rounds(texts: DataFrame, tables: Tables, leaves: Leaves, flat: np.ndarray,
 
         shape = "block int, part int, seen binary, data binary"
         told = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").coalesce(tasks).mapInArrow(learn, shape)
-        # a tree of averages: each group holds FAN_IN rows at most, the last one a row for FAN_IN ** 2 tasks
-        for _ in range(2):
+        # a tree of averages: each group holds FAN_IN rows at most
+        parts = tasks
+        while parts > FAN_IN:
             told = told.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("block", "group").applyInPandas(mean, shape)
+            parts = -(-parts // FAN_IN)
         for row in told.groupBy("block").applyInPandas(mean, shape).collect():
             change = np.frombuffer(row["data"], np.float16).astype(np.float32)
             flat[row["block"] * BLOCK:row["block"] * BLOCK + len(change)] += change
-        common.unpersist()
+        common.destroy()
     return flat
 
 
@@ -368,29 +459,28 @@ def score(docs: DataFrame, fold: Column, rounds: int = ROUNDS, rate: float = RAT
     np.subtract.at(sizes, leaf_of(word[rank[:_VOCAB]], bits), vocabulary + 1)
     leaves = Leaves(sizes)
     flat = initial(vocabulary, float(rest_n), fine_rows(different))
-    flat = _rounds(train, tables, leaves, flat, rounds, rate, max(LEAST_TASKS, TASKS * total // len(flat)))
-    held = spark.sparkContext.broadcast((tables, leaves, flat))
+    held = spark.sparkContext.broadcast((tables, leaves))
+    flat = _rounds(train, held, flat, rounds, rate, max(LEAST_TASKS, TASKS * total // len(flat)))
+    learnt = spark.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, leaves, flat = held.value
-        view, row = _views(flat), TaskContext.get().partitionId() << 40
+        tables, leaves = held.value
+        view, row = _views(_aligned(learnt.value)), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch):
                 keys, codes, starts = _tokens(part.column("text"))
                 count, place = _lookup(tables, keys)
-                ids = place[codes]
-                found = count[codes]
-                known, rare = found >= 0, ids >= _VOCAB
-                words = keys[codes]
+                rare = place >= _VOCAB
+                logs = np.log10(np.maximum(count, 0) + 1.0)
+                ids, words, known = place[codes], keys[codes], (count >= 0)[codes]
                 shares = log_shares(view, ids, starts, keys=words, leaves=leaves)
-                shares[rare] -= leaves.within[leaf_of(words[rare], leaves.bits)]
-                logs = np.log10(np.maximum(found, 0) + 1.0)
+                shares -= np.where(rare, leaves.within[leaf_of(keys, leaves.bits)], 0.0)[codes]
                 add = lambda x: np.add.reduceat(x.astype(float), starts[:-1])  # noqa: E731  every text has its end
                 text = np.repeat(np.arange(part.num_rows), np.diff(starts))[~known]
-                beyond = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32()), pa.array(keys[codes[~known]]))
+                beyond = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32()), pa.array(words[~known]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row + np.arange(part.num_rows)), part.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(add(known).astype(np.int64)),
-                    pa.array(add(logs)), pa.array(add(np.where(rare, logs, 0.0))), pa.array(add(shares)), beyond,
+                    pa.array(add(logs[codes])), pa.array(add(np.where(rare, logs, 0.0)[codes])), pa.array(add(shares)), beyond,
                 ], ["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "shares", "beyond"])
                 row += part.num_rows
 

@@ -264,6 +264,25 @@ def test_language_model_tells_words_beyond_the_vocabulary_apart():
     assert total == pytest.approx(10 ** maxent.log_shares(trainer.view, n + text[:2] % maxent.RARE, np.array([0, 2]), keys=text[:2])[1], rel=1e-3)
 
 
+def test_language_model_walks_by_one_weight_a_level_and_feature():
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 50, 1 << 7)
+    leaves, fine = maxent.Leaves(sizes), 1 << 15
+    keys = (np.arange(1 << 7, dtype=np.uint64) << np.uint64(64 - 7)).view(np.int64)
+    flat = maxent.initial(np.zeros(maxent._VOCAB), float(sizes.sum()), fine)
+    view, start = maxent._views(flat), np.array([0, 1])
+    rare = np.array([maxent._VOCAB])
+    of_class = maxent.log_shares(view, rare, start, keys=keys[:1])[0]
+    # before anything is learnt, leaves have the shares of their counts
+    shares = [10 ** (maxent.log_shares(view, rare, start, keys=k, leaves=leaves)[0] - of_class) for k in keys[:, None]]
+    assert shares == pytest.approx((sizes + 1) / (sizes + 1).sum(), rel=1e-4)
+    trainer = maxent.Trainer(flat, 0.15, leaves)
+    trainer.learn(rare, start, keys[77:78])
+    changed = (trainer.flat != flat)[-fine * maxent.WORDS:].sum()
+    assert changed <= 2 * (maxent.CLASSES + 1) + 3 * 7  # the class by two fine rows, then seven levels by three features
+    assert maxent.log_shares(trainer.view, rare, start, keys=keys[77:78], leaves=leaves)[0] > math.log10(shares[77]) + of_class
+
+
 def test_changes_are_averaged_over_the_tasks_that_made_them():
     a, b = np.zeros(2 * maxent.GROUP, np.float16), np.zeros(2 * maxent.GROUP, np.float16)
     a[:maxent.GROUP], b[0], b[maxent.GROUP:] = 1, 4, 2
