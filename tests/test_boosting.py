@@ -2,12 +2,16 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from cohortflow.operators import models
+from cohortflow.operators import boosting, models
 from cohortflow.operators.boosting import SoftmaxBooster, SoftmaxBoostingModel, Tree, _drawn, binned
+from cohortflow.session import settle
 
 SCHEMA = "id long, x array<double>, label double"
 
@@ -123,3 +127,40 @@ def test_grid_search_takes_it_like_any_other(spark):
     df, _, _ = made(spark, 300)
     outcome = models.cross_validate("softmax_boosted", df, {"maxIter": [1, 4], "maxDepth": [3], "stepSize": [0.5]}, folds=2)
     assert outcome.best_params["maxIter"] == 4 and outcome.fold_f1[1] > outcome.fold_f1[0]
+
+
+def test_a_task_hands_out_its_sums_once(spark, monkeypatch):
+    df, x, y = made(spark, 400)
+    rows = df.select(F.col("label").cast("int").alias("label"), F.col("id").alias("key"), vector_to_array("features").alias("x")).coalesce(1)
+    cuts = [[-1.0, 0.0, 1.0]] * 4
+    value = {"seed": 1, "heldOut": 0.0, "subsamplingRate": 1.0}
+    grower = boosting._Grower(cuts, 3, [0.0] * 3, value)
+    state = settle(grower._start(rows), "state")
+    tree = [Tree([-1], [0], [0], [0.0])] * 3
+    found = {}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for most in (1 << 19, 0):
+            monkeypatch.setattr(boosting, "MOST_CELLS", most)
+            cells = grower._sums(state, [], tree, [[0]] * 3, [[0, 1, 2, 3]] * 3, 0, False).collect()
+            found[most] = cells, {}
+            for r in cells:
+                place = (r["class"], r["node"], r["feature"], r["bin"])
+                found[most][1][place] = found[most][1].get(place, np.zeros(3)) + [r["g"], r["h"], r["n"]]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    # eight batches of one task: a row per cell in one case, rows of each batch in the other, the same sums
+    assert len(found[1 << 19][0]) == len(found[1 << 19][1]) < len(found[0][0])
+    assert found[1 << 19][1].keys() == found[0][1].keys()
+    assert all(found[0][1][k] == pytest.approx(v) for k, v in found[1 << 19][1].items())
+    binned_x = binned(x, cuts)
+    assert all(found[0][1][c, 0, f, b][2] == (binned_x[:, f] == b).sum() for c in range(3) for f in range(4) for b in np.unique(binned_x[:, f]))
+
+
+def test_matrices_are_read_where_they_lie():
+    values = np.arange(12, dtype=np.float64).reshape(4, 3)
+    column = pa.array([v.tobytes() for v in values], pa.binary())
+    assert boosting._matrix(column, np.float64, 3).tolist() == values.tolist()
+    part = boosting._matrix(column.slice(1, 2), np.float64, 3)
+    assert part.tolist() == values[1:3].tolist() and np.shares_memory(part, np.frombuffer(column.buffers()[2], np.uint8))
