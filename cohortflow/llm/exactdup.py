@@ -17,8 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm.shipping import ship_package
-from cohortflow.llm.words import ascii_lower, slices, text_bytes
+from cohortflow.llm.shipping import bound_batches, ship_package
+from cohortflow.llm.words import ascii_lower, parts, text_bytes
 from cohortflow.session import scratch_path
 
 #: Bytes of distinct texts that one bucket's table may hold.
@@ -73,21 +73,20 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as records, equal texts of a slice as one."""
-    for batch in batches:
-        for part in slices(batch):
-            data, bounds = text_bytes(part.column("text"))
-            data = ascii_lower(data).tobytes()
-            table, ids, codes = TextTable(), [], []
-            for i, doc in enumerate(part.column(0).to_pylist()):
-                text = data[bounds[i]:bounds[i + 1]]
-                code = xxhash.xxh64_intdigest(text) >> 1
-                entry, at = table.find(code, text)
-                if entry < 0:
-                    table.add(code, text, at)
-                    ids.append([])
-                    codes.append(code)
-                ids[entry].append(doc)
-            yield _records([(c, sha256(t).hexdigest(), t, i, None, None) for c, t, i in zip(codes, table.texts, ids, strict=True)]).select(["hash", "digest", "text", "ids"])
+    for part in parts(batches):
+        data, bounds = text_bytes(part.column("text"))
+        data = ascii_lower(data).tobytes()
+        table, ids, codes = TextTable(), [], []
+        for i, doc in enumerate(part.column(0).to_pylist()):
+            text = data[bounds[i]:bounds[i + 1]]
+            code = xxhash.xxh64_intdigest(text) >> 1
+            entry, at = table.find(code, text)
+            if entry < 0:
+                table.add(code, text, at)
+                ids.append([])
+                codes.append(code)
+            ids[entry].append(doc)
+        yield _records([(c, sha256(t).hexdigest(), t, i, None, None) for c, t, i in zip(codes, table.texts, ids, strict=True)]).select(["hash", "digest", "text", "ids"])
 
 
 def _bucket(most: int):
@@ -130,6 +129,7 @@ def groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, id_column: str = "do
     """
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     records = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(_folded, RECORD)
     buckets, level, found = int(spark.conf.get("spark.sql.shuffle.partitions")), 0, []
     while buckets:

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from cohortflow.llm.components import components
 from cohortflow.llm.shingles import shingle_sets, signatures
-from cohortflow.llm.shipping import ship_package
-from cohortflow.llm.words import slices
+from cohortflow.llm.shipping import bound_batches, ship_package
+from cohortflow.llm.words import parts
 from cohortflow.operators.ranking import number_rows
 from cohortflow.session import settle
 
@@ -33,6 +33,8 @@ SHINGLE = 5
 PERCENT = 75
 #: At 75 % similarity 48 of 64 coordinates agree on average; fewer than 34 do in 3 of 100,000 such pairs.
 COORDINATES, MATCHES = 64, 34
+#: Bytes of text whose shingles are made at once; the arrays over them are many times as large.
+SET_BYTES = 1 << 20
 #: Nodes of a block that are compared in one task with those of another.
 BLOCK = 256
 
@@ -41,14 +43,13 @@ SIGNED = "node bigint, n_shingles bigint, set_key binary, signature binary"
 
 def _signed(shingle: int, coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                codes, starts = shingle_sets(part.column("text"), shingle)
-                signed = signatures(codes, starts, coordinates)
-                keys = [xxhash.xxh3_128_digest(codes[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(keys, pa.binary()),
-                    pa.array([s.tobytes() for s in signed], pa.binary())], ["node", "n_shingles", "set_key", "signature"])
+        for part in parts(batches, most=SET_BYTES):
+            codes, starts = shingle_sets(part.column("text"), shingle)
+            signed = signatures(codes, starts, coordinates)
+            keys = [xxhash.xxh3_128_digest(codes[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(keys, pa.binary()),
+                pa.array([s.tobytes() for s in signed], pa.binary())], ["node", "n_shingles", "set_key", "signature"])
 
     return run
 
@@ -65,10 +66,9 @@ def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                codes, starts = shingle_sets(part.column("text"), shingle)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([codes[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())], ["node", "shingles"])
+        for part in parts(batches, most=SET_BYTES):
+            codes, starts = shingle_sets(part.column("text"), shingle)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([codes[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())], ["node", "shingles"])
 
     return run
 
@@ -138,6 +138,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     spark = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     texts = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text_column).cast("string").alias("text"))
     signed = settle(texts.mapInArrow(_signed(shingle, coordinates), SIGNED), "signatures")
     linkable = signed.filter("n_shingles > 0 AND node IS NOT NULL")

@@ -18,15 +18,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cohortflow.llm.shipping import ship_package
+from cohortflow.llm.shipping import bound_batches, ship_package
 from cohortflow.llm.tokens import library_encoder
-from cohortflow.llm.words import slices
+from cohortflow.llm.words import parts
 from cohortflow.operators.ranking import number_rows
 from cohortflow.session import settle
 
 #: Third members tried for every pair of lengths, and how far below the window a combination may stay.
 THIRDS, SLACK = 12, 2
 SWEEPS = 60
+#: Bytes of text that are encoded at once.
+IDS_BYTES = 2 << 20
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")])
 
@@ -143,27 +145,31 @@ def places(runs: list[Run]) -> dict[str, np.ndarray]:
     return {"length": lengths, "rank": rank, "sequence": sequence, "offset": offset}
 
 
+def _pieces(path: str, end_id: int, window: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = library_encoder(path, False)
+        for part in parts(batches, most=IDS_BYTES):
+            flat, bounds = encoder.encode(part.column("text"))
+            sizes = np.diff(bounds) + 1
+            ids = np.insert(flat, bounds[1:], end_id).astype("<u4")  # the end of each document
+            begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+            n = -(-sizes // window)
+            row = np.repeat(np.arange(len(sizes)), n)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * window
+            length = np.minimum(window, sizes[row] - start)
+            crcs = [crc32(ids[a:a + k]) for a, k in zip((begins[row] + start).tolist(), length.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (start, length, crcs, sizes[row]))], names)
+        encoder.cache.empty()  # the worker goes on to other work with what it keeps; the next texts bring other words
+
+    return run
+
+
 def cut(docs: DataFrame, path: str, end_id: int, window: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Ids of each document and end_id, cut at every window: id, start, length, ids_crc32, doc_tokens per piece."""
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType), *PIECES])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path, False)
-        for batch in batches:
-            for part in slices(batch):
-                flat, bounds = encoder.encode(part.column("text"))
-                sizes = np.diff(bounds) + 1
-                ids = np.insert(flat, bounds[1:], end_id).astype("<u4")  # the end of each document
-                begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-                n = -(-sizes // window)
-                row = np.repeat(np.arange(len(sizes)), n)
-                start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * window
-                length = np.minimum(window, sizes[row] - start)
-                crcs = [crc32(ids[a:a + k]) for a, k in zip((begins[row] + start).tolist(), length.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (start, length, crcs, sizes[row]))], schema.names)
-
-    return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(_pieces(path, end_id, window, schema.names), schema)
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -25,9 +25,10 @@ class ChunkCache:
 
     def __init__(self, encode_chunks: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kept_bytes: int = KEPT_BYTES) -> None:
         self.encode_chunks, self.kept_bytes = encode_chunks, kept_bytes
-        self._empty()
+        self.empty()
 
-    def _empty(self) -> None:
+    def empty(self) -> None:
+        """Forget all words."""
         self.keys, self.sizes, self.ids = pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +38,7 @@ class ChunkCache:
         new = words.distinct.filter(pc.is_null(found))
         if len(new):
             if self.keys.nbytes + new.nbytes > self.kept_bytes:
-                self._empty()
+                self.empty()
                 new, at = words.distinct, np.full(len(words.distinct), -1)
             ids, sizes = self.encode_chunks(new.to_pylist())
             at[at < 0] = len(self.keys) + np.arange(len(new))

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cohortflow.llm.linear import calibrated, sigmoid
-from cohortflow.llm.shipping import ship_package
-from cohortflow.llm.words import slices, words_of
+from cohortflow.llm.shipping import bound_batches, ship_package
+from cohortflow.llm.words import parts, words_of
 from cohortflow.session import settle
 
 #: Labelled texts per class that the model is fitted on; the bound of what it learns from.
@@ -191,7 +191,9 @@ class Similarity:
             pooled = np.zeros((len(kept), self.m), np.float32)
             np.maximum.at(pooled, best[rows], values)
             at = np.flatnonzero(best[codes] >= 0)
-            np.maximum.at(out, text[at], pooled[best[codes[at]]])
+            for first in range(0, len(at), AT_ONCE):
+                some = at[first:first + AT_ONCE]
+                np.maximum.at(out, text[some], pooled[best[codes[some]]])
         return out
 
 
@@ -237,21 +239,20 @@ def _stems(word: bytes) -> set[bytes]:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and clean texts hold each word, and each word that begins so."""
-    for batch in batches:
-        for part in slices(batch):
-            words = words_of(part.column("text"), lower=True)
-            stems = [sorted(_stems(w)) for w in words.distinct.to_pylist()]
-            units = pa.array([x for some in stems for x in some], pa.large_binary()).dictionary_encode()
-            of = units.indices.to_numpy(zero_copy_only=False)
-            begins = np.concatenate(([0], np.cumsum([len(x) for x in stems]))).astype(np.int64)
-            n = max(len(units.dictionary), 1)
-            text = np.repeat(np.arange(part.num_rows), np.diff(words.starts))
-            size = np.diff(begins)[words.codes]
-            at = np.repeat(begins[words.codes], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            pair = np.unique(np.repeat(text, size) * n + of[at])
-            toxic = part.column("toxic").to_numpy(zero_copy_only=False)[pair // n] == 1
-            code = pair % n
-            yield pa.RecordBatch.from_arrays([units.dictionary.cast(pa.binary()), *(pa.array(np.bincount(code[which], minlength=n)[:len(units.dictionary)]) for which in (toxic, ~toxic))], ["word", "toxic", "clean"])
+    for part in parts(batches):
+        words = words_of(part.column("text"), lower=True)
+        stems = [sorted(_stems(w)) for w in words.distinct.to_pylist()]
+        units = pa.array([x for some in stems for x in some], pa.large_binary()).dictionary_encode()
+        of = units.indices.to_numpy(zero_copy_only=False)
+        begins = np.concatenate(([0], np.cumsum([len(x) for x in stems]))).astype(np.int64)
+        n = max(len(units.dictionary), 1)
+        text = np.repeat(np.arange(part.num_rows), np.diff(words.starts))
+        size = np.diff(begins)[words.codes]
+        at = np.repeat(begins[words.codes], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        pair = np.unique(np.repeat(text, size) * n + of[at])
+        toxic = part.column("toxic").to_numpy(zero_copy_only=False)[pair // n] == 1
+        code = pair % n
+        yield pa.RecordBatch.from_arrays([units.dictionary.cast(pa.binary()), *(pa.array(np.bincount(code[which], minlength=n)[:len(units.dictionary)]) for which in (toxic, ~toxic))], ["word", "toxic", "clean"])
 
 
 def _evidence(words: int) -> float:
@@ -308,6 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
     """
     spark = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     sample = _sample(labels, F.lit(True) if fold is None else fold, per_class)
     train = settle(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
@@ -332,16 +334,15 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column | None = None, per_clas
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         similarity = Similarity(marks)
-        for batch in batches:
-            for part in slices(batch, most=TEXT_BYTES):
-                k = [r.tobytes() for r in similarity.texts(part.column("text"))]
-                toxic = part.column("toxic").to_pylist()
-                said = [(t, s) for t, x in zip(toxic, part.column("text").to_pylist(), strict=True) if x for s in SENTENCE_END.split(x) if s]
-                values = similarity.texts(pa.array([s for _, s in said], pa.string()))
-                kind = np.array([t for t, _ in said])
-                insults = {r.tobytes() for r in values[(kind == 1) & ((values > 0.999) & alone).any(1)]} if len(said) else set()
-                plain = {r.tobytes() for r in values[kind == 0]} if len(said) else set()
-                yield pa.RecordBatch.from_arrays([pa.array(toxic + [3] * len(insults) + [2] * len(plain), pa.int32()), pa.array(k + sorted(insults) + sorted(plain), pa.binary())], ["toxic", "k"])
+        for part in parts(batches, most=TEXT_BYTES):
+            k = [r.tobytes() for r in similarity.texts(part.column("text"))]
+            toxic = part.column("toxic").to_pylist()
+            said = [(t, s) for t, x in zip(toxic, part.column("text").to_pylist(), strict=True) if x for s in SENTENCE_END.split(x) if s]
+            values = similarity.texts(pa.array([s for _, s in said], pa.string()))
+            kind = np.array([t for t, _ in said])
+            insults = {r.tobytes() for r in values[(kind == 1) & ((values > 0.999) & alone).any(1)]} if len(said) else set()
+            plain = {r.tobytes() for r in values[kind == 0]} if len(said) else set()
+            yield pa.RecordBatch.from_arrays([pa.array(toxic + [3] * len(insults) + [2] * len(plain), pa.int32()), pa.array(k + sorted(insults) + sorted(plain), pa.binary())], ["toxic", "k"])
 
     found = train.mapInArrow(run, "toxic int, k binary").toArrow()
     k = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in found.column("k")])
@@ -381,13 +382,13 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", into:
         return docs.withColumn(into, F.lit(0.0))
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         similarity = Similarity(model.landmarks)
-        for batch in batches:
-            for part in slices(batch, text_column, TEXT_BYTES):
-                margin = _above(similarity.texts(part.column(text_column).cast(pa.string())), model.usual) @ model.weights + model.intercept
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(model.slope * margin + model.shift))], names)
+        for part in parts(batches, text_column, TEXT_BYTES):
+            margin = _above(similarity.texts(part.column(text_column).cast(pa.string())), model.usual) @ model.weights + model.intercept
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(model.slope * margin + model.shift))], names)
 
     return docs.mapInArrow(run, schema)

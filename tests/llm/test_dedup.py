@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortflow.llm import exactdup, neardup
@@ -121,6 +123,29 @@ def test_near_dedup_query_equals_brute_force(spark, sf_dir):
     assert sorted(map(tuple, found), key=repr) == near(rows)
 
 
+def test_sets_and_signatures_of_a_large_batch_take_little_memory():
+    batch = pa.RecordBatch.from_pydict({"node": list(range(1200)), "text": [" ".join(f"w{(i * k) % 997}" for k in range(1000)) for i in range(1200)]})
+    assert batch.nbytes > 5 << 20
+    for run in (neardup._signed(5, 64), neardup._sets(5)):
+        tracemalloc.start()
+        found = sum(out.num_rows for out in run(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == 1200 and most < 60 << 20
+
+
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(60, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 200000) AS text")
+    neardup.near_duplicates(docs.limit(1)).collect()
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 12 << 20
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
+    neardup.near_duplicates(docs.limit(1)).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 20)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
 def test_units_link_each_two_components_once():
     import pandas as pd
 

@@ -164,6 +164,14 @@ def test_packing(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA), WORD).count() == 0
 
 
+def test_a_worker_keeps_no_words_of_a_task_that_packed():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": [f"kept word{i} " * 50 for i in range(40)]})
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    pieces = packing._pieces(WORD, 2, 4096, names)(iter([batch]))
+    assert next(pieces).num_rows == 40 and len(tokens.library_encoder(WORD, False).cache.keys) > 40
+    assert not list(pieces) and not len(tokens.library_encoder(WORD, False).cache.keys)
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(2)
     for n in (0, 1, 50, 20_000):
