@@ -28,7 +28,7 @@ from cohortflow.session import settle
 THIRDS, SLACK = 12, 2
 SWEEPS = 60
 #: Bytes of text that are encoded at once.
-IDS_BYTES = 2 << 20
+IDS_BYTES = 4 << 20
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")])
 
