@@ -28,7 +28,7 @@ from cohortflow.session import settle
 THIRDS, SLACK = 12, 2
 SWEEPS = 60
 #: Bytes of text that are encoded at once.
-IDS_BYTES = 4 << 20
+IDS_BYTES = 2 << 20
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")])
 
@@ -159,7 +159,7 @@ def _pieces(path: str, end_id: int, window: int, names: list[str]):
             length = np.minimum(window, sizes[row] - start)
             crcs = [crc32(ids[a:a + k]) for a, k in zip((begins[row] + start).tolist(), length.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (start, length, crcs, sizes[row]))], names)
-        encoder.cache.empty()  # the worker goes on to other work with what it keeps; the next texts bring other words
+        encoder.empty()  # the worker goes on to other work with what it keeps; the next texts bring other words
 
     return run
 

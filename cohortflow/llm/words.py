@@ -123,6 +123,82 @@ def words_of(texts: pa.Array, lower: bool = False, lead: bool = False, whole: np
     return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), starts)
 
 
+def _kinds() -> bytes:
+    """Per byte: 0 of a letter, 1 digit, 2 another sign, 3 none of these for certain. Bytes from 0x80 on are of U+00C0 to U+023F, or 3."""
+    kinds = np.full(256, 3, np.uint8)
+    kinds[33:127] = 2
+    kinds[ord("0"):ord("9") + 1] = 1
+    kinds[ord("A"):ord("Z") + 1] = kinds[ord("a"):ord("z") + 1] = 0
+    kinds[0x80:0xC0] = kinds[0xC3:0xC9] = 0
+    return kinds.tobytes()
+
+
+KINDS = _kinds()
+
+
+def odd_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which words hold anything but printable ASCII and letters of U+00C0 to U+023F, a capital I with a dot, or '<|'.
+
+    data: the words' bytes in a row, without white space; offsets: where each begins, and the last's end. The letters allowed
+    compose with none of each other and become one letter each in lower case, in every version of Unicode that has them.
+    """
+    if not len(data):
+        return np.zeros(len(offsets) - 1, bool)
+    odd = np.frombuffer(data.tobytes().translate(KINDS), np.uint8) == 3
+    for lead, others in ((0xC3, (0x97, 0xB7)), (0xC4, (0xB0,)), (ord("<"), (ord("|"),))):
+        at = np.flatnonzero(data[:-1] == lead)
+        odd[at[np.isin(data[at + 1], others) & ~_begun(at + 1, offsets)]] = True
+    found = np.zeros(len(offsets) - 1, bool)
+    found[np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1] = True
+    return found
+
+
+def _begun(at: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a word begins at these bytes, or the words end there."""
+    return offsets[np.searchsorted(offsets, at)] == at
+
+
+def _contractions(data: np.ndarray, begins: np.ndarray, offsets: np.ndarray) -> None:
+    """Joins an apostrophe that begins a piece with s, t, m, d, re, ve or ll behind it; what follows them begins a piece."""
+    at = np.flatnonzero(data == ord("'"))
+    at = at[begins[at] & (at + 1 < len(data))]
+    at = at[~_begun(at + 1, offsets)]
+    one = data[at + 1]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    more = at + 2 < len(data)
+    two = np.where(more, data[np.where(more, at + 2, 0)], 0)
+    long = more & (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l")))
+    long[long] = ~_begun(at[long] + 2, offsets)
+    begins[at[short | long] + 1] = False
+    after = np.concatenate((at[short] + 2, at[long] + 3))
+    begins[after[after < len(data)]] = True
+
+
+def pieces_of(words: list[bytes]) -> Words:
+    """Words without white space, cut into contractions, runs of letters, single digits and runs of other signs.
+
+    A-Z are lower-cased in them. Words that odd_words names stay whole and as they are. The cuts are those of the pattern
+    's|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+ in lower-cased words. starts: where each word's pieces begin.
+    """
+    data = np.frombuffer(b"".join(words), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))
+    odd, lower = odd_words(data, offsets), ascii_lower(data)
+    kinds = np.frombuffer(data.tobytes().translate(KINDS), np.uint8)
+    begins = kinds == 1
+    begins[1:] |= kinds[1:] != kinds[:-1]
+    begins[offsets[:-1]] = True
+    _contractions(lower, begins, offsets)
+    if odd.any():
+        stays = np.repeat(odd, np.diff(offsets))
+        lower = np.where(stays, data, lower)
+        begins &= ~stays
+        begins[offsets[:-1]] = True
+    edges = np.append(np.flatnonzero(begins), len(data))
+    flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(lower)])
+    coded = flat.dictionary_encode()
+    return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(edges, offsets))
+
+
 def joined(values: list[np.ndarray] | np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """values: all distinct words' arrays in a row, lengths: of each. Returns the arrays of the coded words in a row, and each word's end."""
     begins = np.concatenate(([0], np.cumsum(lengths)))[:-1]

@@ -1,7 +1,10 @@
 """Words of texts and token ids against the tokenizers library."""
 
+import itertools
+import json
 import random
 from hashlib import sha256
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -69,6 +72,59 @@ def test_marks_are_composed_before_letters_are_lower_cased(make):
             assert ids[starts[i]:starts[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+class Counted:
+    """The library, with the texts that it was given."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_a_piece_of_words_is_encoded_once_and_many_in_one_text():
+    encoder = tokens.LibraryEncoder(WORD, False)
+    library, encoder.library = encoder.library, Counted(encoder.library)
+    names = ["".join(p) for p in itertools.product("abcdefé", repeat=4)]
+    texts = [f"{n}, ({n}) {n}. {n.title()}'s {n}!? 'd{n} {n}7{n}" for n in names]
+    ids, starts = encoder.encode(pa.array(texts))
+    for i, coded in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        assert coded.ids == ids[starts[i]:starts[i + 1]].tolist(), texts[i]
+    given = encoder.library.texts
+    assert sum(t.split().count("bade") for t in given) == 1 and len(given) < len(names) / 10
+    encoder.empty()
+    assert not len(encoder.cache.keys) and not len(encoder.pieces.keys)
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 100_000])
+def test_pieces_are_those_of_the_library_for_every_sign(at_once):
+    rng, library, encoder = random.Random(7), Tokenizer.from_file(WORD), tokens.LibraryEncoder(WORD, False)
+    signs = [chr(c) for c in range(0x370)]
+    texts = [f"A{c}b {c}{c}B 'S{c} '{c}s 1{c}2 <{c} |{c} x{c}" for c in signs]
+    parts = ["'s", "'t", "'RE", "'ve", "'m", "'ll", "'d", "'r", "'l", "'", "''", "l", "e", "Sé", "É", "ß", "İ", "ſ", "Ⱥ", "×", "²", "12", "<|", "<", "|", "<|endoftext|>", "_", "-", " ", " "]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(6000)]
+    if at_once == 1:
+        texts = texts[::10]
+    for first in range(0, len(texts), at_once):
+        some = texts[first:first + at_once]
+        ids, starts = encoder.encode(pa.array(some))
+        for i, coded in enumerate(library.encode_batch(some, add_special_tokens=False)):
+            assert coded.ids == ids[starts[i]:starts[i + 1]].tolist(), repr(some[i])
+
+
+def test_a_file_that_cuts_otherwise_or_lacks_signs_gives_its_own_ids(tmp_path):
+    cut, lacks = (json.loads(Path(WORD).read_text(encoding="utf-8")) for _ in range(2))
+    cut["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+    del lacks["model"]["vocab"]["7</w>"]
+    texts = ["it's 1984, or 19a!!", "Été 12", "7", "a7b 77 c"]
+    for i, spec in enumerate((cut, lacks)):
+        (path := tmp_path / f"{i}.json").write_text(json.dumps(spec), encoding="utf-8")
+        library = Tokenizer.from_file(str(path))
+        ids, starts = tokens.LibraryEncoder(str(path), False).encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_small_cache_gives_the_same_ids():
     texts = odd_texts()
     encoder, other = bpe.TrieEncoder(WORD), bpe.TrieEncoder(WORD)
