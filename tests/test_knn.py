@@ -98,3 +98,34 @@ def test_pairs_of_cells_are_never_broadcast_and_narrow_columns_take_no_cells(spa
     ranges = {"wide": (0.0, 100.0), "flag": (0.0, 1.0)}
     cells = {level: df.selectExpr(f"{knn._cell(list(ranges), ranges, level)} AS c").distinct().count() for level in (2, 4)}
     assert cells == {2: 4, 4: 16}  # of equal width: the flag is not split before the wide column has bins as narrow
+
+
+@pytest.mark.parametrize("spread,max_cells", [(200, 20000), (200, 16), (4, 40)])
+def test_many_small_lots_leaves_and_meetings_find_the_same_rows(spark, monkeypatch, spread, max_cells):
+    for name, value in {"LOT_ROWS": (9, 9), "MEETING": 7, "LEAF": 4, "BLOCK": 3, "AT_ONCE": 8}.items():
+        monkeypatch.setattr(knn, name, value)
+    data = make(150, spread, spread)
+    got = knn.knn_values(spark.createDataFrame(data, SCHEMA), "id", COLUMNS, k=3, max_cells=max_cells).collect()
+    want = brute_force(data, 3)
+    assert {(r["id"], r["column_name"]) for r in got} == set(want) and len(got) == len(want)
+    assert all(math.isclose(r["value"], want[(r["id"], r["column_name"])], abs_tol=1e-9) for r in got)
+
+
+def test_what_is_written_grows_with_the_rows_not_with_their_pairs(spark, monkeypatch):
+    written, settle = [], knn.settle
+
+    def counted(df, *name):
+        out = settle(df, *name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(knn, "settle", counted)
+    data = make(900, 5, 300)
+    assert len(knn.knn_values(spark.createDataFrame(data, SCHEMA), "id", COLUMNS, k=5, max_cells=40).collect()) > 600
+    assert sum(written) < 6 * len(data), written
+
+
+def test_ids_may_be_text_missing_or_come_twice(spark):
+    rows = [("b", 1.0, 3.0), ("b", 1.0, 3.0), (None, 1.0, 9.0), ("a", 1.0, 6.0), ("c", 1.0, 90.0), ("z", 1.0, None)]
+    df = spark.createDataFrame(rows, "id string, a double, b double")
+    assert [r["value"] for r in knn.knn_values(df, "id", ["a", "b"], k=4).collect()] == [5.25]
